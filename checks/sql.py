@@ -192,7 +192,7 @@ def _vector_recommender(name: str, source: str, needs: tuple[str, ...], vectors:
         SELECT * FROM (
           SELECT u.user_id, v.paper_id,
                  CASE WHEN {_VECTOR_SIZE_SUM.format('u.vector')} * {_VECTOR_SIZE_SUM.format('v.vector')} > 0
-                      THEN round(list_cosine_similarity(u.vector, v.vector), 6) END AS similarity
+                      THEN round(list_cosine_similarity(u.vector, v.vector), 6) + 0 END AS similarity
           FROM profiles_{name} u CROSS JOIN {vectors} v
           WHERE NOT EXISTS (SELECT 1 FROM train_{name} t
                             WHERE t.user_id = u.user_id AND t.paper_id = v.paper_id))
@@ -287,7 +287,7 @@ def _feature_rows(source: str) -> str:
 
 def _place_rows(source: str, key: str, vector: str) -> str:
     return f"""
-        SELECT {key}, place - 1 AS place, round(value, 6) AS value
+        SELECT {key}, place - 1 AS place, round(value, 6) + 0 AS value
         FROM (SELECT {key}, unnest({vector}) AS value, unnest(range(1, len({vector}) + 1)) AS place FROM {source})"""
 
 
@@ -306,7 +306,7 @@ _ANALOGY = _plus(
 
 def _nearest(query: str, n: int) -> str:
     return f"""
-        SELECT paper_id AS word, round(list_cosine_similarity(vector, {query}), 6) AS similarity
+        SELECT paper_id AS word, round(list_cosine_similarity(vector, {query}), 6) + 0 AS similarity
         FROM vectors ORDER BY similarity DESC, word LIMIT {n}"""
 
 
@@ -412,7 +412,7 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "profile_sum_sparse": (("term_profiles",), """
         SELECT user_id, term_id, round(weight, 6) AS weight FROM term_profiles"""),
     "profile_sum_dense": (("pairs", "vectors"), """
-        SELECT user_id, place - 1 AS place, round(sum(vector[place]), 6) AS value
+        SELECT user_id, place - 1 AS place, round(sum(vector[place]), 6) + 0 AS value
         FROM pairs JOIN vectors USING (paper_id), unnest(range(1, len(vector) + 1)) AS p(place)
         GROUP BY user_id, place"""),
     "user_profile_stats": (("stats",), """
@@ -424,7 +424,7 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT CAST(k AS BIGINT) AS k, round(avg(precision), 6) AS precision FROM metrics_v50 GROUP BY k"""),
     # ranking, sampling, splitting, union
     "topk_dense_rank": (("vectors",), f"""
-        , scored AS (SELECT CAST(label AS BIGINT) AS user_id, paper_id, round(vector[1], 1) AS similarity
+        , scored AS (SELECT CAST(label AS BIGINT) AS user_id, paper_id, round(vector[1], 1) + 0 AS similarity
                      FROM vectors)
         {_dense('scored', 3)}"""),
     "topk_row_number": ((), _exact("""(
@@ -449,9 +449,9 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "distinct_rows": (("papers",), "SELECT DISTINCT title, abstract FROM papers"),
     # vectors
     "cosine_similarity": (("with_sum",), """
-        SELECT vec_id, round(list_cosine_similarity(vector, total), 6) AS similarity FROM with_sum"""),
+        SELECT vec_id, round(list_cosine_similarity(vector, total), 6) + 0 AS similarity FROM with_sum"""),
     "cosine_of_zero_vectors": (("with_sum",), """
-        SELECT vec_id, CASE WHEN label > 0 THEN round(list_cosine_similarity(vector, total), 6) END AS similarity
+        SELECT vec_id, CASE WHEN label > 0 THEN round(list_cosine_similarity(vector, total), 6) + 0 END AS similarity
         FROM with_sum"""),
     "dense_to_sparse": (("vectors",), """
         SELECT paper_id, place - 1 AS term_id, round(value, 2) AS weight
@@ -465,14 +465,14 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "inverse_document_frequency": (("idf",), "SELECT term_id, df, round(idf, 6) AS idf FROM idf"),
     "tf_idf": (("weights",), "SELECT paper_id, term_id, round(weight, 6) AS weight FROM weights"),
     "find_synonyms": (("vectors",), f"""
-        SELECT paper_id AS word, round(list_cosine_similarity(vector, {_SYNONYM.format(7)}), 6) AS similarity
+        SELECT paper_id AS word, round(list_cosine_similarity(vector, {_SYNONYM.format(7)}), 6) + 0 AS similarity
         FROM vectors WHERE paper_id <> 7 ORDER BY similarity DESC, word LIMIT 10"""),
     "find_synonyms_of_vector": (("vectors",), _nearest(_ANALOGY, 10)),
     "analogy": (("vectors",), f"""
         SELECT * FROM ({_nearest(_ANALOGY, 5)}) WHERE word NOT IN (3, 11, 5, 8, 21)
         ORDER BY similarity DESC, word LIMIT 1"""),
     "document_embedding": (("embedded",), f"""
-        SELECT paper_id, n_tokens, place - 1 AS place, round(value, 6) AS value
+        SELECT paper_id, n_tokens, place - 1 AS place, round(value, 6) + 0 AS value
         FROM (SELECT paper_id, n_tokens, unnest(vector) AS value, unnest(range(1, len(vector) + 1)) AS place
               FROM embedded)"""),
     "index_type": (("pairs", "metadata"), f"""

@@ -1,14 +1,15 @@
 """Word vectors: training, nearest words, analogies and paper embeddings."""
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import add, as_doubles, cosine_similarity, subtract
+from ..functions.vectors import as_doubles, cosine_similarity
 
 # The shape of the word model.
 VECTOR_SIZE = 100
@@ -43,42 +44,49 @@ def word_vectors(model: Word2VecModel) -> DataFrame:
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 
-def _vector_of(vectors: DataFrame, word) -> Column:
-    """The vector of one word as a scalar subquery; null for an unknown word."""
-    return vectors.filter(F.col("word") == F.lit(word)).select(as_doubles("vector")).scalar()
+def _nearest(vectors: DataFrame, query: DataFrame, n: int, left_out: Sequence, digits: int) -> DataFrame:
+    """Top ``n`` words by cosine to the one vector of ``query``.
 
-
-def _nearest(vectors: DataFrame, query: Column, n: int, left_out: Sequence, digits: int) -> DataFrame:
-    """Top ``n`` words by cosine: one map over the words and a top-n."""
-    score = F.round(cosine_similarity(as_doubles("vector"), query), digits)
-    scored = vectors.select("word", score.alias("similarity")).filter("similarity IS NOT NULL")
+    The query vector is a scalar subquery, so this is one map over the words and a
+    top-n; without a query vector there is no score and no row.
+    """
+    rows = vectors.select("word", as_doubles("vector").alias("vector"))
     for word in left_out:
-        scored = scored.filter(F.col("word") != F.lit(word))
+        rows = rows.filter(F.col("word") != F.lit(word))
+    asked = rows.withColumn("_query", query.select(as_doubles("vector")).scalar())
+    score = F.round(cosine_similarity("vector", "_query"), digits)
+    scored = asked.select("word", score.alias("similarity")).filter("similarity IS NOT NULL")
     return scored.orderBy(F.desc("similarity"), "word").limit(n)
 
 
 def find_synonyms(vectors: DataFrame, word, n: int, digits: int = 6) -> DataFrame:
     """(word, similarity) of the ``n`` nearest words, the word itself left out."""
-    return _nearest(vectors, _vector_of(vectors, word), n, [word], digits)
+    query = vectors.filter(F.col("word") == F.lit(word)).select("vector")
+    return _nearest(vectors, query, n, [word], digits)
 
 
-def find_synonyms_of_vector(vectors: DataFrame, query: Column, n: int, digits: int = 6) -> DataFrame:
-    """Same for a vector (a column without reference to a row); nothing is left out."""
+def find_synonyms_of_vector(vectors: DataFrame, query: DataFrame, n: int, digits: int = 6) -> DataFrame:
+    """Same for a one-row (vector) table; nothing is left out."""
     return _nearest(vectors, query, n, [], digits)
 
 
-def phrase_vector(vectors: DataFrame, words: Sequence) -> Column:
-    """Sum of the vectors of the words; null if one is unknown."""
-    total = _vector_of(vectors, words[0])
-    for word in words[1:]:
-        total = add(total, _vector_of(vectors, word))
-    return total
+def analogy_vector(vectors: DataFrame, first: Sequence, second: Sequence, third: Sequence) -> DataFrame:
+    """(vector): (first - second) + third, where a list of words is their sum.
 
-
-def analogy_vector(vectors: DataFrame, first: Sequence, second: Sequence, third: Sequence) -> Column:
-    """(first - second) + third."""
-    difference = subtract(phrase_vector(vectors, first), phrase_vector(vectors, second))
-    return add(difference, phrase_vector(vectors, third))
+    The asked words are few rows of the table; each counts with its sign. The
+    vector is null when one of them is unknown.
+    """
+    times = Counter(first) + Counter(third)
+    times.subtract(Counter(second))
+    signs = F.create_map(*[F.lit(x) for word, sign in times.items() for x in (word, float(sign))])
+    known = vectors.filter(F.col("word").isin(list(times)))
+    signed = known.withColumn("_sign", signs[F.col("word")]).select(
+        "word", F.transform(as_doubles("vector"), lambda x: x * F.col("_sign")).alias("_v")
+    )
+    total = vector_to_array(Summarizer.sum(array_to_vector("_v")))
+    return signed.agg(
+        F.when(F.count_distinct("word") == len(times), total).alias("vector")
+    )
 
 
 def analogy(vectors: DataFrame, first: Sequence, second: Sequence, third: Sequence) -> DataFrame:
