@@ -155,7 +155,7 @@ _STEPS: dict[str, tuple[tuple[str, ...], str]] = {
     # word vectors numbered like the vocabulary
     "embedded": (("words", "vocabulary", "vectors"), """
         SELECT paper_id, n_tokens,
-               list_transform(vector, lambda x: x / n_tokens) AS vector
+               list_transform(vector, lambda x: CASE WHEN n_tokens > 0 THEN x / n_tokens ELSE 0 END) AS vector
         FROM (SELECT paper_id, any_value(len(words)) AS n_tokens,
                      list(coalesce(total, 0.0) ORDER BY place) AS vector
               FROM words

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import as_doubles, cosine_similarity
 
-# The shape of the word model.
+# The shape of the word model and the fewest parts it trains on.
 VECTOR_SIZE = 100
 TRAINING_PARTITIONS = 10
 ANALOGY_CANDIDATES = 5
@@ -20,14 +20,19 @@ ANALOGY_CANDIDATES = 5
 def word2vec_fit(
     words: DataFrame,
     vector_size: int = VECTOR_SIZE,
-    partitions: int = TRAINING_PARTITIONS,
+    partitions: int | None = None,
     seed: int = 1,
     min_count: int = 5,
 ) -> Word2VecModel:
     """Skip-gram model over the ``words`` column.
 
-    Parts are trained apart and merged; raise ``partitions`` with the corpus.
+    Parts of the corpus are trained apart and merged. By default there are at
+    least ten, in whole waves of the cluster's cores, so no core waits and a part
+    does not grow with the corpus when the cluster does.
     """
+    if partitions is None:
+        cores = words.sparkSession.sparkContext.defaultParallelism
+        partitions = -(-TRAINING_PARTITIONS // cores) * cores
     trainer = Word2Vec(
         vectorSize=vector_size,
         numPartitions=partitions,
