@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +65,11 @@ def joined(words: str = "words") -> Column:
 # ------------------------------------------------------- shared first steps --
 
 
+def written_pairs(spark, folder):
+    """The library table, for queries that read it more than once."""
+    return write_once(tables.pairs(spark, folder), "pairs")
+
+
 def plain_words(spark, folder):
     return preprocess.preprocess_terms(tables.papers(spark, folder), stem=False)
 
@@ -83,11 +88,11 @@ def plain_weights(spark, folder):
 
 
 def term_split(spark, folder):
-    return recommend.sampled_split(tables.pairs(spark, folder), 20, SEED)
+    return recommend.sampled_split(written_pairs(spark, folder), 20, SEED)
 
 
 def vector_split(spark, folder):
-    return recommend.sampled_split(tables.pairs(spark, folder), 50, SEED)
+    return recommend.sampled_split(written_pairs(spark, folder), 50, SEED)
 
 
 def vector_profiles(spark, folder, split):
@@ -237,7 +242,7 @@ def filter_library_size(spark, folder):
 
 @query
 def exclude_seen(spark, folder):
-    all_pairs = write_once(tables.pairs(spark, folder), "pairs")
+    all_pairs = written_pairs(spark, folder)
     split = libraries.split_train_test(all_pairs, SEED)
     return libraries.exclude_seen(all_pairs, libraries.train_part(split))
 
@@ -300,7 +305,7 @@ def stem_bag(spark, folder):
 @query
 def merge_token_lists(spark, folder):
     words = preprocess.preprocess_conservative(tables.papers(spark, folder))
-    merged = terms.merge_token_lists(tables.pairs(spark, folder), words)
+    merged = terms.merge_token_lists(written_pairs(spark, folder), words)
     return merged.select("user_id", "part", joined())
 
 
@@ -308,7 +313,7 @@ def merge_token_lists(spark, folder):
 def collect_user_words(spark, folder):
     """Tokens per user of the merged lists."""
     words = preprocess.preprocess_conservative(tables.papers(spark, folder))
-    merged = terms.merge_token_lists(tables.pairs(spark, folder), words)
+    merged = terms.merge_token_lists(written_pairs(spark, folder), words)
     return merged.groupBy("user_id").agg(F.sum(F.size("words")).cast("bigint").alias("tokens"))
 
 
@@ -405,7 +410,7 @@ def join_user_features(spark, folder):
 @query
 def restrict_profiles(spark, folder):
     """Vector profiles of all users, restricted to those with more than 20 papers."""
-    rated = write_once(tables.pairs(spark, folder), "pairs")
+    rated = written_pairs(spark, folder)
     profile = profiles.sum_dense(rated, tables.vectors(spark, folder))
     active = libraries.restrict_to_users(profile, libraries.users_above(rated, 20))
     return active.select("user_id", r6(vec.norm("vector")).alias("length"))
@@ -519,7 +524,7 @@ def sample_users(spark, folder):
 
 @query
 def split_train_test(spark, folder):
-    split = libraries.split_train_test(tables.pairs(spark, folder), SEED)
+    split = libraries.split_train_test(written_pairs(spark, folder), SEED)
     return split.withColumn("is_test", F.col("is_test").cast("int"))
 
 
@@ -531,13 +536,13 @@ def random_split_rows(spark, folder):
 
 @query
 def sample_negatives(spark, folder):
-    rated = write_once(tables.pairs(spark, folder), "pairs")
+    rated = written_pairs(spark, folder)
     return interactions.sample_negatives(rated, tables.metadata(spark, folder), SEED)
 
 
 @query
 def union_interactions(spark, folder):
-    rated = write_once(tables.pairs(spark, folder), "pairs")
+    rated = written_pairs(spark, folder)
     unrated = interactions.sample_negatives(rated, tables.metadata(spark, folder), SEED)
     mixed = interactions.union_interactions(interactions.positives(rated), unrated)
     return mixed.groupBy("user_id", "label").agg(
@@ -652,7 +657,7 @@ def word2vec_intensive(spark, folder):
 
 @query
 def word2vec_user_words(spark, folder):
-    merged = terms.merge_token_lists(tables.pairs(spark, folder), conservative_words(spark, folder))
+    merged = terms.merge_token_lists(written_pairs(spark, folder), conservative_words(spark, folder))
     model = embeddings.word2vec_fit(write_once(merged, "merged"), seed=SEED)
     return embeddings.word_vectors(model)
 
@@ -758,7 +763,7 @@ def feature_columns():
 
 
 def split_dataset(spark, folder):
-    rated, parts = tables.pairs(spark, folder), tables.metadata(spark, folder)
+    rated, parts = written_pairs(spark, folder), tables.metadata(spark, folder)
     rows = write_once(classify.classification_dataset(rated, parts, SEED), "features")
     return libraries.split_rows(rows, ["user_id", "paper_id"], SEED)
 
@@ -819,7 +824,7 @@ def evaluate_metrics_as_written(spark, folder):
 
 @query
 def evaluate_tfidf(spark, folder):
-    papers, rated = tables.papers(spark, folder), tables.pairs(spark, folder)
+    papers, rated = tables.papers(spark, folder), written_pairs(spark, folder)
     lists = recommend.recommend_tfidf(papers, rated, EXACT_TERM_LISTS, NO_STEM)
     return _rounded_metrics(recommend.evaluate(lists, rated, EXACT_TERM_LISTS))
 
@@ -830,42 +835,42 @@ def evaluate_tfidf(spark, folder):
 @query
 def recommend_tfidf(spark, folder):
     return recommend.recommend_tfidf(
-        tables.papers(spark, folder), tables.pairs(spark, folder), TERM_LISTS, NO_STEM
+        tables.papers(spark, folder), written_pairs(spark, folder), TERM_LISTS, NO_STEM
     )
 
 
 @query
 def recommend_tfidf_stemmed(spark, folder):
     return recommend.recommend_tfidf(
-        tables.papers(spark, folder), tables.pairs(spark, folder), TERM_LISTS
+        tables.papers(spark, folder), written_pairs(spark, folder), TERM_LISTS
     )
 
 
 @query
 def recommend_lda(spark, folder):
     return recommend.recommend_lda(
-        tables.papers(spark, folder), tables.pairs(spark, folder), TERM_LISTS
+        tables.papers(spark, folder), written_pairs(spark, folder), TERM_LISTS
     )
 
 
 @query
 def recommend_embedding_user(spark, folder):
     return recommend.recommend_embedding_user(
-        tables.papers(spark, folder), tables.pairs(spark, folder), NAMED_USER, ONE_USER_LIST
+        tables.papers(spark, folder), written_pairs(spark, folder), NAMED_USER, ONE_USER_LIST
     )
 
 
 @query
 def recommend_embedding(spark, folder):
     return recommend.recommend_embedding(
-        tables.papers(spark, folder), tables.pairs(spark, folder), VECTOR_LISTS
+        tables.papers(spark, folder), written_pairs(spark, folder), VECTOR_LISTS
     )
 
 
 @query
 def recommend_embedding_active(spark, folder):
     return recommend.recommend_embedding_active(
-        tables.papers(spark, folder), tables.pairs(spark, folder), VECTOR_LISTS
+        tables.papers(spark, folder), written_pairs(spark, folder), VECTOR_LISTS
     )
 
 
@@ -873,19 +878,19 @@ def recommend_embedding_active(spark, folder):
 def recommend_from_vectors(spark, folder):
     """The embedding recommender over given paper vectors."""
     return recommend.recommend_from_embeddings(
-        tables.vectors(spark, folder), tables.pairs(spark, folder), VECTOR_LISTS
+        tables.vectors(spark, folder), written_pairs(spark, folder), VECTOR_LISTS
     )
 
 
 @query
 def recommend_user_from_vectors(spark, folder):
-    one = libraries.filter_user(tables.pairs(spark, folder), NAMED_USER)
+    one = libraries.filter_user(written_pairs(spark, folder), NAMED_USER)
     return recommend.recommend_from_embeddings(tables.vectors(spark, folder), one, ONE_USER_LIST)
 
 
 @query
 def recommend_active_from_vectors(spark, folder):
-    rated = write_once(tables.pairs(spark, folder), "pairs")
+    rated = written_pairs(spark, folder)
     active = libraries.restrict_to_users(rated, libraries.users_above(rated, 20))
     return recommend.recommend_from_embeddings(tables.vectors(spark, folder), active, VECTOR_LISTS)
 
@@ -894,13 +899,13 @@ def recommend_active_from_vectors(spark, folder):
 def recommend_from_word_table(spark, folder):
     """Word vectors from a table, averaged per paper and per user, then ranked."""
     embedded = write_once(table_embeddings(spark, folder), "embedded")
-    return recommend.recommend_from_embeddings(embedded, tables.pairs(spark, folder), VECTOR_LISTS)
+    return recommend.recommend_from_embeddings(embedded, written_pairs(spark, folder), VECTOR_LISTS)
 
 
 @query
 def user_corpus_profile(spark, folder):
     return recommend.user_corpus_profiles(
-        tables.pairs(spark, folder), conservative_words(spark, folder), SEED
+        written_pairs(spark, folder), conservative_words(spark, folder), SEED
     )
 
 
@@ -919,7 +924,7 @@ def build_vocabulary_stemmed(spark, folder):
 @query
 def classification_dataset(spark, folder):
     dataset = classify.classification_dataset(
-        tables.pairs(spark, folder), tables.metadata(spark, folder), SEED
+        written_pairs(spark, folder), tables.metadata(spark, folder), SEED
     )
     return dataset.select("user_id", "paper_id", "label", *feature_columns())
 
@@ -927,7 +932,7 @@ def classification_dataset(spark, folder):
 @query
 def classify_and_score(spark, folder):
     dataset = classify.classification_dataset(
-        tables.pairs(spark, folder), tables.metadata(spark, folder), SEED
+        written_pairs(spark, folder), tables.metadata(spark, folder), SEED
     )
     return classify.classify_and_score(dataset, SEED)
 

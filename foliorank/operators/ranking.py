@@ -31,8 +31,9 @@ def top_k_levels(scored: DataFrame, k: int) -> DataFrame:
     )
     in_part = Window.partitionBy("user_id", "_salt").orderBy(F.desc("similarity"))
     left = salted.withColumn("_rank", F.dense_rank().over(in_part)).filter(F.col("_rank") <= k)
-    levels = left.groupBy("user_id", "similarity").agg(F.count("paper_id").alias("_papers"))
-    best_first = Window.partitionBy("user_id").orderBy(F.desc("similarity"))
+    # Both uses of ``left`` need the same columns, so Spark shuffles and cuts it once.
+    levels = left.groupBy("user_id", "similarity").agg(F.min("paper_id").alias("_first"))
+    best_first = Window.partitionBy("user_id").orderBy(F.desc("similarity"), "_first")
     ranked = (
         levels.withColumn("rank", F.row_number().over(best_first).cast("bigint"))
         .filter(F.col("rank") <= k)

@@ -33,11 +33,15 @@ def inverse_document_frequency(tf: DataFrame) -> DataFrame:
     return frequencies.withColumn("idf", F.log((m + 1) / (F.col("df") + 1)))
 
 
-def tf_idf(tf: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
+def tf_idf(
+    tf: DataFrame, size: int = VOCABULARY_SIZE, idf: DataFrame | None = None
+) -> DataFrame:
     """(paper_id, term_id, weight); zero weights are kept out, as in a sparse vector."""
-    idf = small_terms(inverse_document_frequency(tf).select("term_id", "idf"), size)
-    weighted = tf.join(idf, "term_id").withColumn("weight", F.col("tf") * F.col("idf"))
-    return drop_zeros(weighted.select("paper_id", "term_id", "weight"))
+    if idf is None:
+        idf = inverse_document_frequency(tf)
+    joined = tf.join(small_terms(idf.select("term_id", "idf"), size), "term_id")
+    weight = (F.col("tf") * F.col("idf")).alias("weight")
+    return drop_zeros(joined.select("paper_id", "term_id", weight))
 
 
 def drop_zeros(weights: DataFrame) -> DataFrame:

@@ -36,6 +36,7 @@ from ..operators.weights import (
     TOPIC_ITERATIONS,
     TOPICS,
     count_vectors,
+    inverse_document_frequency,
     lda_topics,
     term_frequency,
     tf_idf,
@@ -68,19 +69,21 @@ class TermOptions:
 def sampled_split(pairs: DataFrame, n_users: int, seed: int) -> DataFrame:
     """(user_id, paper_id, is_test) of the sampled users, as a written table."""
     sampled = restrict_to_users(pairs, sample_users(pairs, n_users, seed))
-    return write_once(split_train_test(sampled, seed), "split")
+    return write_once(split_train_test(write_once(sampled, "sampled"), seed), "split")
 
 
 # --------------------------------------------------- term and topic profiles --
 
 
 def term_weights(papers: DataFrame, options: TermOptions) -> DataFrame:
-    """TF-IDF of all papers; token lists and counts are written once."""
+    """TF-IDF of all papers; token lists, counts and term weights are written once."""
     words = write_once(preprocess_terms(papers, options.stopwords, options.stem), "words")
     vocabulary = build_vocabulary(
         papers, words, options.min_papers, options.max_share, options.size
     )
-    return tf_idf(write_once(term_frequency(words, vocabulary, options.size), "tf"), options.size)
+    tf = write_once(term_frequency(words, vocabulary, options.size), "tf")
+    idf = write_once(inverse_document_frequency(tf), "idf")
+    return tf_idf(tf, options.size, idf)
 
 
 def topic_vectors(
@@ -104,7 +107,7 @@ def rank_by_terms(
 ) -> DataFrame:
     """Lists from term weights and summed term profiles."""
     train = train_part(split)
-    profiles = sum_sparse(train, weights)
+    profiles = write_once(sum_sparse(train, weights), "profiles")
     scored = score_sparse(profiles, weights, train, options.n_users, n_terms)
     return top_k(scored, options.k, options.method)
 
