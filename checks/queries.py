@@ -1,6 +1,7 @@
 """One query per operator, each over whole tables: ``fn(spark, folder)``."""
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,8 @@ from foliorank.operators import (
     weights,
 )
 from foliorank.plans import classify, preprocess, recommend
+from foliorank.schemas import PAPERS_SCHEMA
+from foliorank.session import ship_package
 from foliorank.sources import (
     read_table,
     scan_libraries,
@@ -50,8 +53,13 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
-    REGISTERED[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, folder)
+
+    REGISTERED[fn.__name__] = run
+    return run
 
 
 def r6(column: str | Column) -> Column:
@@ -118,8 +126,6 @@ def scan_papers_csv(spark, folder):
     one_line = F.translate(F.concat_ws(" ", "title", "abstract"), "\r\n", "  ")
     rows = tables.papers(spark, folder).select("paper_id", one_line.alias("title"))
     known = {"paper_id": F.col("paper_id"), "title": F.col("title")}
-    from foliorank.schemas import PAPERS_SCHEMA
-
     columns = [known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in PAPERS_SCHEMA]
     rows.select(*columns).write.options(
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
@@ -423,6 +429,15 @@ def score_pairs_by_terms(spark, folder):
     return scoring.score_sparse(profiles.sum_sparse(train, weighted), weighted, train, n_users=20)
 
 
+@query
+def score_all_pairs_by_terms(spark, folder):
+    """The same with the papers that share no term."""
+    split = term_split(spark, folder)
+    train, weighted = libraries.train_part(split), write_once(plain_weights(spark, folder), "w")
+    profile = profiles.sum_sparse(train, weighted)
+    return scoring.score_sparse(profile, weighted, train, n_users=20, include_zero=True)
+
+
 @query
 def score_pairs_by_vectors(spark, folder):
     split = vector_split(spark, folder)

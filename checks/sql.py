@@ -6,7 +6,6 @@ statement as common table expressions, in the order they need each other.
 
 from foliorank.functions.stopwords import ENGLISH_STOPWORDS
 from foliorank.operators.interactions import STRIDES
-from foliorank.schemas import PAPERS_SCHEMA  # noqa: F401  (layout of the scanned CSV)
 
 _STOP = ", ".join(f"'{w}'" for w in ENGLISH_STOPWORDS)
 _SPLIT = "regexp_split_to_array(lower({}), '[^A-Za-z_-]')"
@@ -405,6 +404,13 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
               GROUP BY user_id, place)
         GROUP BY user_id"""),
     "score_pairs_by_terms": (("term_scores",), "SELECT * FROM term_scores"),
+    "score_all_pairs_by_terms": (("term_profiles", "weights", "train20", "term_scores"), """
+        SELECT u.user_id, p.paper_id, coalesce(s.similarity, 0) AS similarity
+        FROM (SELECT DISTINCT user_id FROM term_profiles) u
+        CROSS JOIN (SELECT DISTINCT paper_id FROM weights) p
+        LEFT JOIN term_scores s ON s.user_id = u.user_id AND s.paper_id = p.paper_id
+        WHERE NOT EXISTS (SELECT 1 FROM train20 t
+                          WHERE t.user_id = u.user_id AND t.paper_id = p.paper_id)"""),
     "score_pairs_by_vectors": (("scores_v50",), "SELECT * FROM scores_v50"),
     # aggregations
     "count_distinct_papers": (("n_papers",), "SELECT n AS n_papers FROM n_papers"),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .grouping import dense_index
 from .libraries import exclude_seen
 from .terms import VOCABULARY_SIZE
 
@@ -38,17 +39,19 @@ def score_sparse(
     n_users: int,
     n_terms: int = VOCABULARY_SIZE,
     digits: int = SCORE_DIGITS,
+    include_zero: bool = False,
 ) -> DataFrame:
     """(user_id, paper_id, similarity) of unseen papers that share a term.
 
     ``profiles`` (user_id, term_id, weight) holds at most ``n_users`` users over
     ``n_terms`` terms. Both are parameters, so the size of a broadcast is known
     before the plan runs; beyond it, the term join is shuffled with salted terms.
+    ``include_zero`` also returns the papers that share no term, with score 0.
     """
     if n_users <= PIVOT_USERS and n_users * n_terms <= BROADCAST_WEIGHTS:
-        dots = _dots_by_pivot(profiles, weights, n_users)
+        dots = _dots_by_pivot(profiles, weights, n_users, include_zero)
     else:
-        dots = _dots_by_term(profiles, weights, n_users * n_terms)
+        dots = _dots_by_term(profiles, weights, n_users, n_terms, include_zero)
     score = F.try_divide(F.col("dot"), F.col("user_norm") * F.col("paper_norm"))
     scored = dots.select("user_id", "paper_id", F.round(score, digits).alias("similarity"))
     return exclude_seen(scored.filter("similarity IS NOT NULL"), train)
@@ -58,7 +61,9 @@ def _norm(weight: str) -> Column:
     return F.sqrt(F.sum(F.col(weight) * F.col(weight)))
 
 
-def _dots_by_pivot(profiles: DataFrame, weights: DataFrame, n_users: int) -> DataFrame:
+def _dots_by_pivot(
+    profiles: DataFrame, weights: DataFrame, n_users: int, include_zero: bool
+) -> DataFrame:
     """One pass: all users' products and the paper's norm in one aggregation.
 
     Each term row carries the weights of all users as an array, so the join does
@@ -89,14 +94,14 @@ def _dots_by_pivot(profiles: DataFrame, weights: DataFrame, n_users: int) -> Dat
     ]
     summed = by_paper.groupBy("paper_id").agg(_norm("weight").alias("paper_norm"), *products)
     slots = F.array(*[F.col(f"_dot{slot}") for slot in range(n_users)])
-    return (
-        summed.select("paper_id", "paper_norm", F.posexplode(slots).alias("slot", "dot"))
-        .filter(F.col("dot") > 0)
-        .join(F.broadcast(users), "slot")
-    )
+    dots = summed.select("paper_id", "paper_norm", F.posexplode(slots).alias("slot", "dot"))
+    dots = dots.fillna(0.0, ["dot"]) if include_zero else dots.filter("dot > 0")
+    return dots.join(F.broadcast(users), "slot")
 
 
-def _dots_by_term(profiles: DataFrame, weights: DataFrame, n_weights: int) -> DataFrame:
+def _dots_by_term(
+    profiles: DataFrame, weights: DataFrame, n_users: int, n_terms: int, include_zero: bool
+) -> DataFrame:
     """Join on terms and sum the products per user and paper.
 
     A frequent term has rows from up to a tenth of all papers: they are spread
@@ -105,7 +110,7 @@ def _dots_by_term(profiles: DataFrame, weights: DataFrame, n_weights: int) -> Da
     user_norms = profiles.groupBy("user_id").agg(_norm("weight").alias("user_norm"))
     paper_norms = weights.groupBy("paper_id").agg(_norm("weight").alias("paper_norm"))
     users = profiles.withColumnRenamed("weight", "user_weight")
-    if n_weights <= BROADCAST_WEIGHTS:
+    if n_users * n_terms <= BROADCAST_WEIGHTS:
         joined = weights.join(F.broadcast(users), "term_id")
     else:
         salts = F.sequence(F.lit(0), F.lit(TERM_SALTS - 1))
@@ -117,7 +122,13 @@ def _dots_by_term(profiles: DataFrame, weights: DataFrame, n_weights: int) -> Da
     dots = joined.groupBy("user_id", "paper_id").agg(
         F.sum(F.col("weight") * F.col("user_weight")).alias("dot")
     )
-    return dots.filter("dot > 0").join(user_norms, "user_id").join(paper_norms, "paper_id")
+    if not include_zero:
+        positive = dots.filter("dot > 0")
+        return positive.join(user_norms, "user_id").join(paper_norms, "paper_id")
+    slots = user_norms.join(dense_index(profiles, "user_id", "slot"), "user_id")
+    every = F.explode(F.sequence(F.lit(0), F.lit(n_users - 1))).cast("bigint")
+    papers = paper_norms.select("paper_id", "paper_norm", every.alias("slot")).join(slots, "slot")
+    return papers.join(dots, ["user_id", "paper_id"], "left").fillna(0.0, ["dot"])
 
 
 # ----------------------------------------------------------------- dense --

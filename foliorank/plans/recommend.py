@@ -47,12 +47,17 @@ from .preprocess import build_vocabulary, preprocess_conservative, preprocess_te
 
 @dataclass(frozen=True)
 class ListOptions:
-    """Who gets a list, how long it is, and how ties are cut."""
+    """Who gets a list, how long it is, and how ties are cut.
+
+    ``include_zero`` lets papers without a shared term into term-based lists; they
+    matter to users with fewer than ``k`` distinct scores above zero.
+    """
 
     n_users: int = 20
     k: int = 40
     seed: int = 7
     method: str = "dense_rank"
+    include_zero: bool = False
 
 
 @dataclass(frozen=True)
@@ -108,7 +113,9 @@ def rank_by_terms(
     """Lists from term weights and summed term profiles."""
     train = train_part(split)
     profiles = write_once(sum_sparse(train, weights), "profiles")
-    scored = score_sparse(profiles, weights, train, options.n_users, n_terms)
+    scored = score_sparse(
+        profiles, weights, train, options.n_users, n_terms, include_zero=options.include_zero
+    )
     return top_k(scored, options.k, options.method)
 
 

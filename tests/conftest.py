@@ -21,5 +21,8 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    from foliorank.session import ship_package
+
+    ship_package(session)
     yield session
     session.stop()

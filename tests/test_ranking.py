@@ -117,12 +117,19 @@ def test_sparse_scores_by_each_way(spark, monkeypatch):
     profile = {f"u{u}": np.zeros(30) for u in range(9)}
     for u, t, w in users:
         profile[u][t] = w
-    expected = {k: s for k, s in brute_force(profile, vectors, set(seen)).items() if s > 0}
-    close(scores(scoring.score_sparse(*frames, n_users=9, n_terms=30)), expected)
+    every = brute_force(profile, vectors, set(seen))
+    shared = {k: s for k, s in every.items() if s > 0}
+    assert len(shared) < len(every)
+
+    def check():
+        close(scores(scoring.score_sparse(*frames, n_users=9, n_terms=30)), shared)
+        close(scores(scoring.score_sparse(*frames, n_users=9, n_terms=30, include_zero=True)), every)
+
+    check()
     monkeypatch.setattr(scoring, "PIVOT_USERS", 2)
-    close(scores(scoring.score_sparse(*frames, n_users=9, n_terms=30)), expected)
+    check()
     monkeypatch.setattr(scoring, "BROADCAST_WEIGHTS", 2)
-    close(scores(scoring.score_sparse(*frames, n_users=9, n_terms=30)), expected)
+    check()
 
 
 def test_profiles(spark):
