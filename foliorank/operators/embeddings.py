@@ -16,6 +16,9 @@ VECTOR_SIZE = 100
 TRAINING_PARTITIONS = 10
 ANALOGY_CANDIDATES = 5
 
+# Word vectors that may be broadcast: 80 MB at 100 doubles each.
+BROADCAST_WORDS = 100_000
+
 
 def word2vec_fit(
     words: DataFrame,
@@ -117,22 +120,36 @@ def embed_with_model(words: DataFrame, model: Word2VecModel) -> DataFrame:
     )
 
 
-def document_embedding(words: DataFrame, vectors: DataFrame) -> DataFrame:
-    """The same from a (word, vector) table of any size.
+def _summed_by_map(tokens: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(paper_id, _sum) with the words broadcast: vectors are summed before the shuffle."""
+    known = vectors.select("word", array_to_vector(as_doubles("vector")).alias("_v"))
+    total = vector_to_array(Summarizer.sum(F.col("_v")))
+    return tokens.join(F.broadcast(known), "word").groupBy("paper_id").agg(total.alias("_sum"))
 
-    Tokens are counted per paper and word before vectors are attached; the sum is
-    divided by all tokens of the paper. A paper without a known word has zeros.
-    """
-    counted = (
-        words.select("paper_id", F.explode("words").alias("word"))
-        .groupBy("paper_id", "word")
-        .agg(F.count(F.lit(1)).cast("double").alias("_n"))
-    )
-    weighted = counted.join(vectors.select("word", as_doubles("vector").alias("_v")), "word").select(
+
+def _summed_by_count(tokens: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(paper_id, _sum) with the words shuffled: a frequent token is counted per paper first."""
+    counted = tokens.groupBy("paper_id", "word").agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    known = vectors.select("word", as_doubles("vector").alias("_v"))
+    weighted = counted.join(known, "word").select(
         "paper_id", F.transform("_v", lambda x: x * F.col("_n")).alias("_v")
     )
     total = vector_to_array(Summarizer.sum(array_to_vector("_v")))
-    sums = weighted.groupBy("paper_id").agg(total.alias("_sum"))
+    return weighted.groupBy("paper_id").agg(total.alias("_sum"))
+
+
+def document_embedding(
+    words: DataFrame, vectors: DataFrame, broadcast_words: int = BROADCAST_WORDS
+) -> DataFrame:
+    """The same from a (word, vector) table of any size.
+
+    The sum of the known words' vectors is divided by all tokens of the paper; a
+    paper without a known word has zeros. Up to ``broadcast_words`` words are
+    broadcast, more are joined by shuffle.
+    """
+    tokens = words.select("paper_id", F.explode("words").alias("word"))
+    few = vectors.limit(broadcast_words + 1).count() <= broadcast_words
+    sums = _summed_by_map(tokens, vectors) if few else _summed_by_count(tokens, vectors)
     sizes = words.groupBy("paper_id").agg(F.sum(F.size("words")).cast("bigint").alias("n_tokens"))
     zeros = vectors.select(F.transform(as_doubles("vector"), lambda x: x * 0)).limit(1).scalar()
     mean = F.transform("_sum", lambda x: x / F.col("n_tokens"))

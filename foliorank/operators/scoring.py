@@ -126,7 +126,8 @@ def _dots_by_term(
         positive = dots.filter("dot > 0")
         return positive.join(user_norms, "user_id").join(paper_norms, "paper_id")
     slots = user_norms.join(dense_index(profiles, "user_id", "slot"), "user_id")
-    every = F.explode(F.sequence(F.lit(0), F.lit(n_users - 1))).cast("bigint")
+    first, last = F.lit(0).cast("bigint"), F.lit(n_users - 1).cast("bigint")
+    every = F.explode(F.sequence(first, last))
     papers = paper_norms.select("paper_id", "paper_norm", every.alias("slot")).join(slots, "slot")
     return papers.join(dots, ["user_id", "paper_id"], "left").fillna(0.0, ["dot"])
 

@@ -74,7 +74,7 @@ def nest_terms(words: DataFrame) -> DataFrame:
 
 
 def merge_token_lists(
-    pairs: DataFrame, words: DataFrame, papers_per_part: int = 1000
+    pairs: DataFrame, words: DataFrame, papers_per_part: int = 200
 ) -> DataFrame:
     """Token lists of a user's papers, merged in paper order: (user_id, part, words).
 

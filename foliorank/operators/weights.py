@@ -62,7 +62,7 @@ def count_vectors(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
         [row.term for row in rows], inputCol="words", outputCol="features"
     )
     counted = model.transform(words).select("paper_id", "features")
-    return counted.filter(F.exists(vector_to_array("features"), lambda x: x > 0))
+    return counted.filter(F.array_max(vector_to_array("features")) > 0)
 
 
 def lda_topics(

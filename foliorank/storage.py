@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_written: list[str] = []
 _local_folder: str | None = None
 
 
@@ -32,7 +33,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/foliorank/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/foliorank/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def drop_written_tables(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this process, once their results are saved."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = hadoop.Path(_written.pop())
+        path.getFileSystem(configuration).delete(path, True)
 
 
 def write_once(df: DataFrame, name: str) -> DataFrame:

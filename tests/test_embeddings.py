@@ -28,11 +28,12 @@ def test_analogy(table):
     assert vector == [1.0, 3.0]
 
 
-def test_document_embedding_counts_unknown_words(spark, table):
+@pytest.mark.parametrize("broadcast_words", [100, 2])
+def test_document_embedding_counts_unknown_words(spark, table, broadcast_words):
     words = spark.createDataFrame(
         [(1, ["man", "queen", "man", "zz"]), (2, []), (3, ["zz"])], "paper_id int, words array<string>"
     )
-    rows = {r.paper_id: r for r in embeddings.document_embedding(words, table).collect()}
+    rows = {r.paper_id: r for r in embeddings.document_embedding(words, table, broadcast_words).collect()}
     assert rows[1].vector == pytest.approx([2.1 / 4, 0.5]) and rows[1].n_tokens == 4
     assert rows[2].vector == [0.0, 0.0] and rows[3].vector == [0.0, 0.0]
 

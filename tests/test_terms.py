@@ -36,14 +36,14 @@ def test_top_terms_break_ties_by_term(spark):
     assert [(r.term, r.term_id) for r in top] == [("c", 0), ("a", 1), ("b", 2)]
 
 
-@pytest.mark.parametrize("papers_per_part", [1000, 2])
+@pytest.mark.parametrize("papers_per_part", [200, 2])
 def test_merged_lists_keep_all_tokens(spark, papers_per_part):
     pairs = spark.createDataFrame([("u", i) for i in range(10)] + [("v", 3)], "user_id string, paper_id int")
     words = spark.createDataFrame([(i, [f"w{i}", "x"]) for i in range(10)], "paper_id int, words array<string>")
     merged = terms.merge_token_lists(pairs, words, papers_per_part).collect()
     tokens = sorted(t for r in merged if r.user_id == "u" for t in r.words)
     assert tokens == sorted([f"w{i}" for i in range(10)] + ["x"] * 10)
-    if papers_per_part == 1000:
+    if papers_per_part == 200:
         [whole] = [r.words for r in merged if r.user_id == "u"]
         assert whole == [t for i in range(10) for t in (f"w{i}", "x")]
     else:
