@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from foliorank.session import ship_package
 
-from . import mixing, quality, url_filters
+from . import jaccard, mixing, quality, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
@@ -48,3 +48,8 @@ def op6_quality_rules(spark, folder):
 @query
 def op8_url_filters(spark, folder):
     return url_filters.judge_urls(pages(spark, folder))
+
+
+@query
+def op10_jaccard_join(spark, folder):
+    return jaccard.jaccard_components(documents(spark, folder), k=4, numerator=85, denominator=100)
