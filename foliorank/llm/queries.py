@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from foliorank.session import ship_package
 
-from . import jaccard, mixing, quality, url_filters
+from . import jaccard, mixing, quality, suffixes, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
@@ -53,3 +53,8 @@ def op8_url_filters(spark, folder):
 @query
 def op10_jaccard_join(spark, folder):
     return jaccard.jaccard_components(documents(spark, folder), k=4, numerator=85, denominator=100)
+
+
+@query
+def op5_suffix_dedup(spark, folder):
+    return suffixes.remove_repeats(documents(spark, folder))
