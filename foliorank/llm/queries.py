@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from foliorank.session import ship_package
 
-from . import jaccard, mixing, quality, suffixes, url_filters
+from . import decontaminate, jaccard, language, mixing, quality, suffixes, token_counts, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
@@ -58,3 +58,19 @@ def op10_jaccard_join(spark, folder):
 @query
 def op5_suffix_dedup(spark, folder):
     return suffixes.remove_repeats(documents(spark, folder))
+
+
+@query
+def op4_language_codes(spark, folder):
+    return language.identify(documents(spark, folder))
+
+
+@query
+def op7_token_counts(spark, folder):
+    return token_counts.count_tokens(documents(spark, folder))
+
+
+@query
+def op9_decontaminate(spark, folder):
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return decontaminate.find_copies(documents(spark, folder), items).drop("row")
