@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from foliorank.session import ship_package
 
-from . import decontaminate, jaccard, language, mixing, quality, suffixes, token_counts, url_filters
+from . import decontaminate, jaccard, language, mixing, quality, suffixes, token_counts, url_filters, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
     "op1_mix_sources": mixing.MIX_SQL,
+    "op2_warc_round_trip": warc.WARC_SQL,
     "op6_quality_rules": quality.quality_sql(),
     "op8_url_filters": url_filters.URL_SQL,
 }
@@ -74,3 +75,9 @@ def op7_token_counts(spark, folder):
 def op9_decontaminate(spark, folder):
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     return decontaminate.find_copies(documents(spark, folder), items).drop("row")
+
+
+@query
+def op2_warc_round_trip(spark, folder):
+    found = warc.round_trip(spark, pages(spark, folder))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
