@@ -43,7 +43,8 @@ def text_offsets(texts: pa.Array):
     """Byte offsets of the rows of a string array inside its data buffer."""
     import numpy as np
 
-    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    kind = np.int64 if wide else np.int32
     buffer = texts.buffers()[1]
     if buffer is None or buffer.size == 0:
         return np.zeros(len(texts) + 1, np.int64)

@@ -19,7 +19,8 @@ rare shingles:
    are finished by the same recursion in one task. Regions that pivots cannot cut
    (all distances alike) are compared in pairs of blocks. No case is dropped.
 
-Links inside a ball are implied and not listed; components are exact.
+Links between sets that other links already connect are not listed; components are
+exact. Regions whose sets are connected need no further look.
 """
 
 import math
@@ -198,21 +199,39 @@ def _left_over(members: DataFrame, eps: float) -> DataFrame:
     return kept.join(sizes, "region")
 
 
-def region_links(tokens, starts, sizes, numerator, denominator):
-    """Pairs of rows of one region that are linked, by recursive Voronoi regions.
+class Forest:
+    """Groups of rows that links already connect; keeps the links that join two groups."""
 
-    ``tokens`` are all sets one after another. Pairs that share a ball with a pivot may
-    be left out: the links to the pivot already connect them.
+    def __init__(self, labels: np.ndarray):
+        self.label = np.unique(labels, return_inverse=True)[1]
+        self.links: list[tuple[int, int]] = []
+
+    def join(self, row: int, others: np.ndarray) -> None:
+        """Link ``row`` to ``others``, one link for each group that is not its own."""
+        groups, first = np.unique(self.label[others], return_index=True)
+        fresh = groups != self.label[row]
+        if fresh.any():
+            self.links.extend((row, int(r)) for r in others[first[fresh]])
+            self.label[np.isin(self.label, groups[fresh])] = self.label[row]
+
+
+def _packed(tokens, starts, sizes, rows):
+    """Tokens of some rows one after another, and where each row begins."""
+    counts = sizes[rows]
+    total = np.cumsum(counts)
+    return tokens[np.arange(total[-1]) - np.repeat(total - counts - starts[rows], counts)], total - counts
+
+
+def region_links(tokens, starts, sizes, labels, numerator, denominator):
+    """Links between rows of one region, by recursive Voronoi regions.
+
+    ``tokens`` are all sets one after another; rows with equal ``labels`` are connected
+    already. Links that connect nothing new are left out.
     """
     eps = 1 - numerator / denominator
     _, tokens = np.unique(tokens, return_inverse=True)
     mark = np.zeros(len(tokens) + 1, bool)
-    pairs = []
-
-    def gather(rows):
-        counts = sizes[rows]
-        total = np.cumsum(counts)
-        return tokens[np.arange(total[-1]) - np.repeat(total - counts - starts[rows], counts)], total - counts
+    forest = Forest(labels)
 
     def against(pivot, rows, packed):
         own = tokens[starts[pivot] : starts[pivot] + sizes[pivot]]
@@ -220,28 +239,26 @@ def region_links(tokens, starts, sizes, numerator, denominator):
         inter = np.add.reduceat(mark[packed[0]].astype(np.int64), packed[1])
         mark[own] = False
         union = sizes[pivot] + sizes[rows] - inter
-        near = (denominator * inter >= numerator * union) & (rows != pivot)
-        pairs.extend((pivot, int(r)) for r in rows[near])
+        forest.join(pivot, rows[denominator * inter >= numerator * union])
         return 1 - inter / union
 
     def scan(rows, d):
         order = np.argsort(d, kind="stable")
         rows, d = rows[order], d[order]
-        packed = gather(rows)
-        bounds = np.concatenate([packed[1], [len(packed[0])]])
         for i in range(len(rows) - 1):
             stop = int(np.searchsorted(d, d[i] + eps + SLACK, "right"))
-            if stop > i + 1:
-                a, b = bounds[i + 1], bounds[stop]
-                against(int(rows[i]), rows[i + 1 : stop], (packed[0][a:b], packed[1][i + 1 : stop] - a))
+            apart = rows[i + 1 : stop]
+            apart = apart[forest.label[apart] != forest.label[rows[i]]]
+            if len(apart):
+                against(int(rows[i]), apart, _packed(tokens, starts, sizes, apart))
 
     def resolve(rows):
-        if len(rows) < 2:
+        if len(rows) < 2 or (forest.label[rows] == forest.label[rows[0]]).all():
             return
-        packed = gather(rows)
         if len(rows) <= LEAF:
             scan(rows, np.zeros(len(rows)))
             return
+        packed = _packed(tokens, starts, sizes, rows)
         pivots = rows[np.linspace(0, len(rows) - 1, min(8, math.isqrt(len(rows)))).astype(int)]
         d = np.stack([against(int(p), rows, packed) for p in pivots])
         nearest = d.min(0)
@@ -261,20 +278,40 @@ def region_links(tokens, starts, sizes, numerator, denominator):
                 resolve(part)
 
     resolve(np.arange(len(sizes)))
-    return pairs
+    return forest.links
+
+
+def block_links(tokens, starts, sizes, labels, in_first, numerator, denominator):
+    """Links between the rows of two blocks of a region."""
+    _, tokens = np.unique(tokens, return_inverse=True)
+    mark = np.zeros(len(tokens) + 1, bool)
+    forest = Forest(labels)
+    second = np.flatnonzero(~in_first)
+    for i in np.flatnonzero(in_first):
+        rows = second[forest.label[second] != forest.label[i]]
+        if not len(rows):
+            continue
+        packed = _packed(tokens, starts, sizes, rows)
+        own = tokens[starts[i] : starts[i] + sizes[i]]
+        mark[own] = True
+        inter = np.add.reduceat(mark[packed[0]].astype(np.int64), packed[1])
+        mark[own] = False
+        forest.join(i, rows[denominator * inter >= numerator * (sizes[i] + sizes[rows] - inter)])
+    return [(int(a), b) for a, b in forest.links]
 
 
 def _finish(members: DataFrame, reps: DataFrame, numerator: int, denominator: int) -> DataFrame:
     """Links (a, b) inside regions: one task a region, or a pair of blocks of a large one."""
     blocks = F.ceil(F.col("members") / REGION_ROWS).cast("int")
     cut = members.select(
-        "region", "g", blocks.alias("blocks"), F.pmod(F.hash("g", F.lit("block")), blocks).alias("block")
+        "region", "g", "label", blocks.alias("blocks"), F.pmod(F.hash("g", F.lit("block")), blocks).alias("block")
     )
     # A member meets every block of its own region: its block is first in some pairs, second in others.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = cut.select("region", "g", "block", "blocks", other).select(
+    dealt = cut.select("region", "g", "label", "block", "blocks", other).select(
         "region",
         "g",
+        "label",
         "block",
         F.least("block", "other").alias("first"),
         F.greatest("block", "other").alias("second"),
@@ -285,11 +322,12 @@ def _finish(members: DataFrame, reps: DataFrame, numerator: int, denominator: in
         sizes = frame["n"].to_numpy()
         tokens = np.concatenate(frame["shingles"].to_list())
         starts = np.cumsum(sizes) - sizes
-        ids, block = frame["g"].to_numpy(), frame["block"].to_numpy()
+        ids, block, labels = frame["g"].to_numpy(), frame["block"].to_numpy(), frame["label"].to_numpy()
         if frame["first"].iloc[0] == frame["second"].iloc[0]:
-            found = region_links(tokens, starts, sizes, numerator, denominator)
+            found = region_links(tokens, starts, sizes, labels, numerator, denominator)
         else:
-            found = block_links(tokens, starts, sizes, block == frame["first"].iloc[0], numerator, denominator)
+            in_first = block == frame["first"].iloc[0]
+            found = block_links(tokens, starts, sizes, labels, in_first, numerator, denominator)
         return pd.DataFrame(
             {"a": ids[[i for i, _ in found]], "b": ids[[j for _, j in found]]}, dtype="int64"
         )
@@ -297,22 +335,15 @@ def _finish(members: DataFrame, reps: DataFrame, numerator: int, denominator: in
     return rows.groupBy("region", "first", "second").applyInPandas(local, "a long, b long")
 
 
-def block_links(tokens, starts, sizes, in_first, numerator, denominator):
-    """Linked pairs between the rows of two blocks."""
-    _, tokens = np.unique(tokens, return_inverse=True)
-    rows = np.flatnonzero(~in_first)
-    counts = sizes[rows]
-    total = np.cumsum(counts)
-    packed = tokens[np.arange(total[-1]) - np.repeat(total - counts - starts[rows], counts)]
-    mark, pairs = np.zeros(len(tokens) + 1, bool), []
-    for i in np.flatnonzero(in_first):
-        own = tokens[starts[i] : starts[i] + sizes[i]]
-        mark[own] = True
-        inter = np.add.reduceat(mark[packed].astype(np.int64), total - counts)
-        mark[own] = False
-        near = denominator * inter >= numerator * (sizes[i] + counts - inter)
-        pairs.extend((int(i), int(r)) for r in rows[near])
-    return pairs
+def _still_apart(rest: DataFrame, links: DataFrame) -> DataFrame:
+    """Regions of (region, g, d, members) whose sets the links do not connect yet; adds ``label``."""
+    groups = components(links, "a", "b")
+    labelled = rest.join(groups, F.col("g") == F.col("node"), "left").select(
+        "region", "g", "d", "members", F.coalesce("component", "g").alias("label")
+    )
+    labelled = write_once(labelled, "left_over")
+    apart = labelled.groupBy("region").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b")
+    return write_once(labelled.join(apart.select("region"), "region"), "left_over")
 
 
 def set_links(
@@ -332,7 +363,8 @@ def set_links(
     pairs = members.where("region <> g").withColumn("pivot", F.col("region"))
     measured = write_once(_distances(pairs, reps), "distances")
     links = measured.where(linked).select(F.col("pivot").alias("a"), F.col("g").alias("b"))
-    rest = write_once(_left_over(measured.select("region", "g", "d"), eps), "left_over")
+    links = write_once(links, "ball_links")
+    rest = _still_apart(_left_over(measured.select("region", "g", "d"), eps), links)
     for turn in range(4):
         large = rest.where(F.col("members") > limit)
         if large.isEmpty():
@@ -352,12 +384,12 @@ def set_links(
             .where((F.col("d") <= F.col("_nearest") + 2 * eps + SLACK) & (F.col("_nearest") > 0))
             .select(F.xxhash64("region", "pivot").alias("region"), "g", "d")
         )
-        cut = write_once(_left_over(windows, eps), "left_over")
+        cut = _still_apart(_left_over(windows, eps), links)
         before, after = large.count(), cut.count()
         if after > 2 * before:
             break
         rest = write_once(rest.where(F.col("members") <= limit).unionByName(cut), "left_over")
-    finished = _finish(rest.select("region", "g", "members"), reps, numerator, denominator)
+    finished = _finish(rest.select("region", "g", "label", "members"), reps, numerator, denominator)
     return links.unionByName(finished)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from foliorank.session import ship_package
 
-from . import decontaminate, jaccard, language, mixing, quality, suffixes, token_counts, url_filters, warc
+from . import decontaminate, jaccard, language, lm, mixing, quality, suffixes, token_counts, url_filters, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
@@ -81,3 +81,8 @@ def op9_decontaminate(spark, folder):
 def op2_warc_round_trip(spark, folder):
     found = warc.round_trip(spark, pages(spark, folder))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op3_lm_scores(spark, folder):
+    return lm.score_texts(documents(spark, folder))
