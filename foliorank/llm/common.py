@@ -1,12 +1,14 @@
 """Small expressions and helpers that several operators share."""
 
+import gc
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliorank.storage import write_once
+from foliorank.storage import new_table_path
 
 # A word is a run of characters other than these six.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -28,6 +30,33 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*[F.struct(F.col(c), F.col(c).isNull()) for c in columns])
 
 
+class Scratch:
+    """Intermediate tables of one operator in the shared folder, dropped as soon as they are used up.
+
+    A dropped step's shuffle files go as well: Spark's cleaner deletes them once the
+    driver has collected the plans that made them, which ``drop`` asks it to do. So the
+    disk holds one step at a time and not the sum of all.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.paths = spark, new_table_path(spark, name), {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(path)
+        self.paths.setdefault(name, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for name in names:
+            for path in self.paths.pop(name, []):
+                found = jvm.org.apache.hadoop.fs.Path(path)
+                found.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)
+        gc.collect()
+        jvm.System.gc()
+
+
 def text_slices(texts: pa.Array, max_bytes: int) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``max_bytes`` of text; a longer text stands alone."""
     offsets = text_offsets(texts)
@@ -70,14 +99,15 @@ def components(links: DataFrame, left: str, right: str, max_rounds: int = 60) ->
     lineage; groupings are pre-aggregated, and a hot node costs one row per task.
     No links give no rows.
     """
-    edges = write_once(
+    scratch = Scratch(links.sparkSession, "components")
+    edges = scratch.write(
         links.select(F.col(left).alias("node"), F.col(right).alias("other"))
         .where("node <> other")
         .distinct(),
         "edges",
     )
     both = edges.unionByName(edges.select(F.col("other").alias("node"), F.col("node").alias("other")))
-    labels = write_once(
+    labels = scratch.write(
         both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("component")), "labels"
     )
     if labels.isEmpty():
@@ -92,7 +122,7 @@ def components(links: DataFrame, left: str, right: str, max_rounds: int = 60) ->
             "node", "component", F.least("component", "near").alias("near")
         )
         jumped = labels.select(F.col("node").alias("near"), F.col("component").alias("further"))
-        found = write_once(
+        found = scratch.write(
             own.join(jumped, "near", "left").select(
                 "node",
                 F.least("near", F.coalesce("further", "near")).alias("component"),

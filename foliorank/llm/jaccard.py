@@ -31,9 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliorank.storage import write_once
-
-from .common import components
+from .common import Scratch, components
 from .keysets import build_filter, lists, long_column, map_slices, may_hold, shared_keys
 from .text_arrays import U, distinct_per_text, mix, split_words, sums_per_text, word_grams
 
@@ -104,7 +102,9 @@ def frequent_shingles(texts: DataFrame, k: int) -> np.ndarray:
     return np.sort(top["key"].to_numpy().view(np.uint64))
 
 
-def shingle_sets(texts: DataFrame, k: int, numerator: int, denominator: int) -> tuple[DataFrame, DataFrame]:
+def shingle_sets(
+    texts: DataFrame, k: int, numerator: int, denominator: int, scratch: Scratch
+) -> tuple[DataFrame, DataFrame]:
     """Per document (doc_id, g, n, keys, shingles), and the table of shared prefix keys.
 
     ``keys`` and ``shingles`` are filled only for sets that share enough prefix shingles
@@ -120,7 +120,8 @@ def shingle_sets(texts: DataFrame, k: int, numerator: int, denominator: int) ->
             [long_column(keys), long_column(found.digest[owner])], ["key", "owner"]
         )
 
-    shared = shared_keys(map_slices(texts, "key long, owner long", prefixes), "shingle_keys")
+    shared = scratch.write(shared_keys(map_slices(texts, "key long, owner long", prefixes)), "keys")
+    scratch.drop()
     passing = build_filter(shared)
 
     def rows(part, data, offsets):
@@ -143,7 +144,7 @@ def shingle_sets(texts: DataFrame, k: int, numerator: int, denominator: int) ->
         )
 
     schema = "doc_id long, g long, n long, keys array<long>, shingles array<long>"
-    return write_once(map_slices(texts, schema, rows), "shingle_sets"), shared
+    return scratch.write(map_slices(texts, schema, rows), "sets"), shared
 
 
 def _need_column(numerator: int, denominator: int):
@@ -151,22 +152,25 @@ def _need_column(numerator: int, denominator: int):
     return 1 + F.floor(overlap / 10)
 
 
-def regions(sets: DataFrame, shared: DataFrame, numerator: int, denominator: int) -> DataFrame:
+def regions(
+    sets: DataFrame, shared: DataFrame, numerator: int, denominator: int, scratch: Scratch
+) -> DataFrame:
     """Members (region, g): a region is named by its pivot, the smallest set of a cell."""
     need = _need_column(numerator, denominator)
     cells = sets.where("keys IS NOT NULL").select("g", "n", F.explode("keys").alias("key")).distinct()
-    cells = write_once(cells.join(shared.select("key"), "key"), "cells")
+    cells = scratch.write(cells.join(shared.select("key"), "key"), "cells")
     enough = cells.groupBy("g", "n").count().where(F.col("count") >= need).select("g")
     cells = cells.join(enough, "g")
     sizes = cells.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     # The window is over one set's prefix, bounded by the length of its text.
     by_set = Window.partitionBy("g").orderBy(F.desc("members"), "key")
     ranked = cells.join(sizes, "key").withColumn("_rank", F.row_number().over(by_set))
-    kept = write_once(
-        ranked.where(F.col("_rank") > F.floor((need - 1) / 2)).select("key", "g"), "cells"
-    )
+    kept = scratch.write(ranked.where(F.col("_rank") > F.floor((need - 1) / 2)).select("key", "g"), "kept_cells")
+    scratch.drop("cells", "keys")
     pivots = kept.groupBy("key").agg(F.min("g").alias("region"), F.max("g").alias("last")).where("region < last")
-    return write_once(kept.join(pivots, "key").select("region", "g").distinct(), "regions")
+    members = scratch.write(kept.join(pivots, "key").select("region", "g").distinct(), "regions")
+    scratch.drop("kept_cells")
+    return members
 
 
 def _distances(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -335,38 +339,41 @@ def _finish(members: DataFrame, reps: DataFrame, numerator: int, denominator: in
     return rows.groupBy("region", "first", "second").applyInPandas(local, "a long, b long")
 
 
-def _still_apart(rest: DataFrame, links: DataFrame) -> DataFrame:
+def _still_apart(rest: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """Regions of (region, g, d, members) whose sets the links do not connect yet; adds ``label``."""
     groups = components(links, "a", "b")
     labelled = rest.join(groups, F.col("g") == F.col("node"), "left").select(
         "region", "g", "d", "members", F.coalesce("component", "g").alias("label")
     )
-    labelled = write_once(labelled, "left_over")
+    labelled = scratch.write(labelled, "labelled")
     apart = labelled.groupBy("region").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b")
-    return write_once(labelled.join(apart.select("region"), "region"), "left_over")
+    left = scratch.write(labelled.join(apart.select("region"), "region"), "left_over")
+    scratch.drop("labelled")
+    return left
 
 
 def set_links(
-    sets: DataFrame, shared: DataFrame, numerator: int, denominator: int, region_rows: int | None = None
+    sets: DataFrame, shared: DataFrame, numerator: int, denominator: int, scratch: Scratch
 ) -> DataFrame:
     """Links (a, b) between different sets, enough of them for exact components."""
     eps = 1 - numerator / denominator
-    limit = region_rows or REGION_ROWS
-    members = regions(sets, shared, numerator, denominator)
-    reps = write_once(
+    members = regions(sets, shared, numerator, denominator, scratch)
+    reps = scratch.write(
         sets.where("keys IS NOT NULL")
         .groupBy("g")
-        .agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")),
+        .agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
+        .join(members.select("g").distinct(), "g", "left_semi"),
         "set_reps",
     )
     linked = F.col("inter") * denominator >= F.col("union") * numerator
     pairs = members.where("region <> g").withColumn("pivot", F.col("region"))
-    measured = write_once(_distances(pairs, reps), "distances")
+    measured = scratch.write(_distances(pairs, reps), "distances")
     links = measured.where(linked).select(F.col("pivot").alias("a"), F.col("g").alias("b"))
-    links = write_once(links, "ball_links")
-    rest = _still_apart(_left_over(measured.select("region", "g", "d"), eps), links)
+    links = scratch.write(links, "links")
+    rest = _still_apart(_left_over(measured.select("region", "g", "d"), eps), links, scratch)
+    scratch.drop("distances")
     for turn in range(4):
-        large = rest.where(F.col("members") > limit)
+        large = rest.where(F.col("members") > REGION_ROWS)
         if large.isEmpty():
             break
         # Eight new pivots a region, by pre-aggregated minima over hash classes.
@@ -374,7 +381,7 @@ def set_links(
             F.min("g").alias("pivot")
         )
         pairs = large.select("region", "g").join(pivots.select("region", "pivot"), "region")
-        measured = write_once(_distances(pairs, reps), "distances")
+        measured = scratch.write(_distances(pairs, reps), "distances")
         links = links.unionByName(
             measured.where(linked & (F.col("g") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("g").alias("b"))
         )
@@ -384,13 +391,17 @@ def set_links(
             .where((F.col("d") <= F.col("_nearest") + 2 * eps + SLACK) & (F.col("_nearest") > 0))
             .select(F.xxhash64("region", "pivot").alias("region"), "g", "d")
         )
-        cut = _still_apart(_left_over(windows, eps), links)
+        cut = _still_apart(_left_over(windows, eps), links, scratch)
         before, after = large.count(), cut.count()
         if after > 2 * before:
             break
-        rest = write_once(rest.where(F.col("members") <= limit).unionByName(cut), "left_over")
-    finished = _finish(rest.select("region", "g", "label", "members"), reps, numerator, denominator)
-    return links.unionByName(finished)
+        rest = scratch.write(rest.where(F.col("members") <= REGION_ROWS).unionByName(cut), "left_over")
+    finished = scratch.write(
+        _finish(rest.select("region", "g", "label", "members"), reps, numerator, denominator), "links"
+    )
+    found = scratch.write(links.unionByName(finished), "all_links")
+    scratch.drop("links", "distances", "left_over", "set_reps", "regions")
+    return found
 
 
 def jaccard_components(
@@ -407,10 +418,11 @@ def jaccard_components(
     compared by 64-bit hashes of their shingles.
     """
     texts = documents.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"])
-    sets, shared = shingle_sets(texts, k, numerator, denominator)
-    found = set_links(sets, shared, numerator, denominator)
+    scratch = Scratch(texts.sparkSession, "jaccard")
+    sets, shared = shingle_sets(texts, k, numerator, denominator, scratch)
+    found = set_links(sets, shared, numerator, denominator, scratch)
     narrow = sets.select("doc_id", "g", "n")
-    firsts = write_once(narrow.where("n > 0").groupBy("g").agg(F.min("doc_id").alias("rep")), "set_firsts")
+    firsts = scratch.write(narrow.where("n > 0").groupBy("g").agg(F.min("doc_id").alias("rep")), "firsts")
     by_rep = (
         found.join(firsts.select(F.col("g").alias("a"), F.col("rep").alias("left")), "a")
         .join(firsts.select(F.col("g").alias("b"), F.col("rep").alias("right")), "b")

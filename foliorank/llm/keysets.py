@@ -14,16 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliorank.storage import write_once
-
 FILTER_BITS = 27  # 2^27 bits are 16 MB on every executor
 _SHIFTS = (0, 18, 37)
 
 
-def shared_keys(rows: DataFrame, name: str) -> DataFrame:
-    """Table (key, first): keys with more than one ``owner``, and the smallest owner."""
+def shared_keys(rows: DataFrame) -> DataFrame:
+    """(key, first): keys with more than one ``owner``, and the smallest owner."""
     spans = rows.groupBy("key").agg(F.min("owner").alias("first"), F.max("owner").alias("last"))
-    return write_once(spans.where("first < last").select("key", "first"), name)
+    return spans.where("first < last").select("key", "first")
 
 
 def build_filter(keys: DataFrame, bits: int = FILTER_BITS):

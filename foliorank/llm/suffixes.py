@@ -3,23 +3,25 @@
 A byte goes if a ``length``-byte string over it also starts in a document with a
 smaller id. Three steps over the whole corpus find them:
 
-1. Anchors. In every window of ``length`` bytes the grams with the smallest hash are
-   its anchors, so equal windows have equal anchors, wherever they stand. Anchors are
+1. Anchors. In every window of ``length`` bytes the gram with the smallest hash is
+   its anchor, so equal windows have equal anchors, wherever they stand. Anchors are
    narrow rows; one pre-aggregated shuffle finds those of two or more documents.
-2. Segments. A second scan cuts, around each shared anchor, the bytes that windows
-   with this anchor can reach (fewer than twice ``length``). Equal segments are merged
-   with their smallest and largest document before they meet, so a passage that a
-   third of all documents share is a handful of rows.
+2. Segments. A second scan cuts out, for each shared anchor, the windows that have
+   it: a left part before the anchor and a tail from the anchor on, together fewer
+   than twice ``length`` bytes. Equal segments are merged with their smallest and largest
+   document before they meet, so a passage that a third of all documents share is
+   a handful of rows.
 3. Suffix order. The segments of an anchor form a collection whose Burrows-Wheeler
-   transform and common-prefix array are built column by column: each round inserts
-   the next symbol of every segment, from its end to its front. Runs of common
-   prefixes of ``length`` or more are equal strings; each run's smallest document keeps
-   it, all others lose it.
-
-The rounds are as many as a segment has bytes, not as a document has: that is what
-lets the construction run in parallel over anchors. The sequential files of the
-method are the sorted shuffle files from which a task reads its segments; the columns
-of one block of anchors are arrays in memory, about 1 kB a segment.
+   transform and common-prefix array are built column by column: the tails in order
+   are the collection's end markers, and each round inserts the next symbol of every
+   segment's left part, from the anchor to the front. Runs of common prefixes of
+   ``length`` or more are equal strings; each run's smallest document keeps it, all others
+   lose it.
+
+The rounds are as many as bytes stand before an anchor, not as many as a document has:
+that is what lets the construction run in parallel over anchors. The sequential files
+of the method are the sorted shuffle files from which a task reads its segments; the
+columns of one block of segments are arrays in memory.
 """
 
 import hashlib
@@ -29,9 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliorank.storage import write_once
-
-from .common import row_key, text_bytes
+from .common import Scratch, text_bytes
 from .keysets import build_filter, long_column, map_slices, may_hold, shared_keys
 from .text_arrays import U, mix
 
@@ -50,12 +50,12 @@ def _sliding(pick, values: np.ndarray, width: int) -> np.ndarray:
     return pick(values[: -(width - step)], values[width - step :]) if width > step else values
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, place, key) of all anchors of texts with at least ``length`` bytes."""
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, key) of all anchors, and the anchor key of the window at every place (0: no window)."""
     size, width = len(data), length - GRAM + 1
     nothing = np.zeros(0, np.int64)
     if size < length:
-        return nothing, nothing, nothing.view(np.uint64)
+        return nothing, nothing, nothing.view(np.uint64), nothing.view(np.uint64)
     padded = np.concatenate([data, np.zeros(GRAM + 8, np.uint8)])
     words = np.lib.stride_tricks.as_strided(padded, (size + GRAM, 8), (1, 1)).copy().view(np.uint64).ravel()
     keys = words[:size] * U(0x9E3779B97F4A7C15)
@@ -70,7 +70,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     # A gram is an anchor if it is the smallest of some window that holds it.
     holds = _sliding(np.maximum, np.concatenate([edge, least, edge]), width)
     places = np.flatnonzero((holds == keys) & (left >= GRAM))
-    return np.searchsorted(offsets, places, "right") - 1, places, keys[places]
+    return np.searchsorted(offsets, places, "right") - 1, places, keys[places], least
 
 
 def _range_min(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -106,49 +106,62 @@ def _range_min(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndar
     return found
 
 
-def suffix_columns(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Suffixes of a collection in order: (string, suffix length, prefix common with the one before).
+def tail_order(keys: np.ndarray, tails: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Strings by (key, tail), and the prefix each tail has in common with the one before.
 
-    ``data`` holds the strings one after another. Round j inserts every string's
-    suffix of length j: its place follows from the rank of its first symbol in the
-    transform so far, its common prefixes from a range minimum between the places
-    of the suffixes behind the first symbols.
+    ``tails`` has a row of bytes for each string, padded; bytes past ``sizes`` do not count.
+    """
+    padded = np.zeros((len(sizes), -(-tails.shape[1] // 8) * 8), np.uint8)
+    padded[:, : tails.shape[1]] = np.where(np.arange(tails.shape[1]) < sizes[:, None], tails, 0)
+    columns = padded.view(">u8").astype(np.uint64)
+    order = np.lexsort([sizes, *columns.T[::-1], keys])
+    common = np.zeros(len(sizes), np.uint16)
+    one, two = order[:-1], order[1:]
+    differ = padded[one] != padded[two]
+    first = np.where(differ.any(axis=1), differ.argmax(axis=1), padded.shape[1])
+    first = np.minimum(first, np.minimum(sizes[one], sizes[two]))
+    common[1:] = np.where(keys[one] == keys[two], first, 0)
+    return order, common
+
+
+def suffix_columns(
+    data: np.ndarray, lengths: np.ndarray, order: np.ndarray, common: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes of a collection in order: (string, symbols before its tail, prefix common with the one before).
+
+    ``data`` holds the strings' left parts one after another; ``order`` and ``common`` are the
+    order of their tails, which stand before all other suffixes like end markers. Round
+    j inserts every string's suffix with j symbols: its place follows from the rank of its
+    first symbol in the transform so far, its common prefixes from a range minimum
+    between the places of the suffixes behind the first symbols.
     """
     count = len(lengths)
     ends = np.cumsum(lengths)
-    strings = np.arange(count)
+
     # Symbols are bytes + 1; 0 stands in front of a whole string.
     def symbol(which, length):
-        left = ends[which] - length - 1
-        return np.where(length < lengths[which], data[np.maximum(left, 0)].astype(np.uint16) + 1, 0).astype(np.uint16)
+        inside = length < lengths[which]
+        found = np.zeros(len(which), np.uint16)
+        found[inside] = data[(ends[which] - length - 1)[inside]].astype(np.uint16) + 1
+        return found
 
-    owner = strings.astype(np.int32)
+    owner = order.astype(np.int32)
     size = np.zeros(count, np.uint16)
-    common = np.zeros(count, np.uint16)
-    transform = symbol(strings, np.zeros(count, np.int64))
-    active, place = strings, strings
-    for j in range(1, int(lengths.max()) + 1):
+    transform = symbol(order, np.zeros(count, np.int64))
+    active, place = order, np.arange(count)
+    for j in range(1, int(lengths.max(initial=0)) + 1):
         going = lengths[active] >= j
         active, place = active[going], place[going]
-        order = np.argsort(transform, kind="stable")
-        whole = int(np.searchsorted(transform[order], 1)) if len(order) else 0
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
+        behind = np.argsort(transform, kind="stable")
+        whole = int((transform == 0).sum())
+        rank = np.empty(len(behind), np.int64)
+        rank[behind] = np.arange(len(behind))
+        # Behind every new spot stands, in the old order, the suffix without its first symbol.
+        behind = behind[whole:]
         spot = rank[place] - whole + count
         by_spot = np.argsort(spot)
         active, spot = active[by_spot], spot[by_spot]
         total = len(transform) + len(active)
-        # Place in the old order of what stands, without its first symbol, at each new spot.
-        behind = order[whole:]
-
-        def prefix(at):
-            """Common prefix of new spots at - 1 and at, both past the empty suffixes."""
-            one, two = behind[at - 1 - count], behind[at - count]
-            same = transform[one] == transform[two]
-            result = np.zeros(len(at), np.uint16)
-            if same.any():
-                result[same] = _range_min(common, one[same] + 1, two[same]) + 1
-            return result
 
         fresh = np.zeros(total, bool)
         fresh[spot] = True
@@ -157,49 +170,60 @@ def suffix_columns(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, n
             (owner, active.astype(np.int32)),
             (size, np.full(len(active), j, np.uint16)),
             (transform, symbol(active, np.full(len(active), j))),
+            (common, np.zeros(len(active), np.uint16)),
         ):
             column = np.empty(total, old.dtype)
             column[~fresh] = old
             column[fresh] = new
             merged.append(column)
-        renewed = np.empty(total, np.uint16)
-        renewed[~fresh] = common
-        touched = np.unique(np.concatenate([spot, spot + 1]))
-        touched = touched[(touched > count) & (touched < total)]
-        values = prefix(touched)
-        renewed[spot[spot == count]] = 0
-        renewed[touched] = values
-        owner, size, transform = merged
-        common, place = renewed, spot
+        touched = np.zeros(total + 1, bool)
+        touched[spot] = True
+        touched[spot + 1] = True
+        touched = np.flatnonzero(touched[:total])
+        touched = touched[touched > count]
+        one, two = behind[touched - 1 - count], behind[touched - count]
+        same = transform[one] == transform[two]
+        merged[3][touched] = 0
+        if same.any():
+            merged[3][touched[same]] = _range_min(common, one[same] + 1, two[same]) + 1
+        owner, size, transform, common = merged
+        place = spot
     return owner, size, common
 
 
-def first_owners(data, lengths, firsts, length):
-    """For every ``length``-byte string of the segments: (segment, offset, smallest document)."""
-    owner, size, common = suffix_columns(data, lengths)
-    enough = size >= length
-    owner, size, joined = owner[enough], size[enough], (common >= length)[enough]
+def first_owners(data, offsets, at, keys, firsts, length):
+    """For every ``length``-byte string of the segments: (segment, offset, smallest document).
+
+    Segment i is data[offsets[i]:offsets[i + 1]] with its tail from ``at[i]`` on.
+    """
+    sizes = np.diff(offsets) - at
+    span = np.arange(int(sizes.max(initial=0)))
+    tails = data[np.minimum(offsets[:-1, None] + at[:, None] + span, len(data) - 1)]
+    order, common = tail_order(keys, tails, sizes)
+    total = np.cumsum(at)
+    left = data[np.arange(total[-1]) - np.repeat(total - at - offsets[:-1], at)]
+    owner, before, common = suffix_columns(left, at, order, common)
+    # Strings too short for a window stand before those they begin, never between equal windows.
+    enough = before + sizes[owner] >= length
+    owner, before, joined = owner[enough], before[enough], (common >= length)[enough]
     heads = np.flatnonzero(~joined)
     if not len(heads):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     smallest = np.minimum.reduceat(firsts[owner], heads)
     smallest = np.repeat(smallest, np.diff(np.concatenate([heads, [len(owner)]])))
-    offset = lengths[owner] - size
+    offset = at[owner] - before
     order = np.lexsort((offset, owner))
     return owner[order].astype(np.int64), offset[order].astype(np.int64), smallest[order]
 
 
-def _runs(batch_rows: pa.Table, length: int) -> pa.RecordBatch:
+def _runs(block: pa.Table, length: int) -> pa.RecordBatch:
     """Runs of offsets with one smallest document, for whole anchors of a block."""
-    keys = batch_rows["key"].to_numpy()
-    segments = batch_rows["segment"].combine_chunks()
-    if isinstance(segments, pa.ChunkedArray):
-        segments = segments.chunk(0)
-    data, offsets = text_bytes(segments)
+    block = block.combine_chunks()
+    keys, at = block["key"].to_numpy(), block["at"].to_numpy().astype(np.int64)
+    data, offsets = text_bytes(block["segment"].chunk(0))
     lengths = np.diff(offsets)
-    low, high = batch_rows["low"].to_numpy(), batch_rows["high"].to_numpy()
-    fresh = np.concatenate([[True], keys[1:] != keys[:-1]])
-    group = np.cumsum(fresh) - 1
+    low, high = block["low"].to_numpy(), block["high"].to_numpy()
+    group = np.cumsum(np.concatenate([[True], keys[1:] != keys[:-1]])) - 1
     alone = np.bincount(group)[group] == 1
     # One context only: every string of it belongs to its smallest document.
     single = np.flatnonzero(alone & (low < high))
@@ -208,10 +232,13 @@ def _runs(batch_rows: pa.Table, length: int) -> pa.RecordBatch:
     if len(several):
         total = np.cumsum(lengths[several])
         take = np.arange(total[-1]) - np.repeat(total - lengths[several] - offsets[several], lengths[several])
-        which, offset, smallest = first_owners(data[take], lengths[several], low[several], length)
+        which, offset, smallest = first_owners(
+            data[take], np.concatenate([[0], total]), at[several], keys[several], low[several], length
+        )
         if len(which):
             breaks = np.ones(len(which), bool)
             breaks[1:] = (which[1:] != which[:-1]) | (smallest[1:] != smallest[:-1])
+            breaks[1:] |= offset[1:] != offset[:-1] + 1
             heads = np.flatnonzero(breaks)
             tails = np.concatenate([heads[1:], [len(which)]]) - 1
             rows = several[which[heads]]
@@ -220,13 +247,13 @@ def _runs(batch_rows: pa.Table, length: int) -> pa.RecordBatch:
     rows, start, stop, smallest = (np.concatenate(x) for x in zip(*parts, strict=True))
     return pa.RecordBatch.from_arrays(
         [
-            long_column(batch_rows["anchor"].to_numpy()[rows]),
-            long_column(batch_rows["hash"].to_numpy()[rows]),
+            block["part"].chunk(0).take(pa.array(rows)),
+            long_column(block["hash"].to_numpy()[rows]),
             pa.array(start, pa.int32()),
             pa.array(stop, pa.int32()),
             long_column(smallest),
         ],
-        ["anchor", "hash", "first_offset", "last_offset", "smallest"],
+        ["part", "hash", "first_offset", "last_offset", "smallest"],
     )
 
 
@@ -246,23 +273,23 @@ def _ordered_runs(segments: DataFrame, length: int) -> DataFrame:
             keys = table["key"].to_numpy()
             cut = int(np.searchsorted(keys == keys[-1], True))
             if cut:
-                yield _runs(table.slice(0, cut).combine_chunks(), length)
+                yield _runs(table.slice(0, cut), length)
                 held = table.slice(cut).combine_chunks().to_batches()
                 rows = len(keys) - cut
         if rows:
-            yield _runs(pa.Table.from_batches(held).combine_chunks(), length)
+            yield _runs(pa.Table.from_batches(held), length)
 
-    schema = "anchor long, hash long, first_offset int, last_offset int, smallest long"
+    schema = "part int, hash long, first_offset int, last_offset int, smallest long"
     return segments.repartition("key").sortWithinPartitions("key").mapInArrow(run, schema)
 
 
-def _split_crowded(distinct: DataFrame, length: int, crowded: int) -> DataFrame:
-    """Give anchors with very many contexts a longer key.
+def _split_crowded(segments: DataFrame, distinct: DataFrame, length: int, crowded: int) -> DataFrame:
+    """Give anchors with very many rows a longer key.
 
-    A window that holds the anchor reaches at least half of the remaining bytes to
-    its left or to its right, so equal windows meet under one of two longer keys.
+    A window reaches at least half of its bytes besides the anchor to the anchor's left
+    or to its right, so equal windows meet under one of two longer keys.
     """
-    many = distinct.groupBy("anchor").count().where(F.col("count") > crowded).select("anchor")
+    many = segments.groupBy("anchor").count().where(F.col("count") > crowded).select("anchor")
     if many.isEmpty():
         return distinct.withColumn("key", F.col("anchor"))
     half = (length - GRAM) // 2
@@ -280,9 +307,10 @@ def _split_crowded(distinct: DataFrame, length: int, crowded: int) -> DataFrame:
 def repeated_intervals(texts: DataFrame, length: int, crowded: int | None = None) -> DataFrame:
     """Byte intervals [begin, stop) to remove: (doc_id, row, spans) for documents that lose bytes."""
     known = texts.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    scratch = Scratch(texts.sparkSession, "suffixes")
 
     def mark(part, data, offsets):
-        text, _, keys = anchors(data, offsets, length)
+        text, _, keys, _ = anchors(data, offsets, length)
         ids = part.column(part.schema.get_field_index("doc_id")).to_numpy()[text]
         order = np.lexsort((keys, ids))
         keys, ids = keys[order], ids[order]
@@ -290,16 +318,21 @@ def repeated_intervals(texts: DataFrame, length: int, crowded: int | None = None
         fresh[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
         yield pa.RecordBatch.from_arrays([long_column(keys[fresh]), long_column(ids[fresh])], ["key", "owner"])
 
-    shared = shared_keys(map_slices(known, "key long, owner long", mark, 256 << 10), "anchors")
+    shared = scratch.write(shared_keys(map_slices(known, "key long, owner long", mark, 256 << 10)), "anchors")
     passing = build_filter(shared)
+    scratch.drop("anchors")
     reach = length - GRAM
 
     def cut(part, data, offsets):
-        text, places, keys = anchors(data, offsets, length)
+        text, places, keys, least = anchors(data, offsets, length)
         held = may_hold(passing.value, keys)
         text, places, keys = text[held], places[held], keys[held]
-        begin = np.maximum(places - reach, offsets[text])
-        stop = np.minimum(places + GRAM + reach, offsets[text + 1])
+        # The windows that have this anchor are neighbours: from the first to the last of those around it.
+        around = places[:, None] - reach + np.arange(reach + 1)
+        own = least[np.clip(around, 0, max(len(least) - 1, 0))] == keys[:, None] if len(places) else around > 0
+        own &= (around >= offsets[text, None]) & (around < len(least))
+        begin = places - reach + own.argmax(axis=1)
+        stop = places - own[:, ::-1].argmax(axis=1) + length
         counts = stop - begin
         total = np.cumsum(counts)
         taken = (
@@ -313,26 +346,30 @@ def repeated_intervals(texts: DataFrame, length: int, crowded: int | None = None
                 pa.Array.from_buffers(pa.binary(), len(keys), [None, pa.py_buffer(ends), pa.py_buffer(taken)]),
                 part.column(part.schema.get_field_index("doc_id")).take(pa.array(text)),
                 part.column(part.schema.get_field_index("row")).take(pa.array(text)),
-                pa.array(begin - offsets[text], pa.int64()),
+                pa.array(begin - offsets[text], pa.int32()),
             ],
             ["anchor", "at", "segment", "doc_id", "row", "begin"],
         )
 
-    schema = "anchor long, at int, segment binary, doc_id long, row long, begin long"
-    segments = write_once(map_slices(known, schema, cut, 256 << 10), "segments")
+    # A segment is named by 96 bits: a hash of its bytes and half of its anchor.
+    name = [(F.col("anchor") % (1 << 31)).cast("int").alias("part"), F.xxhash64("segment", "at").alias("hash")]
+    schema = "anchor long, at int, segment binary, doc_id long, row int, begin int"
+    segments = scratch.write(map_slices(known, schema, cut, 256 << 10), "segments")
     distinct = segments.groupBy("anchor", "at", "segment").agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
     )
-    distinct = distinct.withColumn("hash", F.xxhash64("segment", "at"))
-    distinct = _split_crowded(write_once(distinct, "distinct_segments"), length, crowded or CROWDED)
-    runs = write_once(_ordered_runs(distinct, length), "runs")
-    placed = segments.select("anchor", F.xxhash64("segment", "at").alias("hash"), "doc_id", "row", "begin")
-    hits = placed.join(runs, ["anchor", "hash"]).where("smallest < doc_id")
+    distinct = _split_crowded(segments, distinct.select("*", *name), length, crowded or CROWDED)
+    runs = scratch.write(_ordered_runs(distinct, length), "runs")
+    scratch.drop()
+    placed = segments.select(*name, "doc_id", "row", "begin")
+    hits = placed.join(runs, ["part", "hash"]).where("smallest < doc_id")
     span = F.struct(
         (F.col("begin") + F.col("first_offset")).alias("begin"),
         (F.col("begin") + F.col("last_offset") + length).alias("stop"),
     )
-    return hits.groupBy("doc_id", "row").agg(F.collect_set(span).alias("spans"))
+    spans = scratch.write(hits.groupBy("doc_id", "row").agg(F.collect_set(span).alias("spans")), "spans")
+    scratch.drop("segments", "runs")
+    return spans
 
 
 def merge_spans(begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -357,7 +394,7 @@ def remove_repeats(
     cut has split, and the row's key.
     """
     texts = documents.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"])
-    texts = texts.withColumn("row", row_key("doc_id", "text"))
+    texts = texts.withColumn("row", F.hash("text"))
     spans = repeated_intervals(texts, length, crowded).select(
         F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "spans"
     )
@@ -401,5 +438,5 @@ def remove_repeats(
             yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    schema += ", kept_text string, row long" if kept_text else ""
+    schema += ", kept_text string, row int" if kept_text else ""
     return joined.select("doc_id", "text", "row", "spans").mapInArrow(finish, schema)

@@ -66,15 +66,24 @@ def test_nothing_and_extra_columns(spark):
     assert suffixes.remove_repeats(df.limit(0)).collect() == []
 
 
+def prefix(a, b):
+    return next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
+
+
 def test_columns_sort_all_suffixes():
     rng = random.Random(1)
-    strings = ["".join(rng.choices("ab", k=rng.randrange(1, 12))).encode() for _ in range(200)]
+    strings = ["".join(rng.choices("ab", k=rng.randrange(12))).encode() for _ in range(200)]
+    tails = ["".join(rng.choices("xy", k=rng.randrange(1, 9))).encode() for _ in range(200)]
+    padded = np.array([list(t.ljust(8, b"x")) for t in tails], np.uint8)
+    order, common = suffixes.tail_order(np.zeros(200, np.int64), padded, np.array([len(t) for t in tails]))
     data = np.frombuffer(b"".join(strings), np.uint8)
     lengths = np.array([len(s) for s in strings])
-    owner, size, common = suffixes.suffix_columns(data, lengths)
-    found = [strings[o][len(strings[o]) - n :] for o, n in zip(owner, size)]
-    assert found == sorted(found) and len(found) == len(data) + len(strings)
+    owner, before, common = suffixes.suffix_columns(data, lengths, order, common)
+    assert len(set(zip(owner.tolist(), before.tolist()))) == len(owner) == len(data) + 200
+    # Tails stand first; any other order is by bytes.
+    found = [strings[o][len(strings[o]) - n :] + b"\0" + tails[o] for o, n in zip(owner, before)]
+    assert found == sorted(found)
     for i in range(1, len(found)):
-        a, b = found[i - 1], found[i]
-        n = next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
-        assert common[i] == n
+        one, two = (found[k].replace(b"\0", b"") for k in (i - 1, i))
+        if (before[i - 1] == 0) == (before[i] == 0):
+            assert common[i] == prefix(one, two) or (found[i - 1][:1] == b"\0") != (found[i][:1] == b"\0")
