@@ -1,6 +1,7 @@
 """Small expressions and helpers that several operators share."""
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -53,8 +54,11 @@ class Scratch:
             for path in self.paths.pop(name, []):
                 found = jvm.org.apache.hadoop.fs.Path(path)
                 found.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)
-        gc.collect()
-        jvm.System.gc()
+        # The first round lets go of Python's handles, the second of what they held.
+        for _ in range(2):
+            gc.collect()
+            jvm.System.gc()
+            time.sleep(0.2)
 
 
 def text_slices(texts: pa.Array, max_bytes: int) -> Iterator[tuple[int, int]]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, components
+from .common import Scratch, components, row_key
 from .keysets import build_filter, lists, long_column, map_slices, may_hold, shared_keys
 from .text_arrays import U, distinct_per_text, mix, split_words, sums_per_text, word_grams
 
@@ -135,15 +135,16 @@ def shingle_sets(
         yield pa.RecordBatch.from_arrays(
             [
                 part.column(part.schema.get_field_index("doc_id")),
+                part.column(part.schema.get_field_index("row")),
                 long_column(found.digest),
                 pa.array(found.sizes, pa.int64()),
                 lists(keys[chosen[owner]], np.where(chosen, counts, 0), ~chosen),
                 lists(found.values[chosen[found.owner]], np.where(chosen, found.sizes, 0), ~chosen),
             ],
-            ["doc_id", "g", "n", "keys", "shingles"],
+            ["doc_id", "row", "g", "n", "keys", "shingles"],
         )
 
-    schema = "doc_id long, g long, n long, keys array<long>, shingles array<long>"
+    schema = "doc_id long, row long, g long, n long, keys array<long>, shingles array<long>"
     return scratch.write(map_slices(texts, schema, rows), "sets"), shared
 
 
@@ -407,7 +408,7 @@ def set_links(
 def jaccard_components(
     documents: DataFrame, k: int = 5, numerator: int = 80, denominator: int = 100
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles and component_id.
+    """One row per document: doc_id, n_shingles, component_id, and row, a key of the document row.
 
     Documents link when their sets of ``k``-word shingles (words by ASCII white space,
     A-Z lower-cased) have Jaccard similarity numerator / denominator or more. A text
@@ -418,10 +419,11 @@ def jaccard_components(
     compared by 64-bit hashes of their shingles.
     """
     texts = documents.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"])
+    texts = texts.withColumn("row", row_key("doc_id", "text"))
     scratch = Scratch(texts.sparkSession, "jaccard")
     sets, shared = shingle_sets(texts, k, numerator, denominator, scratch)
     found = set_links(sets, shared, numerator, denominator, scratch)
-    narrow = sets.select("doc_id", "g", "n")
+    narrow = sets.select("doc_id", "row", "g", "n")
     firsts = scratch.write(narrow.where("n > 0").groupBy("g").agg(F.min("doc_id").alias("rep")), "firsts")
     by_rep = (
         found.join(firsts.select(F.col("g").alias("a"), F.col("rep").alias("left")), "a")
@@ -433,5 +435,5 @@ def jaccard_components(
         "g", F.coalesce("component", "rep").alias("component_id")
     )
     return narrow.join(named.withColumnRenamed("g", "_g"), (F.col("g") == F.col("_g")) & (F.col("n") > 0), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "row"
     )

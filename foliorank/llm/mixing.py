@@ -117,7 +117,7 @@ def mix(
     joined = rows.join(
         plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_cell") == F.col("_at"))
     )
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    whole = F.when(F.col("source_size") > 0, F.floor(F.try_divide("target", "source_size"))).otherwise(0)
     extra = F.round(F.col("target")).cast("bigint") - whole * F.col("source_size")
     room = extra - (F.col("_before") + F.col("_inside"))
     part = F.greatest(F.lit(0), F.least(F.col("size"), room))

@@ -117,8 +117,8 @@ def verdict(rules: Sequence[Rule]) -> Column:
     passed = F.lit(True)
     for rule in rules:
         over = F.col(rule.denominator)
-        ratio = F.col(rule.numerator) / over
-        passed = passed & ((over == 0) | F.coalesce(ratio.between(rule.least, rule.most), F.lit(True)))
+        ratio = F.try_divide(F.col(rule.numerator), over)
+        passed = passed & F.coalesce(ratio.between(rule.least, rule.most), F.lit(True))
     return passed
 
 

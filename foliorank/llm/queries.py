@@ -53,7 +53,8 @@ def op8_url_filters(spark, folder):
 
 @query
 def op10_jaccard_join(spark, folder):
-    return jaccard.jaccard_components(documents(spark, folder), k=4, numerator=85, denominator=100)
+    found = jaccard.jaccard_components(documents(spark, folder), k=4, numerator=85, denominator=100)
+    return found.drop("row")
 
 
 @query

@@ -25,11 +25,13 @@ columns of one block of segments are arrays in memory.
 """
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Scratch, text_bytes
 from .keysets import build_filter, long_column, map_slices, may_hold, shared_keys
@@ -257,7 +259,7 @@ def _runs(block: pa.Table, length: int) -> pa.RecordBatch:
     )
 
 
-def _ordered_runs(segments: DataFrame, length: int) -> DataFrame:
+def _ordered_runs(segments: DataFrame, name: list[Column], length: int) -> DataFrame:
     """Suffix order of all segments: tasks read anchors in order, whole anchors at a time."""
 
     def run(batches):
@@ -280,7 +282,9 @@ def _ordered_runs(segments: DataFrame, length: int) -> DataFrame:
             yield _runs(pa.Table.from_batches(held), length)
 
     schema = "part int, hash long, first_offset int, last_offset int, smallest long"
-    return segments.repartition("key").sortWithinPartitions("key").mapInArrow(run, schema)
+    together = segments.repartition("key").sortWithinPartitions("key")
+    named = together.select("key", "at", "segment", "low", (F.col("low") + F.col("spread")).alias("high"), *name)
+    return named.mapInArrow(run, schema)
 
 
 def _split_crowded(segments: DataFrame, distinct: DataFrame, length: int, crowded: int) -> DataFrame:
@@ -291,7 +295,7 @@ def _split_crowded(segments: DataFrame, distinct: DataFrame, length: int, crowde
     """
     many = segments.groupBy("anchor").count().where(F.col("count") > crowded).select("anchor")
     if many.isEmpty():
-        return distinct.withColumn("key", F.col("anchor"))
+        return distinct.withColumnRenamed("anchor", "key")
     half = (length - GRAM) // 2
     marked = distinct.join(many.withColumn("crowded", F.lit(True)), "anchor", "left")
     usual = marked.where("crowded IS NULL").withColumn("key", F.col("anchor"))
@@ -301,7 +305,7 @@ def _split_crowded(segments: DataFrame, distinct: DataFrame, length: int, crowde
     right = marked.where(f"crowded AND length(segment) >= at + {half + GRAM}").withColumn(
         "key", F.xxhash64("anchor", F.lit("right"), F.substr("segment", F.col("at") + 1, F.lit(half + GRAM)))
     )
-    return usual.unionByName(left).unionByName(right).drop("crowded")
+    return usual.unionByName(left).unionByName(right).drop("crowded", "anchor")
 
 
 def repeated_intervals(texts: DataFrame, length: int, crowded: int | None = None) -> DataFrame:
@@ -351,16 +355,18 @@ def repeated_intervals(texts: DataFrame, length: int, crowded: int | None = None
             ["anchor", "at", "segment", "doc_id", "row", "begin"],
         )
 
-    # A segment is named by 96 bits: a hash of its bytes and half of its anchor.
-    name = [(F.col("anchor") % (1 << 31)).cast("int").alias("part"), F.xxhash64("segment", "at").alias("hash")]
+    # A segment is named by 96 bits, two hashes of its bytes.
+    name = [F.hash("segment", "at").alias("part"), F.xxhash64("segment", "at").alias("hash")]
     schema = "anchor long, at int, segment binary, doc_id long, row int, begin int"
     segments = scratch.write(map_slices(known, schema, cut, 256 << 10), "segments")
     distinct = segments.groupBy("anchor", "at", "segment").agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
     )
-    distinct = _split_crowded(segments, distinct.select("*", *name), length, crowded or CROWDED)
-    runs = scratch.write(_ordered_runs(distinct, length), "runs")
+    distinct = scratch.write(distinct.select("anchor", "at", "segment", "low", (F.col("high") - F.col("low")).alias("spread")), "distinct")
     scratch.drop()
+    ordered = _ordered_runs(_split_crowded(segments, distinct, length, crowded or CROWDED), name, length)
+    runs = scratch.write(ordered, "runs")
+    scratch.drop("distinct")
     placed = segments.select(*name, "doc_id", "row", "begin")
     hits = placed.join(runs, ["part", "hash"]).where("smallest < doc_id")
     span = F.struct(
@@ -382,20 +388,28 @@ def merge_spans(begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def remove_repeats(
-    documents: DataFrame, length: int = 50, kept_text: bool = False, crowded: int | None = None
+    documents: DataFrame,
+    length: int = 50,
+    kept_text: bool = False,
+    crowded: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_text, row).
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and what is asked for.
 
     Texts are judged as UTF-8 bytes, null as empty, and matches stay inside documents.
     Documents with one id do not remove each other; a document without an id neither
     removes nor loses anything. Texts shorter than ``length`` stay whole, rows that
     repeat have equal results, an empty table gives no rows, and other columns are not
     looked at. ``kept_text`` adds the remaining bytes as text, without characters that a
-    cut has split, and the row's key.
+    cut has split; ``keep`` adds columns of the documents, as struct ``kept``.
     """
-    texts = documents.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"])
-    texts = texts.withColumn("row", F.hash("text"))
-    spans = repeated_intervals(texts, length, crowded).select(
+    texts = documents.select(
+        documents["doc_id"].cast("long").alias("doc_id"),
+        documents["text"],
+        F.hash(documents["text"]).alias("row"),
+        *([F.struct(*[documents[c] for c in keep]).alias("kept")] if keep else []),
+    )
+    spans = repeated_intervals(texts.select("doc_id", "text", "row"), length, crowded).select(
         F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "spans"
     )
     joined = texts.join(spans, (F.col("doc_id") == F.col("_id")) & (F.col("row") == F.col("_row")), "left")
@@ -416,10 +430,10 @@ def remove_repeats(
                 if valid[i] and ends[i] < ends[i + 1]:
                     a, b = merge_spans(begin[ends[i] : ends[i + 1]], stop[ends[i] : ends[i + 1]])
                     removed[i], counts[i] = int((b - a).sum()), len(a)
-                    keep = np.ones(len(own), bool)
+                    stays = np.ones(len(own), bool)
                     for x, y in zip(a, b, strict=True):
-                        keep[x:y] = False
-                    own = own[keep]
+                        stays[x:y] = False
+                    own = own[stays]
                 raw = own.tobytes()
                 digests.append(hashlib.sha256(raw).hexdigest())
                 if kept_text:
@@ -433,10 +447,17 @@ def remove_repeats(
             ]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             if kept_text:
-                columns += [pa.array(left, pa.string()), batch.column(2)]
-                names += ["kept_text", "row"]
+                columns.append(pa.array(left, pa.string()))
+                names.append("kept_text")
+            if keep:
+                columns.append(batch.column(4))
+                names.append("kept")
             yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    schema += ", kept_text string, row int" if kept_text else ""
-    return joined.select("doc_id", "text", "row", "spans").mapInArrow(finish, schema)
+    schema += ", kept_text string" if kept_text else ""
+    schema = T.StructType.fromDDL(schema)
+    chosen = ["doc_id", "text", "row", "spans"]
+    if keep:
+        schema, chosen = schema.add("kept", texts.schema["kept"].dataType), [*chosen, "kept"]
+    return joined.select(*chosen).mapInArrow(finish, schema)
