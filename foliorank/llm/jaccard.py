@@ -24,6 +24,7 @@ exact. Regions whose sets are connected need no further look.
 """
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -104,11 +105,11 @@ def frequent_shingles(texts: DataFrame, k: int) -> np.ndarray:
 
 def shingle_sets(
     texts: DataFrame, k: int, numerator: int, denominator: int, scratch: Scratch
-) -> tuple[DataFrame, DataFrame]:
-    """Per document (doc_id, g, n, keys, shingles), and the table of shared prefix keys.
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Per document (doc_id, row, g, n, keys), and a function that gives chosen sets whole.
 
-    ``keys`` and ``shingles`` are filled only for sets that share enough prefix shingles
-    with others to be linked, once per chunk and set.
+    ``keys`` are filled only for sets that share enough prefix shingles with others to be
+    linked, once per chunk and set.
     """
     context = texts.sparkSession.sparkContext
     frequent = context.broadcast(frequent_shingles(texts, k))
@@ -121,8 +122,8 @@ def shingle_sets(
         )
 
     shared = scratch.write(shared_keys(map_slices(texts, "key long, owner long", prefixes)), "keys")
-    scratch.drop()
     passing = build_filter(shared)
+    scratch.drop("keys")
 
     def rows(part, data, offsets):
         found = Sets(data, offsets, k, frequent.value)
@@ -139,13 +140,33 @@ def shingle_sets(
                 long_column(found.digest),
                 pa.array(found.sizes, pa.int64()),
                 lists(keys[chosen[owner]], np.where(chosen, counts, 0), ~chosen),
-                lists(found.values[chosen[found.owner]], np.where(chosen, found.sizes, 0), ~chosen),
             ],
-            ["doc_id", "row", "g", "n", "keys", "shingles"],
+            ["doc_id", "row", "g", "n", "keys"],
         )
 
-    schema = "doc_id long, row long, g long, n long, keys array<long>, shingles array<long>"
-    return scratch.write(map_slices(texts, schema, rows), "sets"), shared
+    schema = "doc_id long, row long, g long, n long, keys array<long>"
+    sets = scratch.write(map_slices(texts, schema, rows), "sets")
+
+    def whole(members: DataFrame) -> DataFrame:
+        """(g, n, shingles) of the sets in ``members`` (g)."""
+        wanted = build_filter(members.select(F.col("g").alias("key")))
+
+        def pick(part, data, offsets):
+            found = Sets(data, offsets, k)
+            chosen = found.leads & may_hold(wanted.value, found.digest.view(np.uint64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    long_column(found.digest[chosen]),
+                    pa.array(found.sizes[chosen], pa.int64()),
+                    lists(found.values[chosen[found.owner]], found.sizes[chosen]),
+                ],
+                ["g", "n", "shingles"],
+            )
+
+        picked = map_slices(texts, "g long, n long, shingles array<long>", pick)
+        return picked.join(members, "g", "left_semi").dropDuplicates(["g"])
+
+    return sets, whole
 
 
 def _need_column(numerator: int, denominator: int):
@@ -153,21 +174,22 @@ def _need_column(numerator: int, denominator: int):
     return 1 + F.floor(overlap / 10)
 
 
-def regions(
-    sets: DataFrame, shared: DataFrame, numerator: int, denominator: int, scratch: Scratch
-) -> DataFrame:
+def regions(sets: DataFrame, numerator: int, denominator: int, scratch: Scratch) -> DataFrame:
     """Members (region, g): a region is named by its pivot, the smallest set of a cell."""
     need = _need_column(numerator, denominator)
-    cells = sets.where("keys IS NOT NULL").select("g", "n", F.explode("keys").alias("key")).distinct()
-    cells = scratch.write(cells.join(shared.select("key"), "key"), "cells")
-    enough = cells.groupBy("g", "n").count().where(F.col("count") >= need).select("g")
-    cells = cells.join(enough, "g")
+    keyed = sets.where("keys IS NOT NULL").select("g", "n", "keys").dropDuplicates(["g"])
+    cells = scratch.write(keyed, "keyed").select("g", "n", F.explode("keys").alias("key"))
     sizes = cells.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    # The window is over one set's prefix, bounded by the length of its text.
-    by_set = Window.partitionBy("g").orderBy(F.desc("members"), "key")
-    ranked = cells.join(sizes, "key").withColumn("_rank", F.row_number().over(by_set))
-    kept = scratch.write(ranked.where(F.col("_rank") > F.floor((need - 1) / 2)).select("key", "g"), "kept_cells")
-    scratch.drop("cells", "keys")
+    # Both windows are over one set's prefix, bounded by the length of its text.
+    by_set = Window.partitionBy("g")
+    ranked = (
+        cells.join(sizes, "key")
+        .withColumn("_cells", F.count("*").over(by_set))
+        .withColumn("_rank", F.row_number().over(by_set.orderBy(F.desc("members"), "key")))
+    )
+    kept = ranked.where((F.col("_cells") >= need) & (F.col("_rank") > F.floor((need - 1) / 2))).select("key", "g")
+    kept = scratch.write(kept, "kept_cells")
+    scratch.drop("keyed")
     pivots = kept.groupBy("key").agg(F.min("g").alias("region"), F.max("g").alias("last")).where("region < last")
     members = scratch.write(kept.join(pivots, "key").select("region", "g").distinct(), "regions")
     scratch.drop("kept_cells")
@@ -354,18 +376,13 @@ def _still_apart(rest: DataFrame, links: DataFrame, scratch: Scratch) -> DataFra
 
 
 def set_links(
-    sets: DataFrame, shared: DataFrame, numerator: int, denominator: int, scratch: Scratch
+    sets: DataFrame, whole: Callable[[DataFrame], DataFrame], numerator: int, denominator: int, scratch: Scratch
 ) -> DataFrame:
     """Links (a, b) between different sets, enough of them for exact components."""
     eps = 1 - numerator / denominator
-    members = regions(sets, shared, numerator, denominator, scratch)
-    reps = scratch.write(
-        sets.where("keys IS NOT NULL")
-        .groupBy("g")
-        .agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
-        .join(members.select("g").distinct(), "g", "left_semi"),
-        "set_reps",
-    )
+    members = regions(sets, numerator, denominator, scratch)
+    reps = scratch.write(whole(scratch.write(members.select("g").distinct(), "members")), "set_reps")
+    scratch.drop("members")
     linked = F.col("inter") * denominator >= F.col("union") * numerator
     pairs = members.where("region <> g").withColumn("pivot", F.col("region"))
     measured = scratch.write(_distances(pairs, reps), "distances")
@@ -421,8 +438,8 @@ def jaccard_components(
     texts = documents.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"])
     texts = texts.withColumn("row", row_key("doc_id", "text"))
     scratch = Scratch(texts.sparkSession, "jaccard")
-    sets, shared = shingle_sets(texts, k, numerator, denominator, scratch)
-    found = set_links(sets, shared, numerator, denominator, scratch)
+    sets, whole = shingle_sets(texts, k, numerator, denominator, scratch)
+    found = set_links(sets, whole, numerator, denominator, scratch)
     narrow = sets.select("doc_id", "row", "g", "n")
     firsts = scratch.write(narrow.where("n > 0").groupBy("g").agg(F.min("doc_id").alias("rep")), "firsts")
     by_rep = (
