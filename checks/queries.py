@@ -426,7 +426,8 @@ def restrict_profiles(spark, folder):
 def score_pairs_by_terms(spark, folder):
     split = term_split(spark, folder)
     train, weighted = libraries.train_part(split), write_once(plain_weights(spark, folder), "w")
-    return scoring.score_sparse(profiles.sum_sparse(train, weighted), weighted, train, n_users=20)
+    profile = write_once(profiles.sum_sparse(train, weighted), "profiles")
+    return scoring.score_sparse(profile, weighted, train)
 
 
 @query
@@ -434,8 +435,8 @@ def score_all_pairs_by_terms(spark, folder):
     """The same with the papers that share no term."""
     split = term_split(spark, folder)
     train, weighted = libraries.train_part(split), write_once(plain_weights(spark, folder), "w")
-    profile = profiles.sum_sparse(train, weighted)
-    return scoring.score_sparse(profile, weighted, train, n_users=20, include_zero=True)
+    profile = write_once(profiles.sum_sparse(train, weighted), "profiles")
+    return scoring.score_sparse(profile, weighted, train, include_zero=True)
 
 
 @query
@@ -758,7 +759,9 @@ def impute_mean(spark, folder):
 def one_hot(spark, folder):
     encoded = features.one_hot(features.index_type(rated_with_features(spark, folder)))
     places = vector_to_array("type_encoded")
-    return encoded.select("user_id", "paper_id", *[places[i].alias(f"is_type{i}") for i in range(6)])
+    return encoded.select(
+        "user_id", "paper_id", F.size(places).alias("places"), (F.array_position(places, 1.0) - 1).alias("place")
+    )
 
 
 @query
@@ -769,9 +772,15 @@ def assemble_features(spark, folder):
 
 
 def feature_columns():
-    names = ["pages", "year", *[f"is_type{i}" for i in range(6)], "user_pages", "user_papers"]
+    """The whole vector: two numbers, the place of the type among all types, two numbers."""
     values = vector_to_array("features")
-    return [r6(values[i]).alias(name) for i, name in enumerate(names)]
+    flags = F.slice(values, 3, F.size(values) - 4)
+    ends = {"pages": 1, "year": 2, "user_pages": -2, "user_papers": -1}
+    return [
+        *[r6(F.element_at(values, at)).alias(name) for name, at in ends.items()],
+        F.size(flags).alias("places"),
+        (F.array_position(flags, 1.0) - 1).alias("place"),
+    ]
 
 
 # --------------------------------------------------------- models and errors --

@@ -273,13 +273,11 @@ def _type_index(source: str) -> str:
 
 
 def _feature_rows(source: str) -> str:
-    flags = ", ".join(
-        f"CASE WHEN type_index = {i} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_type{i}" for i in range(6)
-    )
     return f"""
         SELECT user_id, paper_id, label,
                round(coalesce(pages, avg(pages) OVER ()), 6) AS pages,
-               round(coalesce(year, avg(year) OVER ()), 6) AS year, {flags},
+               round(coalesce(year, avg(year) OVER ()), 6) AS year,
+               max(n_types) OVER () AS places, coalesce(type_index, -1) AS place,
                round(user_pages, 6) AS user_pages, round(CAST(user_papers AS DOUBLE), 6) AS user_papers
         FROM {source} LEFT JOIN {_type_index(source)} USING (type)"""
 
@@ -492,8 +490,7 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(coalesce(type_index, (SELECT count(DISTINCT type) FROM positive_rows)) AS DOUBLE) AS type_index
         FROM positive_rows LEFT JOIN {_type_index('positive_rows')} USING (type)"""),
     "one_hot": (("positive_rows",), f"""
-        SELECT user_id, paper_id, is_type0, is_type1, is_type2, is_type3, is_type4, is_type5
-        FROM ({_feature_rows('positive_rows')})"""),
+        SELECT user_id, paper_id, places, place FROM ({_feature_rows('positive_rows')})"""),
     "assemble_features": (("positive_rows",), _feature_rows("positive_rows")),
     "rmse": ((), """
         SELECT round(sqrt(avg((quality - CAST(toxic AS DOUBLE)) ** 2)), 6) AS rmse FROM labels"""),

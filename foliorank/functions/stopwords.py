@@ -15,5 +15,5 @@ at by for with about against between into through during before after above belo
 to from up down in out on off over under again further then once here there when
 where why how all any both each few more most other some such no nor not only own
 same so than too very s t can will just don should now
-would could ought cannot let
+would could ought cannot
 """.split()

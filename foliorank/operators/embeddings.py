@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import as_doubles, cosine_similarity
 
-# The shape of the word model and the fewest parts it trains on.
+# The shape of the word model and the parts it trains on.
 VECTOR_SIZE = 100
 TRAINING_PARTITIONS = 10
 ANALOGY_CANDIDATES = 5
@@ -23,19 +23,16 @@ BROADCAST_WORDS = 100_000
 def word2vec_fit(
     words: DataFrame,
     vector_size: int = VECTOR_SIZE,
-    partitions: int | None = None,
+    partitions: int = TRAINING_PARTITIONS,
     seed: int = 1,
     min_count: int = 5,
 ) -> Word2VecModel:
     """Skip-gram model over the ``words`` column.
 
-    Parts of the corpus are trained apart and merged. By default there are at
-    least ten, in whole waves of the cluster's cores, so no core waits and a part
-    does not grow with the corpus when the cluster does.
+    ``partitions`` parts of the corpus are trained apart and merged. It changes the
+    vectors, so it is a parameter and never follows from the cluster; raise it with
+    the corpus. The trainer keeps vocabulary x ``vector_size`` floats on the driver.
     """
-    if partitions is None:
-        cores = words.sparkSession.sparkContext.defaultParallelism
-        partitions = -(-TRAINING_PARTITIONS // cores) * cores
     trainer = Word2Vec(
         vectorSize=vector_size,
         numPartitions=partitions,

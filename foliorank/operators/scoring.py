@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ..storage import write_once
 from .grouping import dense_index
 from .libraries import exclude_seen
-from .terms import VOCABULARY_SIZE
 
 SCORE_DIGITS = 6
 
@@ -25,6 +25,8 @@ BROADCAST_WEIGHTS = 4_000_000
 # Users in one dense block, and papers in one block when users need several.
 BLOCK_USERS = 1024
 BLOCK_PAPERS = 16_384
+# Papers whose lists of users who have them may be broadcast.
+BROADCAST_SEEN = 200_000
 # Rows of one term are spread over this many tasks in the shuffled term join.
 TERM_SALTS = 512
 
@@ -36,18 +38,18 @@ def score_sparse(
     profiles: DataFrame,
     weights: DataFrame,
     train: DataFrame,
-    n_users: int,
-    n_terms: int = VOCABULARY_SIZE,
     digits: int = SCORE_DIGITS,
     include_zero: bool = False,
 ) -> DataFrame:
     """(user_id, paper_id, similarity) of unseen papers that share a term.
 
-    ``profiles`` (user_id, term_id, weight) holds at most ``n_users`` users over
-    ``n_terms`` terms. Both are parameters, so the size of a broadcast is known
-    before the plan runs; beyond it, the term join is shuffled with salted terms.
-    ``include_zero`` also returns the papers that share no term, with score 0.
+    ``profiles`` (user_id, term_id, weight) should be a written table: its users and
+    terms are counted first, so the size of a broadcast is known before the plan
+    runs, and every user has a place; beyond it, the term join is shuffled with salted
+    terms. ``include_zero`` also returns the papers that share no term, with score 0.
     """
+    n_users, n_terms = profiles.agg(F.countDistinct("user_id"), F.countDistinct("term_id")).first()
+    n_users, n_terms = max(n_users, 1), max(n_terms, 1)
     if n_users <= PIVOT_USERS and n_users * n_terms <= BROADCAST_WEIGHTS:
         dots = _dots_by_pivot(profiles, weights, n_users, include_zero)
     else:
@@ -150,8 +152,8 @@ def score_dense(
     keeps only rows that can still be among a user's ``k`` best distinct scores, so
     the pairs never leave the task; without ``k`` all pairs are returned.
 
-    Up to ``block_users`` profiles ship with the task and the papers are not
-    moved. More profiles are cut into blocks that meet blocks of papers.
+    Up to ``block_users`` profiles ship with the task; the papers stay in place as
+    long as the counted table of papers that these users have can be broadcast. More profiles are cut into blocks that meet blocks of papers.
     """
     first = profiles.limit(block_users + 1).collect()
     if len(first) <= block_users:
@@ -173,6 +175,9 @@ def _score_shipped(rows, profiles, vectors, train, k, digits) -> DataFrame:
         .groupBy("paper_id")
         .agg(F.collect_list("slot").alias("seen"))
     )
+    seen = write_once(seen, "seen")
+    if seen.count() <= BROADCAST_SEEN:
+        seen = F.broadcast(seen)
     papers = vectors.select("paper_id", "vector").join(seen, "paper_id", "left")
     matrix = np.array([row.vector for row in rows], dtype="float64")
     user_ids = pa.array([row.user_id for row in rows], to_arrow_type(user_type))

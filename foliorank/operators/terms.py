@@ -74,20 +74,19 @@ def nest_terms(words: DataFrame) -> DataFrame:
 
 
 def merge_token_lists(
-    pairs: DataFrame, words: DataFrame, papers_per_part: int = 200
+    pairs: DataFrame, words: DataFrame, part_tokens: int = 1_000_000
 ) -> DataFrame:
     """Token lists of a user's papers, merged in paper order: (user_id, part, words).
 
-    A library of up to ``papers_per_part`` papers gives one list. A larger one
-    gives several parts, cut by the hash of the paper, so no task and no row holds
-    a whole library of unbounded size.
+    The merged list is cut, between papers, each time it passes ``part_tokens``
+    tokens: the parts in order are the merged list for a library of any size, and
+    no row holds more than a part and a paper. Places are summed over narrow rows.
     """
-    sizes = pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("_papers"))
-    parts = F.ceil(F.col("_papers") / papers_per_part)
-    placed = (
-        pairs.join(sizes, "user_id")
-        .withColumn("part", F.pmod(F.xxhash64("paper_id"), parts))
-        .select("user_id", "part", "paper_id")
+    sizes = words.select("paper_id", F.size("words").alias("_tokens"))
+    earlier = Window.partitionBy("user_id").orderBy("paper_id").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_tokens").over(earlier), F.lit(0))
+    placed = pairs.join(sizes, "paper_id").select(
+        "user_id", F.floor(offset / part_tokens).alias("part"), "paper_id"
     )
     joined = placed.join(words.select("paper_id", "words"), "paper_id")
     by_paper = F.array_sort(F.collect_list(F.struct("paper_id", "words")))

@@ -11,6 +11,8 @@ from .terms import BROADCAST_TERMS, VOCABULARY_SIZE, explode_terms, small_terms
 # The topic model's shape.
 TOPICS = 40
 TOPIC_ITERATIONS = 10
+# Terms a count model holds on the driver and in every task.
+MAX_MODEL_TERMS = 1 << 18
 
 
 def term_frequency(
@@ -49,20 +51,20 @@ def drop_zeros(weights: DataFrame) -> DataFrame:
     return weights.filter(F.col("weight") != 0)
 
 
-def count_vectors(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def count_vectors(words: DataFrame, vocabulary: DataFrame, max_terms: int = MAX_MODEL_TERMS) -> DataFrame:
     """(paper_id, features) as MLlib vectors, papers without a known term left out.
 
     Counting happens inside the row against the model's term map: no shuffle. The
-    map is the vocabulary, whose size is checked here.
+    map is the vocabulary, whose size is checked here; ``max_terms`` raises the limit.
     """
-    rows = vocabulary.orderBy("term_id").limit(BROADCAST_TERMS + 1).collect()
-    if len(rows) > BROADCAST_TERMS:
-        raise ValueError(f"count vectors need a vocabulary of at most {BROADCAST_TERMS} terms")
+    rows = vocabulary.orderBy("term_id").limit(max_terms + 1).collect()
+    if len(rows) > max_terms:
+        raise ValueError(f"count vectors need a vocabulary of at most {max_terms} terms; raise max_terms")
     model = CountVectorizerModel.from_vocabulary(
         [row.term for row in rows], inputCol="words", outputCol="features"
     )
     counted = model.transform(words).select("paper_id", "features")
-    return counted.filter(F.array_max(vector_to_array("features")) > 0)
+    return counted.filter(F.size(F.unwrap_udt("features")["indices"]) > 0)
 
 
 def lda_topics(

@@ -108,14 +108,12 @@ def topic_vectors(
 
 
 def rank_by_terms(
-    weights: DataFrame, split: DataFrame, options: ListOptions, n_terms: int = VOCABULARY_SIZE
+    weights: DataFrame, split: DataFrame, options: ListOptions
 ) -> DataFrame:
     """Lists from term weights and summed term profiles."""
     train = train_part(split)
     profiles = write_once(sum_sparse(train, weights), "profiles")
-    scored = score_sparse(
-        profiles, weights, train, options.n_users, n_terms, include_zero=options.include_zero
-    )
+    scored = score_sparse(profiles, weights, train, include_zero=options.include_zero)
     return top_k(scored, options.k, options.method)
 
 
@@ -134,7 +132,7 @@ def recommend_tfidf(
     terms: TermOptions = TermOptions(),
 ) -> DataFrame:
     split = sampled_split(pairs, options.n_users, options.seed)
-    return rank_by_terms(term_weights(papers, terms), split, options, terms.size)
+    return rank_by_terms(term_weights(papers, terms), split, options)
 
 
 def recommend_lda(

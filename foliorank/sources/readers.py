@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import PAPER_SEPARATOR, PAPERS_SCHEMA, USER_SEPARATOR
 
@@ -9,25 +10,46 @@ from ..schemas import PAPER_SEPARATOR, PAPERS_SCHEMA, USER_SEPARATOR
 MAX_STOPWORDS = 50_000
 
 
-def scan_papers(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Headerless papers CSV with the fixed 15-column schema."""
-    return spark.read.schema(PAPERS_SCHEMA).options(header=False, **options).csv(path)
+def scan_papers(spark: SparkSession, path: str, multi_line: bool = False, **options) -> DataFrame:
+    """Headerless papers CSV with the fixed 15-column schema.
+
+    Text is quoted with ``"``, and a quote inside is doubled. With ``multi_line`` quoted
+    text may hold line breaks; a file is then read by one task, so cut large inputs
+    into several files. Other ``options`` are those of Spark's CSV reader.
+    """
+    return _papers(spark, path, PAPERS_SCHEMA, multi_line, options)
+
+
+def scan_papers_features(spark: SparkSession, path: str, multi_line: bool = False, **options) -> DataFrame:
+    """The same file for classification: pages and year as floating-point numbers."""
+    numbers = {"pages": T.FloatType(), "year": T.FloatType()}
+    fields = [T.StructField(f.name, numbers.get(f.name, f.dataType)) for f in PAPERS_SCHEMA]
+    return _papers(spark, path, T.StructType(fields), multi_line, options)
+
+
+def _papers(spark, path, schema, multi_line, options) -> DataFrame:
+    settings = {"header": False, "multiLine": multi_line, "quote": '"', "escape": '"', **options}
+    return spark.read.schema(schema).options(**settings).csv(path)
 
 
 def scan_libraries(spark: SparkSession, path: str) -> DataFrame:
-    """Lines ``user;paper,paper,...`` as (user_id, paper_ids)."""
+    """Lines ``user;paper,paper,...`` as (user_id, paper_ids).
+
+    A line without the separator, or with nothing behind it, is a user with an empty list.
+    """
     fields = F.split("value", USER_SEPARATOR)
+    papers = F.coalesce(F.get(fields, 1), F.lit(""))
     return spark.read.text(path).select(
-        fields[0].alias("user_id"),
-        F.split(fields[1], PAPER_SEPARATOR).alias("paper_ids"),
+        F.get(fields, 0).alias("user_id"),
+        F.filter(F.split(papers, PAPER_SEPARATOR), lambda p: p != "").alias("paper_ids"),
     )
 
 
-def scan_stopwords(spark: SparkSession, path: str) -> list[str]:
-    """One word per line, as a list; refuses a file that is no stop list."""
-    rows = spark.read.text(path).limit(MAX_STOPWORDS + 1).collect()
-    if len(rows) > MAX_STOPWORDS:
-        raise ValueError(f"{path} has more than {MAX_STOPWORDS} lines")
+def scan_stopwords(spark: SparkSession, path: str, max_words: int = MAX_STOPWORDS) -> list[str]:
+    """One word per line, as a list; refuses a file of more than ``max_words`` lines."""
+    rows = spark.read.text(path).limit(max_words + 1).collect()
+    if len(rows) > max_words:
+        raise ValueError(f"{path} has more than {max_words} lines; raise max_words to read it")
     return [row.value for row in rows]
 
 

@@ -122,8 +122,8 @@ def test_sparse_scores_by_each_way(spark, monkeypatch):
     assert len(shared) < len(every)
 
     def check():
-        close(scores(scoring.score_sparse(*frames, n_users=9, n_terms=30)), shared)
-        close(scores(scoring.score_sparse(*frames, n_users=9, n_terms=30, include_zero=True)), every)
+        close(scores(scoring.score_sparse(*frames)), shared)
+        close(scores(scoring.score_sparse(*frames, include_zero=True)), every)
 
     check()
     monkeypatch.setattr(scoring, "PIVOT_USERS", 2)
@@ -132,6 +132,15 @@ def test_sparse_scores_by_each_way(spark, monkeypatch):
     check()
 
 
+def test_every_profile_is_scored_whatever_the_options_say(spark):
+    profiles_ = spark.createDataFrame([(u, 0, 1.0) for u in range(10)], "user_id long, term_id long, weight double")
+    weights = spark.createDataFrame([(p, 0, 2.0) for p in range(3)], "paper_id long, term_id long, weight double")
+    train = spark.createDataFrame([(0, 0)], "user_id long, paper_id long")
+    for include_zero in (False, True):
+        found = scoring.score_sparse(profiles_, weights, train, include_zero=include_zero)
+        assert found.count() == 29 and found.select("user_id").distinct().count() == 10
+
+
 def test_profiles(spark):
     train = spark.createDataFrame([("u", 1), ("u", 2), ("u", 9), ("v", 2)], "user_id string, paper_id long")
     vectors = spark.createDataFrame(

@@ -6,9 +6,9 @@ from foliorank import storage
 from foliorank.schemas import PAPERS_SCHEMA
 from foliorank.sources import (
     read_table,
-    readers,
     scan_libraries,
     scan_papers,
+    scan_papers_features,
     scan_stopwords,
     write_table,
     write_text,
@@ -36,12 +36,26 @@ def test_scan_libraries(spark, tmp_path):
     assert rows == {"u1": ["7", "8", "9"], "u2": ["7"]}
 
 
-def test_scan_stopwords(spark, tmp_path, monkeypatch):
+def test_scan_libraries_without_papers(spark, tmp_path):
+    (tmp_path / "users.txt").write_text("u1;7\nu2\nu3;\n")
+    rows = {r.user_id: r.paper_ids for r in scan_libraries(spark, str(tmp_path)).collect()}
+    assert rows == {"u1": ["7"], "u2": [], "u3": []}
+
+
+def test_scan_papers_with_line_breaks_and_floats(spark, tmp_path):
+    lines = '1,,,,,,12.5,,,2001,,,,"A ""quoted""\ntitle","Text\nof one"\n2,,,,,,,,,,,,,Only title,\n'
+    (tmp_path / "papers.csv").write_text(lines)
+    rows = {r.paper_id: r for r in scan_papers(spark, str(tmp_path), multi_line=True).collect()}
+    assert rows[1].title == 'A "quoted"\ntitle' and rows[1].abstract == "Text\nof one" and len(rows) == 2
+    floats = {r.paper_id: r for r in scan_papers_features(spark, str(tmp_path), multi_line=True).collect()}
+    assert floats[1].pages == 12.5 and floats[1].year == 2001.0 and floats[2].pages is None
+
+
+def test_scan_stopwords(spark, tmp_path):
     (tmp_path / "stop.txt").write_text("the\nof\nof\n")
     assert sorted(scan_stopwords(spark, str(tmp_path / "stop.txt"))) == ["of", "of", "the"]
-    monkeypatch.setattr(readers, "MAX_STOPWORDS", 2)
     with pytest.raises(ValueError):
-        scan_stopwords(spark, str(tmp_path / "stop.txt"))
+        scan_stopwords(spark, str(tmp_path / "stop.txt"), max_words=2)
 
 
 def test_tables_round_trip_and_refuse_to_overwrite(spark, tmp_path):

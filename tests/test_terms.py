@@ -99,3 +99,14 @@ def test_topics(spark):
     assert len(topics) == 20
     for r in topics:
         assert len(r.vector) == 3 and np.isclose(sum(r.vector), 1)
+
+
+def test_parts_in_order_are_the_merged_list_of_a_large_library(spark):
+    pairs = spark.createDataFrame([(u, p) for u in (1, 2) for p in range(500) if u == 1 or p < 3], "user_id long, paper_id long")
+    words = spark.createDataFrame([(p, [f"w{p}", f"v{p}"]) for p in range(500)], "paper_id long, words array<string>")
+    plain = [w for p in range(500) for w in (f"w{p}", f"v{p}")]
+    for part_tokens in (1_000_000, 64):
+        rows = terms.merge_token_lists(pairs, words, part_tokens).orderBy("user_id", "part").collect()
+        assert [w for r in rows if r.user_id == 1 for w in r.words] == plain
+        assert [w for r in rows if r.user_id == 2 for w in r.words] == plain[:6]
+        assert (len(rows) == 2) == (part_tokens > 1000)
