@@ -30,6 +30,7 @@ from foliorank.sources import (
     read_table,
     scan_libraries,
     scan_papers,
+    scan_papers_features,
     scan_stopwords,
     write_table,
     write_text,
@@ -976,3 +977,71 @@ def preprocess_intensive(spark, folder):
 @query
 def preprocess_intensive_stemmed(spark, folder):
     return preprocess.preprocess_intensive(tables.papers(spark, folder), distinct=True)
+
+
+# ------------------------------------------------- facts of trained results --
+
+
+@query
+def lda_topic_facts(spark, folder):
+    """Which papers have topic shares, how many, and their sum."""
+    rows = recommend.topic_vectors(tables.papers(spark, folder), NO_STEM, seed=SEED)
+    total = F.aggregate("vector", F.lit(0.0), lambda t, x: t + x)
+    return rows.select("paper_id", F.size("vector").alias("places"), r6(total).alias("total"))
+
+
+@query
+def word2vec_vocabulary(spark, folder):
+    """The words that a trained model knows, and the length of their vectors."""
+    model = embeddings.word2vec_fit(conservative_words(spark, folder), seed=SEED)
+    return embeddings.word_vectors(model).select("word", F.size("vector").alias("places"))
+
+
+def predicted_facts(predicted):
+    valid = F.col("prediction").isin(0.0, 1.0)
+    return predicted.select("user_id", "paper_id", "label", valid.alias("valid"))
+
+
+@query
+def linear_svm_facts(spark, folder):
+    """The rows that are predicted, and that predictions are classes."""
+    return predicted_facts(models.linear_svm(*split_dataset(spark, folder)))
+
+
+@query
+def random_forest_facts(spark, folder):
+    return predicted_facts(models.random_forest(*split_dataset(spark, folder)))
+
+
+def written_papers(spark, folder):
+    """Papers as CSV files with all 15 columns filled and line breaks kept; returns the folder."""
+    path = new_table_path(spark, "papers-csv")
+    made = {
+        "paper_id": F.col("paper_id").cast("int"),
+        "type": F.concat(F.lit('a "type", '), F.col("paper_id") % 3),
+        "pages": F.when(F.col("paper_id") % 10 != 0, F.col("paper_id") % 500).cast("int"),
+        "year": F.when(F.col("paper_id") % 7 != 0, (1990 + F.col("paper_id") % 30).cast("string")),
+        "title": F.col("title"),
+        "abstract": F.col("abstract"),
+    }
+    columns = [
+        made.get(f.name, F.concat(F.lit(f"{f.name} "), F.col("paper_id"))).cast(f.dataType).alias(f.name)
+        for f in PAPERS_SCHEMA
+    ]
+    tables.papers(spark, folder).select(*columns).write.options(
+        escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="", lineSep="\n"
+    ).csv(path)
+    return path
+
+
+@query
+def scan_papers_multi_line(spark, folder):
+    """All 15 columns, with the line breaks of real abstracts."""
+    rows = scan_papers(spark, written_papers(spark, folder), multi_line=True)
+    return rows.withColumn("abstract", F.coalesce("abstract", F.lit(""))).withColumn("title", F.coalesce("title", F.lit("")))
+
+
+@query
+def scan_papers_with_floats(spark, folder):
+    rows = scan_papers_features(spark, written_papers(spark, folder), multi_line=True)
+    return rows.select("paper_id", "type", F.col("pages").cast("double").alias("pages"), F.col("year").cast("double").alias("year"))

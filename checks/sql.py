@@ -4,6 +4,7 @@ Steps shared by several statements are named once and put in front of a
 statement as common table expressions, in the order they need each other.
 """
 
+from foliorank.schemas import PAPERS_SCHEMA
 from foliorank.functions.stopwords import ENGLISH_STOPWORDS
 from foliorank.operators.interactions import STRIDES
 
@@ -288,6 +289,24 @@ def _place_rows(source: str, key: str, vector: str) -> str:
         FROM (SELECT {key}, unnest({vector}) AS value, unnest(range(1, len({vector}) + 1)) AS place FROM {source})"""
 
 
+_TESTED = """
+        SELECT user_id, paper_id, label, true AS valid FROM mixed_rows
+        WHERE CAST('0x' || substr(md5(concat_ws('|', '7', CAST(user_id AS VARCHAR), CAST(paper_id AS VARCHAR))), 1, 8) AS BIGINT)
+              >= 0.8 * 4294967296"""
+
+_PAPER_COLUMNS = ", ".join(
+    {
+        "paper_id": "paper_id",
+        "type": """'a "type", ' || paper_id % 3 AS type""",
+        "pages": "CASE WHEN paper_id % 10 <> 0 THEN paper_id % 500 END AS pages",
+        "year": "CASE WHEN paper_id % 7 <> 0 THEN CAST(1990 + paper_id % 30 AS VARCHAR) END AS year",
+        "title": "coalesce(title, '') AS title",
+        "abstract": "coalesce(abstract, '') AS abstract",
+    }.get(name, f"'{name} ' || paper_id AS {name}")
+    for name in PAPERS_SCHEMA.names
+)
+
+
 _SYNONYM = """(SELECT vector FROM vectors WHERE paper_id = {})"""
 
 
@@ -513,6 +532,19 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "preprocess_conservative": (("conservative",), _joined("conservative")),
     "preprocess_intensive": (("conservative",), f"""
         SELECT paper_id, array_to_string({_without_stop('words')}, ' ') AS words FROM conservative"""),
+    # facts of trained results
+    "lda_topic_facts": (("tf",), "SELECT DISTINCT paper_id, 40 AS places, 1.0::DOUBLE AS total FROM tf"),
+    "word2vec_vocabulary": (("conservative",), """
+        SELECT word, 100 AS places FROM (SELECT unnest(words) AS word FROM conservative)
+        GROUP BY word HAVING count(*) >= 5"""),
+    "linear_svm_facts": (("mixed_rows",), _TESTED),
+    "random_forest_facts": (("mixed_rows",), _TESTED),
+    "scan_papers_multi_line": (("papers",), f"SELECT {_PAPER_COLUMNS} FROM papers"),
+    "scan_papers_with_floats": (("papers",), """
+        SELECT paper_id, 'a "type", ' || paper_id % 3 AS type,
+               CASE WHEN paper_id % 10 <> 0 THEN CAST(paper_id % 500 AS DOUBLE) END AS pages,
+               CASE WHEN paper_id % 7 <> 0 THEN CAST(1990 + paper_id % 30 AS DOUBLE) END AS year
+        FROM papers"""),
 }
 
 
