@@ -98,7 +98,7 @@ def frequent_shingles(texts: DataFrame, k: int) -> np.ndarray:
             [long_column(shingles[often]), pa.array(counts[often], pa.int64())], ["key", "n"]
         )
 
-    counted = map_slices(texts, "key long, n long", count, 4 << 20).groupBy("key").agg(F.sum("n").alias("n"))
+    counted = map_slices(texts, "key long, n long", count, 2 << 20).groupBy("key").agg(F.sum("n").alias("n"))
     top = counted.where("n >= 20").orderBy(F.desc("n"), "key").limit(FREQUENT_SHINGLES).select("key").toArrow()
     return np.sort(top["key"].to_numpy().view(np.uint64))
 
