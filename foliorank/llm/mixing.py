@@ -57,9 +57,10 @@ def source_targets(
         (F.col("_budget") - F.coalesce(F.sum("_limit").over(before), F.lit(0.0)))
         / F.sum("_weight").over(onwards),
     )
-    # The first source in level order that stays below its limit fixes the level of all after it.
+    # Levels rise while sources are clamped and fall after, so the highest level at which a
+    # source stays below its limit is that of the first such source.
     fits = F.col("_level") * F.col("_weight") < F.col("_limit")
-    level = F.min(F.when(fits, F.col("_level"))).over(everything)
+    level = F.max(F.when(fits, F.col("_level"))).over(everything)
     target = F.least("_limit", F.coalesce(level * F.col("_weight"), F.col("_limit")))
     return levels.select("source", "source_size", target.alias("target"))
 
@@ -149,7 +150,7 @@ WITH d AS (
   FROM s
 ), t AS (
   SELECT source, CAST(source_size AS BIGINT) AS source_size,
-    least(cap, coalesce((SELECT min(level) FROM l x WHERE x.level * x.weight < x.cap) * weight, cap)) AS target
+    least(cap, coalesce((SELECT max(level) FROM l x WHERE x.level * x.weight < x.cap) * weight, cap)) AS target
   FROM l
 ), p AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
