@@ -133,15 +133,14 @@ def judge(
     work of its own row only.
     """
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return _measures(documents, keep).select(
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    result = F.struct(*names, base_failed.alias("base_failed"), (~base_failed & verdict(rules)).alias("kept"))
+    # A generator of one row: a filter on the verdict stays above it. Pushed below, it would
+    # hold every measure spelled out, with the sorted windows once for each comparison.
+    judged = _measures(documents, keep).select("_kept", F.explode(F.array(result)).alias("_result"))
+    return judged.select(
         *[F.col(f"_kept.{c}").alias(c) for c in keep],
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        base_failed.alias("base_failed"),
-        (~base_failed & verdict(rules)).alias("kept"),
+        *[F.col(f"_result.{c}").alias(c) for c in [*names, "base_failed", "kept"]],
     )
 
 
