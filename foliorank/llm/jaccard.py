@@ -148,7 +148,7 @@ def shingle_sets(
     sets = scratch.write(map_slices(texts, schema, rows), "sets")
 
     def whole(members: DataFrame) -> DataFrame:
-        """(g, n, shingles) of the sets in ``members`` (g)."""
+        """(g, n, shingles) once for each set in ``members`` (g), and for few others."""
         wanted = build_filter(members.select(F.col("g").alias("key")))
 
         def pick(part, data, offsets):
@@ -164,7 +164,7 @@ def shingle_sets(
             )
 
         picked = map_slices(texts, "g long, n long, shingles array<long>", pick)
-        return picked.join(members, "g", "left_semi").dropDuplicates(["g"])
+        return picked.dropDuplicates(["g"])
 
     return sets, whole
 
@@ -378,13 +378,33 @@ def _still_apart(rest: DataFrame, links: DataFrame, scratch: Scratch) -> DataFra
 def set_links(
     sets: DataFrame, whole: Callable[[DataFrame], DataFrame], numerator: int, denominator: int, scratch: Scratch
 ) -> DataFrame:
-    """Links (a, b) between different sets, enough of them for exact components."""
-    eps = 1 - numerator / denominator
+    """Links (a, b) between different sets, enough of them for exact components.
+
+    A region of up to ``REGION_ROWS`` sets goes to one task as it is, so its sets are
+    moved there once; larger ones are first cut by pivots as Spark joins.
+    """
     members = regions(sets, numerator, denominator, scratch)
-    reps = scratch.write(whole(scratch.write(members.select("g").distinct(), "members")), "set_reps")
-    scratch.drop("members")
+    counts = members.groupBy("region").agg(F.count("*").alias("members"))
+    sized = scratch.write(members.join(counts, "region"), "sized")
+    scratch.drop("regions")
+    small = sized.where(F.col("members") <= REGION_ROWS).withColumn("label", F.col("g"))
+    links = scratch.write(_finish(small, whole(small), numerator, denominator), "links")
+    large = sized.where(F.col("members") > REGION_ROWS)
+    if not large.isEmpty():
+        links = links.unionByName(_large_links(large, whole, numerator, denominator, scratch))
+    found = scratch.write(links, "all_links")
+    scratch.drop("links", "distances", "left_over", "set_reps", "sized")
+    return found
+
+
+def _large_links(
+    members: DataFrame, whole: Callable[[DataFrame], DataFrame], numerator: int, denominator: int, scratch: Scratch
+) -> DataFrame:
+    """Links inside regions (region, g) of more than ``REGION_ROWS`` sets."""
+    eps = 1 - numerator / denominator
+    reps = scratch.write(whole(members), "set_reps")
     linked = F.col("inter") * denominator >= F.col("union") * numerator
-    pairs = members.where("region <> g").withColumn("pivot", F.col("region"))
+    pairs = members.where("region <> g").select("region", "g", F.col("region").alias("pivot"))
     measured = scratch.write(_distances(pairs, reps), "distances")
     links = measured.where(linked).select(F.col("pivot").alias("a"), F.col("g").alias("b"))
     links = scratch.write(links, "links")
@@ -414,12 +434,8 @@ def set_links(
         if after > 2 * before:
             break
         rest = scratch.write(rest.where(F.col("members") <= REGION_ROWS).unionByName(cut), "left_over")
-    finished = scratch.write(
-        _finish(rest.select("region", "g", "label", "members"), reps, numerator, denominator), "links"
-    )
-    found = scratch.write(links.unionByName(finished), "all_links")
-    scratch.drop("links", "distances", "left_over", "set_reps", "regions")
-    return found
+    finished = _finish(rest.select("region", "g", "label", "members"), reps, numerator, denominator)
+    return links.unionByName(scratch.write(finished, "links"))
 
 
 def jaccard_components(
