@@ -15,8 +15,8 @@ rare shingles:
    Triangle-inequality windows keep of the ball only the boundary that an outside
    member could reach.
 3. What is left joins recursively: large regions are cut by new pivots into Voronoi
-   regions with boundary windows of twice the threshold, as Spark joins; small ones
-   are finished by the same recursion in one task. Regions that pivots cannot cut
+   regions with boundary windows of twice the threshold, as Spark joins. Small ones
+   go to one task from the start and are divided by the same recursion there. Regions that pivots cannot cut
    (all distances alike) are compared in pairs of blocks. No case is dropped.
 
 Links between sets that other links already connect are not listed; components are
