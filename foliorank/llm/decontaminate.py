@@ -1,12 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Test items come in blocks of bounded size; each block meets every document in a
-scan of its own, so documents are not shuffled. Two scans a block: the first counts
-in how many documents each word n-gram of the items occurs; the second looks for
-the rare ones (those below ``rare`` documents, and in any stretch of an item its two
-rarest, so that an item which leaked everywhere keeps its seeds), lays a window of
-the document around each seed's diagonal, and aligns item and window by words.
-Alignment runs over all windows of a chunk at once.
+scan of its own, so documents are not shuffled. The scan looks for the word n-grams of
+the items, all of them however many documents hold one, lays a window of the document
+around each seed's diagonal, and aligns item and window by words. A window with too few
+of the item's words to reach the score is passed by: that bound is exact and keeps
+common n-grams cheap. Alignment runs over many windows at once.
 """
 
 from collections.abc import Iterator
@@ -14,17 +13,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import row_key
 from .keysets import long_column, map_slices
 from .text_arrays import split_words, word_grams
 
 MATCH, OTHER, GAP = 2, -1, 1
-STRETCH = 8  # positions of an item that keep at least two seeds
 LEAST_WORDS = 8  # an alignment is worth at least so many matching words, or the whole item
 BLOCK_BYTES = 4 << 20
 CELLS = 4_000_000
+HITS = 500_000  # places of seeds laid out at once
 
 
 class Items:
@@ -43,27 +41,8 @@ class Items:
         place = np.arange(len(grams)) - np.repeat(np.cumsum(counts) - counts, counts)
         self.seeds, number = np.unique(grams, return_inverse=True)
         order = np.argsort(number, kind="stable")
-        self.owner, self.place, self.number = owner[order], place[order], number[order]
-
-    def keep_rare(self, documents: np.ndarray, rare: int) -> None:
-        """Leave only the places of rare seeds; ``documents`` has each seed's frequency."""
-        frequency = documents[self.number]
-        stretch = self.place // STRETCH
-        order = np.lexsort((self.place, frequency, stretch, self.owner))
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = (np.diff(self.owner[order]) != 0) | (np.diff(stretch[order]) != 0)
-        heads = np.flatnonzero(fresh)
-        rank = np.arange(len(order)) - np.repeat(heads, np.diff(np.concatenate([heads, [len(order)]])))
-        kept = np.zeros(len(order), bool)
-        kept[order] = rank < 2
-        kept |= frequency <= rare
-        self.owner, self.place, self.number = self.owner[kept], self.place[kept], self.number[kept]
-
-    def finish(self) -> None:
-        """Index places by seed."""
-        used, self.number = np.unique(self.number, return_inverse=True)
-        self.seeds = self.seeds[used]
-        self.start = np.searchsorted(self.number, np.arange(len(self.seeds) + 1))
+        self.owner, self.place = owner[order], place[order]
+        self.start = np.searchsorted(number[order], np.arange(len(self.seeds) + 1))
 
     def find(self, grams: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position in ``grams``, seed) of all grams that are seeds."""
@@ -120,31 +99,40 @@ def _windows(items: Items, words, at, seed):
     return text, item, np.maximum(low, words.first[text]), high
 
 
-def _scores(items: Items, words, item, low, high) -> np.ndarray:
-    """Alignment scores of windows, in batches of similar length."""
+def _words_held(left: np.ndarray, right: np.ndarray, own: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """At least how many item words each window holds: what an alignment can match at most.
+
+    Windows are bit tables by the low bits of their words' hashes; a clash only raises the count.
+    """
+    bits = 1 << int(8 * right.shape[1]).bit_length()
+    rows = np.arange(len(left))[:, None] * bits
+    table = np.zeros(len(left) * bits, bool)
+    table[(rows + (right & np.uint64(bits - 1)).astype(np.int64))[used]] = True
+    held = table[rows + (left & np.uint64(bits - 1)).astype(np.int64)]
+    return (held & own).sum(axis=1)
+
+
+def _scores(items: Items, words, item, low, high, need) -> np.ndarray:
+    """Alignment scores of windows, in batches of similar length; 0 where ``need`` is out of reach."""
     found = np.zeros(len(item), np.int64)
     order = np.argsort(items.sizes[item], kind="stable")
+    widths = high - low
+    longest = np.maximum.accumulate(widths[order])
     start = 0
     while start < len(order):
-        stop = start + 1
-        longest = int((high - low)[order[start]])
-        while stop < len(order):
-            longest = max(longest, int((high - low)[order[stop]]))
-            if (stop + 1 - start) * longest > CELLS:
-                break
-            stop += 1
-        rows = order[start:stop]
-        width = int((high - low)[rows].max())
+        ahead = longest[start : start + CELLS]
+        fits = np.searchsorted(np.arange(1, len(ahead) + 1) * ahead, CELLS, "right")
+        rows = order[start : start + max(1, int(fits))]
+        start += len(rows)
         left = np.full((len(rows), int(items.sizes[item[rows]].max())), 0, np.uint64)
-        right = np.full((len(rows), width), 1, np.uint64)
-        span = np.arange(left.shape[1])
-        used = span < items.sizes[item[rows], None]
-        left[used] = items.words[(items.first[item[rows], None] + span)[used]]
-        span = np.arange(width)
-        used = span < (high - low)[rows, None]
-        right[used] = words.hashes[(low[rows, None] + span)[used]]
-        found[rows] = align(left, right)
-        start = stop
+        right = np.full((len(rows), int(widths[rows].max())), 1, np.uint64)
+        own = np.arange(left.shape[1]) < items.sizes[item[rows], None]
+        left[own] = items.words[(items.first[item[rows], None] + np.arange(left.shape[1]))[own]]
+        used = np.arange(right.shape[1]) < widths[rows, None]
+        right[used] = words.hashes[(low[rows, None] + np.arange(right.shape[1]))[used]]
+        able = MATCH * _words_held(left, right, own, used) >= need[rows]
+        if able.any():
+            found[rows[able]] = align(left[able], right[able])
     return found
 
 
@@ -177,37 +165,22 @@ def find_copies(
     lower-cased. Null or empty texts, and items of fewer than ``n`` words, match nothing.
     Ids may be null or repeat: each document row and each item row is searched, and
     equal pairs of one text are given once. Empty tables give no rows; other columns are
-    not looked at. ``row`` is a key of the document row.
+    not looked at. ``row`` is a key of the document row. ``rare`` was the number of
+    documents up to which a seed counted; all seeds count now and it changes nothing.
     """
     texts = documents.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"])
     texts = texts.withColumn("row", row_key("doc_id", "text"))
     schema = "doc_id long, item_id long, score double, row long"
     found = None
     for rows in item_blocks(items, "item_id", block_bytes):
-        block = _search(texts, Items(rows, n), n, min_score, rare, schema)
+        block = _search(texts, Items(rows, n), n, min_score, schema)
         found = block if found is None else found.unionByName(block)
     return found if found is not None else texts.sparkSession.createDataFrame([], schema)
 
 
-def _search(texts: DataFrame, items: Items, n: int, min_score: float, rare: int, schema: str) -> DataFrame:
-    context = texts.sparkSession.sparkContext
-    shipped = context.broadcast((items.seeds, items.table()))
-
-    def count(part, data, offsets):
-        probe = Items.__new__(Items)
-        probe.seeds, table = shipped.value
-        grams, owner = word_grams(split_words(data, offsets), n)
-        at, seed = probe.find(grams, table)
-        pairs = np.unique(seed * np.int64(len(offsets)) + owner[at])
-        seeds, counts = np.unique(pairs // len(offsets), return_counts=True)
-        yield pa.RecordBatch.from_arrays([long_column(seeds), pa.array(counts, pa.int64())], ["seed", "n"])
-
-    counted = map_slices(texts, "seed long, n long", count, 4 << 20).groupBy("seed").agg(F.sum("n").alias("n")).toArrow()
-    frequency = np.zeros(len(items.seeds), np.int64)
-    frequency[counted["seed"].to_numpy()] = counted["n"].to_numpy()
-    items.keep_rare(frequency, rare)
-    items.finish()
-    chosen = context.broadcast((items, items.table()))
+def _search(texts: DataFrame, items: Items, n: int, min_score: float, schema: str) -> DataFrame:
+    chosen = texts.sparkSession.sparkContext.broadcast((items, items.table()))
+    hits_at_once = HITS
 
     def search(part, data, offsets):
         own, table = chosen.value
@@ -224,11 +197,20 @@ def _search(texts: DataFrame, items: Items, n: int, min_score: float, rare: int,
         if not len(at):
             return
         word = at - (np.cumsum(per_text) - per_text)[owner[at]] + words.first[owner[at]]
-        text, item, low, high = _windows(own, words, word, seed)
-        best = _scores(own, words, item, low, high)
-        whole = MATCH * own.sizes[item]
-        good = (best >= min_score * whole) & (best >= MATCH * np.minimum(own.sizes[item], LEAST_WORDS))
-        text, item, share = text[good], item[good], best[good] / whole[good]
+        laid = np.cumsum(own.start[seed + 1] - own.start[seed])
+        parts = []
+        start = 0
+        while start < len(at):
+            done = laid[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(laid, done + hits_at_once, "right")))
+            text, item, low, high = _windows(own, words, word[start:stop], seed[start:stop])
+            whole = MATCH * own.sizes[item]
+            need = np.maximum(min_score * whole, MATCH * np.minimum(own.sizes[item], LEAST_WORDS))
+            best = _scores(own, words, item, low, high, need)
+            good = best >= need
+            parts.append((text[good], item[good], best[good] / whole[good]))
+            start = stop
+        text, item, share = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((-share, item, text))
         text, item, share = text[order], item[order], share[order]
         top = np.ones(len(text), bool)

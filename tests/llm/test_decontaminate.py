@@ -91,3 +91,33 @@ def test_align_by_hand():
     items = np.array([[5, 6, 7, 8, 0]], np.uint64)
     windows = np.array([[9, 5, 6, 9, 7, 8, 1, 1]], np.uint64)
     assert decontaminate.align(items, windows).tolist() == [7]
+
+
+def test_edited_copies_of_an_item_in_many_documents(spark):
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=15))) for i in range(4)]
+    documents = []
+    for i in range(240):
+        body = rng.choices(vocabulary, k=40)
+        own = items[i % 2][1].split()
+        copy = own if i < 80 else [w if rng.random() > 0.2 else f"other{i}" for w in own]
+        documents.append((i, " ".join(body[:20] + copy + body[20:])))
+    a = spark.createDataFrame(documents, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    expected = brute(documents, items)
+    for rare in (64, 5):
+        found = {(r.doc_id, r.item_id): r.score for r in decontaminate.find_copies(a, b, rare=rare).collect()}
+        assert found == expected
+    assert len(expected) > 200
+
+
+def test_a_common_trigram_of_all_items_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "HITS", 7)
+    documents, items = corpus(8)
+    items = [(i, f"which of the {t}") for i, t in items[:12]]
+    documents = [(i, f"which of the which of the {t}") for i, t in documents[:60]]
+    a = spark.createDataFrame(documents, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in decontaminate.find_copies(a, b).collect()}
+    assert found == brute(documents, items) and found
