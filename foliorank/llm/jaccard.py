@@ -447,8 +447,9 @@ def jaccard_components(
     A-Z lower-cased) have Jaccard similarity numerator / denominator or more. A text
     with fewer words is one shingle; null and empty texts have none, link with
     nothing and are their own component. ``component_id`` is the smallest doc_id
-    reachable; rows with equal ids stay rows of their own, and a null id takes part
-    without being anyone's component. An empty table gives no rows. Sets are
+    reachable, null where no document reachable has an id; rows with equal ids stay rows
+    of their own and link nothing by their id, and a null id takes part, as pivot or
+    bridge too, without being anyone's component. An empty table gives no rows. Sets are
     compared by 64-bit hashes of their shingles.
     """
     texts = documents.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"])
@@ -458,14 +459,15 @@ def jaccard_components(
     found = set_links(sets, whole, numerator, denominator, scratch)
     narrow = sets.select("doc_id", "row", "g", "n")
     firsts = scratch.write(narrow.where("n > 0").groupBy("g").agg(F.min("doc_id").alias("rep")), "firsts")
-    by_rep = (
-        found.join(firsts.select(F.col("g").alias("a"), F.col("rep").alias("left")), "a")
-        .join(firsts.select(F.col("g").alias("b"), F.col("rep").alias("right")), "b")
-        .where("left IS NOT NULL AND right IS NOT NULL")
+    # Sets are the nodes, so a set that only rows without an id hold links others all the same.
+    linked = firsts.join(components(found, "a", "b"), F.col("g") == F.col("node"), "left").select(
+        "g", "rep", F.coalesce("component", "g").alias("component")
     )
-    groups = components(by_rep, "left", "right")
-    named = firsts.join(groups, F.col("rep") == F.col("node"), "left").select(
-        "g", F.coalesce("component", "rep").alias("component_id")
+    linked = scratch.write(linked, "linked")
+    smallest = linked.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("_sets"))
+    several = smallest.where("_sets > 1").select("component", "component_id")
+    named = linked.join(several, "component", "left").select(
+        "g", F.coalesce("component_id", "rep").alias("component_id")
     )
     return narrow.join(named.withColumnRenamed("g", "_g"), (F.col("g") == F.col("_g")) & (F.col("n") > 0), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "row"

@@ -111,3 +111,31 @@ def test_words_and_grams_by_hand():
     assert words.hashes[:3].tolist() == words.hashes[3:].tolist()
     grams, owner = word_grams(words, 4)
     assert owner.tolist() == [0, 2] and grams[0] == grams[1]
+
+
+@pytest.mark.parametrize("rows_per_region", [512, 2])
+def test_near_copies_without_an_id_link_others(spark, monkeypatch, rows_per_region):
+    monkeypatch.setattr(jaccard, "REGION_ROWS", rows_per_region)
+    rng = random.Random(11)
+    rows, named = [], []
+    for n in range(12):
+        words = [f"w{n}x{rng.random()}" for _ in range(90)]
+        # Each step changes six words at one end: neighbours link at 0.85, the ends of the chain do not.
+        head, tail = ([f"{c}{n}z{j}" for j in range(6)] for c in "hy")
+        chain = [words, head + words[6:], head + words[6:84] + tail]
+        chain = [" ".join(c) for c in chain]
+        ids = [10 * n + 5, None, 10 * n + 3] if n % 3 else [None, None, None]
+        rows += list(zip(ids, chain, strict=True))
+        named += list(zip([1000 * n + i for i in range(3)], chain, strict=True))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted(map(tuple, jaccard.jaccard_components(df, 4, 85, 100).drop("row").collect()), key=str)
+    groups = {}
+    for (i, _), (key, (n, root)) in zip(rows, brute(named, 4, 85, 100).items(), strict=True):
+        groups.setdefault(root, []).append((i, n))
+    assert all(len(g) == 3 for g in groups.values())
+    expected = []
+    for g in groups.values():
+        ids = [i for i, _ in g if i is not None]
+        expected += [(i, n, min(ids) if ids else None) for i, n in g]
+    assert found == sorted(expected, key=str)
+    assert sum(1 for i, _, c in found if i is None and c is not None) == 8
