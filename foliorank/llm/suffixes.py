@@ -16,7 +16,8 @@ smaller id. Three steps over the whole corpus find them:
    are the collection's end markers, and each round inserts the next symbol of every
    segment's left part, from the anchor to the front. Runs of common prefixes of
    ``length`` or more are equal strings; each run's smallest document keeps it, all others
-   lose it.
+   lose it. An anchor with very many contexts is not held as a collection: its windows
+   are grouped one by one.
 
 The rounds are as many as bytes stand before an anchor, not as many as a document has:
 that is what lets the construction run in parallel over anchors. The sequential files
@@ -39,7 +40,7 @@ from .text_arrays import U, mix
 
 GRAM = 18  # bytes of an anchor; a window of 50 bytes holds 33 of them
 BLOCK = 20_000  # segments whose columns are built together
-CROWDED = 200_000  # contexts of one anchor beyond which it is split by what stands beside it
+CROWDED = 200_000  # contexts of one anchor beyond which its windows are compared one by one
 _LAST = U((1 << 64) - 1)
 
 
@@ -287,25 +288,28 @@ def _ordered_runs(segments: DataFrame, name: list[Column], length: int) -> DataF
     return named.mapInArrow(run, schema)
 
 
-def _split_crowded(segments: DataFrame, distinct: DataFrame, length: int, crowded: int) -> DataFrame:
-    """Give anchors with very many rows a longer key.
+def _window_runs(segments: DataFrame, name: list[Column], length: int) -> DataFrame:
+    """The rows of ``_ordered_runs`` for anchors with very many contexts, a row a window.
 
-    A window reaches at least half of its bytes besides the anchor to the anchor's left
-    or to its right, so equal windows meet under one of two longer keys.
+    Equal windows have equal anchors and equal bytes, so each window is a key of its own
+    and no task holds an anchor: pre-aggregated minima and maxima give its documents,
+    and one join gives them back. A segment has at most length - GRAM + 1 windows.
     """
-    many = segments.groupBy("anchor").count().where(F.col("count") > crowded).select("anchor")
-    if many.isEmpty():
-        return distinct.withColumnRenamed("anchor", "key")
-    half = (length - GRAM) // 2
-    marked = distinct.join(many.withColumn("crowded", F.lit(True)), "anchor", "left")
-    usual = marked.where("crowded IS NULL").withColumn("key", F.col("anchor"))
-    left = marked.where(f"crowded AND at >= {half}").withColumn(
-        "key", F.xxhash64("anchor", F.lit("left"), F.substr("segment", F.col("at") - half + 1, F.lit(half + GRAM)))
+    high = (F.col("low") + F.col("spread")).alias("high")
+    last = F.length("segment") - length
+    offsets = segments.where(last >= 0).select(
+        "segment", *name, "low", high, F.explode(F.sequence(F.lit(0), last.cast("int"))).alias("offset")
+    )
+    # A window is named by 96 bits, as segments are.
+    window = F.substr("segment", F.col("offset") + 1, F.lit(length))
+    windows = offsets.select(
+        "part", "hash", "low", "high", "offset", F.hash(window).alias("w_part"), F.xxhash64(window).alias("w_hash")
     )
-    right = marked.where(f"crowded AND length(segment) >= at + {half + GRAM}").withColumn(
-        "key", F.xxhash64("anchor", F.lit("right"), F.substr("segment", F.col("at") + 1, F.lit(half + GRAM)))
+    ends = windows.groupBy("w_part", "w_hash").agg(F.min("low").alias("smallest"), F.max("high").alias("largest"))
+    shared = ends.where("smallest < largest").drop("largest")
+    return windows.join(shared, ["w_part", "w_hash"]).where("smallest < high").select(
+        "part", "hash", F.col("offset").alias("first_offset"), F.col("offset").alias("last_offset"), "smallest"
     )
-    return usual.unionByName(left).unionByName(right).drop("crowded", "anchor")
 
 
 def repeated_intervals(texts: DataFrame, length: int, crowded: int | None = None) -> DataFrame:
@@ -364,9 +368,16 @@ def repeated_intervals(texts: DataFrame, length: int, crowded: int | None = None
     )
     distinct = scratch.write(distinct.select("anchor", "at", "segment", "low", (F.col("high") - F.col("low")).alias("spread")), "distinct")
     scratch.drop()
-    ordered = _ordered_runs(_split_crowded(segments, distinct, length, crowded or CROWDED), name, length)
+    many = distinct.groupBy("anchor").count().where(F.col("count") > (crowded or CROWDED)).select("anchor")
+    many = scratch.write(many, "many")
+    if many.isEmpty():
+        ordered = _ordered_runs(distinct.withColumnRenamed("anchor", "key"), name, length)
+    else:
+        usual = distinct.join(many, "anchor", "left_anti").withColumnRenamed("anchor", "key")
+        crowd = distinct.join(many, "anchor", "left_semi")
+        ordered = _ordered_runs(usual, name, length).unionByName(_window_runs(crowd, name, length))
     runs = scratch.write(ordered, "runs")
-    scratch.drop("distinct")
+    scratch.drop("many", "distinct")
     placed = segments.select(*name, "doc_id", "row", "begin")
     hits = placed.join(runs, ["part", "hash"]).where("smallest < doc_id")
     span = F.struct(

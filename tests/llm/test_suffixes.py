@@ -87,3 +87,21 @@ def test_columns_sort_all_suffixes():
         one, two = (found[k].replace(b"\0", b"") for k in (i - 1, i))
         if (before[i - 1] == 0) == (before[i] == 0):
             assert common[i] == prefix(one, two) or (found[i - 1][:1] == b"\0") != (found[i][:1] == b"\0")
+
+
+def test_a_border_anchor_with_many_contexts_stays_in_no_task(spark, monkeypatch):
+    rng = random.Random(9)
+    passage = " ".join(f"p{rng.randrange(10**6)}" for _ in range(30))
+    own = lambda: " ".join(f"q{rng.randrange(10**9)}" for _ in range(12))
+    rows = [(i, f"{own()} {passage} {own()}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sizes, ordered = [], suffixes._ordered_runs
+
+    def watched(segments, *rest):
+        sizes.append(segments.groupBy("key").count().agg({"count": "max"}).first()[0] or 0)
+        return ordered(segments, *rest)
+
+    monkeypatch.setattr(suffixes, "_ordered_runs", watched)
+    found = sorted((tuple(r) for r in suffixes.remove_repeats(df, crowded=10).collect()), key=str)
+    assert found == brute(rows)
+    assert sizes and max(sizes) <= 10
