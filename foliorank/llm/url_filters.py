@@ -72,28 +72,60 @@ _TAG = {
 }
 
 
-def page_edges(pages: DataFrame) -> DataFrame:
-    """Edges (url, target) that the pages state themselves: canonical links and redirects."""
-    declared = [
-        F.regexp_extract(F.regexp_extract("html", tag, 0), target, 1) for tag, target in _TAG.values()
-    ]
-    url, link = F.col("url"), F.col("_link")
-    absolute = (
-        F.when(link.contains("://"), link)
-        .when(F.startswith(link, F.lit("//")), F.concat(F.substring_index(url, "://", 1), F.lit(":"), link))
-        .when(
-            F.startswith(link, F.lit("/")),
-            F.concat(F.substring_index(url, "://", 1), F.lit("://"), host(url), link),
-        )
+_SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:"
+
+
+def _without_dots(path: Column) -> Column:
+    """A path from its first slash on, with its ``.`` and ``..`` segments resolved."""
+    parts = F.split(F.substr(path, F.lit(2)), "/", -1)
+    none = F.array().cast("array<string>")
+    kept = F.aggregate(
+        parts,
+        none,
+        lambda done, part: F.when(part == ".", done)
+        .when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.concat(done, F.array(part))),
     )
+    # A path that ends in a dot segment names a folder.
+    end = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(none)
+    plain = F.concat(F.lit("/"), F.array_join(F.concat(kept, end), "/"))
+    return F.when(path.contains("/."), plain).otherwise(path)
+
+
+def resolve(link: Column, url: Column) -> Column:
+    """The absolute url of a page's ``link``; null for schemes that name no host (mailto:, data:)."""
+    scheme = F.concat(F.substring_index(url, "://", 1), F.lit(":"))
+    place = F.concat(scheme, F.lit("//"), host(url))
+    own = F.when(path(url) == "", "/").otherwise(path(url))
+    tail = F.regexp_extract(link, "[?#].*$", 0)
+    named = F.regexp_extract(link, "^[^?#]*", 0)
+    folder = F.regexp_extract(own, "^.*/", 0)
+    return (
+        F.when(link.rlike(_SCHEME + "//"), link)
+        .when(link.rlike(_SCHEME), None)
+        .when(F.startswith(link, F.lit("//")), F.concat(scheme, link))
+        .when(F.startswith(link, F.lit("/")), F.concat(place, _without_dots(named), tail))
+        .when(F.startswith(link, F.lit("?")), F.concat(place, own, link))
+        .when(F.startswith(link, F.lit("#")), F.concat(F.substring_index(url, "#", 1), link))
+        .otherwise(F.concat(place, _without_dots(F.concat(folder, named)), tail))
+    )
+
+
+def page_edges(pages: DataFrame) -> DataFrame:
+    """Edges (url, target) that the pages state themselves: all their canonical links and redirects."""
+
+    def targets(tag: str, target: str) -> Column:
+        return F.transform(F.regexp_extract_all("html", F.lit(tag), F.lit(0)), lambda t: F.regexp_extract(t, target, 1))
+
+    declared = [targets(tag, target) for tag, target in _TAG.values()]
     # Most pages declare nothing: a plain search passes them by before any pattern runs.
     may = F.contains(F.lower("html"), F.lit("canonical")) | F.contains(F.lower("html"), F.lit("http-equiv"))
     return (
         pages.select("url", "html")
         .where(F.col("url").contains("://") & may)
-        .select("url", F.explode(F.array(*declared)).alias("_link"))
+        .select("url", F.explode(F.concat(*declared)).alias("_link"))
         .where("_link <> ''")
-        .select("url", absolute.alias("target"))
+        .select("url", resolve(F.col("_link"), F.col("url")).alias("target"))
         .where("target IS NOT NULL")
     )
 
@@ -108,7 +140,8 @@ def judge_urls(
 
     ``redirects`` (url, target) adds edges from a crawl's redirect log. Null urls and
     urls without ``://`` have an empty host and path, fit no rule and have no alias.
-    Null html declares nothing. Rows that repeat, null ids and urls that several
+    Null html declares nothing. Targets relative to the page (a path, dots, a query) are
+    resolved against its url, whatever a ``base`` element says. Rows that repeat, null ids and urls that several
     pages share are judged row by row; an empty table gives no rows.
     """
     own = pages.select(pages["page_id"], pages["url"], pages["html"])

@@ -188,3 +188,32 @@ def test_url_verdicts(spark):
     log = spark.createDataFrame([("http://one.org/", "http://two.org/"), ("http://two.org/", "http://z.net/fr/")], "url string, target string")
     pages = spark.createDataFrame([(1, "http://one.org/", ""), (2, "http://three.org/", None)], "page_id long, url string, html string")
     assert {r.page_id: r.verdict for r in url_filters.judge_urls(pages, redirects=log).collect()} == {1: "block", 2: "allow"}
+
+
+def test_relative_and_repeated_alias_targets(spark):
+    canon, refresh = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="0; url={}">'
+    blocked = "http://b.net/es/1"
+    links = [
+        ("moved.html", "/d/moved.html"), ("./a", "/d/a"), ("../a", "/a"), ("../../../up/", "/up/"), ("?id=2", "/d/p?id=2"),
+        ("e/../f/.", "/d/f/"), ("/r/./s/../t?x=/../y", "/r/t?x=/../y"), ("/go?u=https://x.net/es/1", "/go?u=https://x.net/es/1"),
+        ("go?u=https://x.net/es/1", "/d/go?u=https://x.net/es/1"), ("a:b/../c", None), ("mailto:x@y.org", None), ("#top", None),
+    ]
+    rows = []
+    for i, (link, target) in enumerate(links):
+        rows.append((i, f"http://s{i}.org/d/p?q=1#f", (canon if i % 2 else refresh).format(link)))
+        if target:
+            rows.append((100 + i, f"https://s{i}.org{target}", canon.format(blocked)))
+    rows += [
+        (50, "http://two.org/a", canon.format("/b") + refresh.format("/c") + canon.format(blocked)),
+        (51, "http://three.org", refresh.format("/b") + refresh.format("https://b.net/fr/9") + "<p>"),
+        (52, "http://four.org", canon.format("x")),
+        (53, "http://four.org/x", canon.format(blocked)),
+        (54, "http://two.org/c", None),
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.verdict for r in url_filters.judge_urls(df).collect()}
+    assert {i: found[i] for i in range(len(links))} == {i: "block" if t else "allow" for i, (_, t) in enumerate(links)}
+    assert {found[i] for i in (50, 51, 52, 53, 54)} == {"block"}
+    # The url inside a query is not the target: without the page behind it nothing is blocked.
+    clean = spark.createDataFrame([(1, "http://c.org/a", canon.format("/go?u=https://x.net/es/1"))], df.schema)
+    assert [r.verdict for r in url_filters.judge_urls(clean).collect()] == ["allow"]
