@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from foliorank.session import ship_package
 
-from . import decontaminate, jaccard, language, lm, mixing, quality, suffixes, token_counts, url_filters, warc
+from . import conversations, decontaminate, jaccard, language, lm, mixing, quality, suffixes, token_counts, url_filters, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
@@ -87,3 +87,9 @@ def op2_warc_round_trip(spark, folder):
 @query
 def op3_lm_scores(spark, folder):
     return lm.score_texts(documents(spark, folder))
+
+
+@query
+def op13_repair_conversations(spark, folder):
+    turns = spark.read.parquet(f"{folder}/conversations.parquet")
+    return conversations.repair(conversations.damage(turns), copies="copies")
