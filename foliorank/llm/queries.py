@@ -7,7 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from foliorank.session import ship_package
 
-from . import conversations, decontaminate, jaccard, language, lm, mixing, quality, suffixes, token_counts, url_filters, warc
+from . import (
+    conversations,
+    decontaminate,
+    jaccard,
+    language,
+    lm,
+    mixing,
+    quality,
+    ranked_search,
+    suffixes,
+    token_counts,
+    url_filters,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
@@ -15,6 +28,7 @@ SQL: dict[str, str] = {
     "op2_warc_round_trip": warc.WARC_SQL,
     "op6_quality_rules": quality.quality_sql(),
     "op8_url_filters": url_filters.URL_SQL,
+    "op12_ranked_search": ranked_search.SEARCH_SQL,
 }
 
 
@@ -93,3 +107,9 @@ def op3_lm_scores(spark, folder):
 def op13_repair_conversations(spark, folder):
     turns = spark.read.parquet(f"{folder}/conversations.parquet")
     return conversations.repair(conversations.damage(turns), copies="copies")
+
+
+@query
+def op12_ranked_search(spark, folder):
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return ranked_search.search(documents(spark, folder), items)

@@ -54,10 +54,10 @@ class Words:
         return np.diff(self.first)
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def split_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _SPACE) -> Words:
     size = len(data)
     _powers_to(size + 1)
-    inside = ~_SPACE[data]
+    inside = ~separators[data]
     before = np.zeros(size, bool)
     after = np.zeros(size, bool)
     before[1:] = inside[:-1]
