@@ -1029,11 +1029,32 @@ def written_papers(spark, folder):
         for f in PAPERS_SCHEMA
     ]
     tables.papers(spark, folder).select(*columns).write.options(
-        escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="", lineSep="\n"
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="", lineSep="\n"
     ).csv(path)
     return path
 
 
+@query
+def scan_papers_all_columns(spark, folder):
+    """15 columns whose texts hold quotes, backslashes and line breaks, also side by side and at the ends."""
+    path = new_table_path(spark, "papers-csv")
+    marked = {
+        "title": F.translate(F.coalesce("title", F.lit("")), "aei", '"\\,'),
+        "abstract": F.concat(F.lit('"'), F.translate(F.coalesce("abstract", F.lit("")), "tn ", '\\"\n'), F.lit('\\"')),
+        "paper_id": F.col("paper_id").cast("int"),
+        "pages": (F.col("paper_id") % 500).cast("int"),
+    }
+    columns = [
+        marked.get(f.name, F.concat(F.lit(f'{f.name} "\\" \\\\ \n'), F.col("paper_id"))).cast(f.dataType).alias(f.name)
+        for f in PAPERS_SCHEMA
+    ]
+    tables.papers(spark, folder).select(*columns).write.options(
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="", lineSep="\n"
+    ).csv(path)
+    read = scan_papers(spark, path, multi_line=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return read.withColumns({"title": F.coalesce("title", F.lit("")), "abstract": F.coalesce("abstract", F.lit(""))})
+
+
 @query
 def scan_papers_multi_line(spark, folder):
     """All 15 columns, with the line breaks of real abstracts."""

@@ -307,6 +307,17 @@ _PAPER_COLUMNS = ", ".join(
 )
 
 
+_MARKED_COLUMNS = ", ".join(
+    {
+        "paper_id": "paper_id",
+        "pages": "paper_id % 500 AS pages",
+        "title": """translate(coalesce(title, ''), 'aei', '"\\,') AS title""",
+        "abstract": """'"' || translate(coalesce(abstract, ''), 'tn ', '\\"' || chr(10)) || '\\"' AS abstract""",
+    }.get(name, f"""'{name} "\\" \\\\ ' || chr(10) || paper_id AS {name}""")
+    for name in PAPERS_SCHEMA.names
+)
+
+
 _SYNONYM = """(SELECT vector FROM vectors WHERE paper_id = {})"""
 
 
@@ -540,6 +551,7 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "linear_svm_facts": (("mixed_rows",), _TESTED),
     "random_forest_facts": (("mixed_rows",), _TESTED),
     "scan_papers_multi_line": (("papers",), f"SELECT {_PAPER_COLUMNS} FROM papers"),
+    "scan_papers_all_columns": (("papers",), f"SELECT {_MARKED_COLUMNS} FROM papers"),
     "scan_papers_with_floats": (("papers",), """
         SELECT paper_id, 'a "type", ' || paper_id % 3 AS type,
                CASE WHEN paper_id % 10 <> 0 THEN CAST(paper_id % 500 AS DOUBLE) END AS pages,

@@ -13,9 +13,10 @@ MAX_STOPWORDS = 50_000
 def scan_papers(spark: SparkSession, path: str, multi_line: bool = False, **options) -> DataFrame:
     """Headerless papers CSV with the fixed 15-column schema.
 
-    Text is quoted with ``"``, and a quote inside is doubled. With ``multi_line`` quoted
-    text may hold line breaks; a file is then read by one task, so cut large inputs
-    into several files. Other ``options`` are those of Spark's CSV reader.
+    Quoting is that of Spark's CSV reader: text in ``"``, a quote inside as ``\\"``. For files
+    that double a quote instead, pass ``escape='"'``; other ``options`` are also
+    the reader's. With ``multi_line`` quoted text may hold line breaks; a file is then
+    read by one task, so cut large inputs into several files.
     """
     return _papers(spark, path, PAPERS_SCHEMA, multi_line, options)
 
@@ -28,7 +29,7 @@ def scan_papers_features(spark: SparkSession, path: str, multi_line: bool = Fals
 
 
 def _papers(spark, path, schema, multi_line, options) -> DataFrame:
-    settings = {"header": False, "multiLine": multi_line, "quote": '"', "escape": '"', **options}
+    settings = {"header": False, "multiLine": multi_line, **options}
     return spark.read.schema(schema).options(**settings).csv(path)
 
 

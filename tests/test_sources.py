@@ -45,12 +45,22 @@ def test_scan_libraries_without_papers(spark, tmp_path):
 def test_scan_papers_with_line_breaks_and_floats(spark, tmp_path):
     lines = '1,,,,,,12.5,,,2001,,,,"A ""quoted""\ntitle","Text\nof one"\n2,,,,,,,,,,,,,Only title,\n'
     (tmp_path / "papers.csv").write_text(lines)
-    rows = {r.paper_id: r for r in scan_papers(spark, str(tmp_path), multi_line=True).collect()}
+    doubled = {"multi_line": True, "escape": '"'}
+    rows = {r.paper_id: r for r in scan_papers(spark, str(tmp_path), **doubled).collect()}
     assert rows[1].title == 'A "quoted"\ntitle' and rows[1].abstract == "Text\nof one" and len(rows) == 2
-    floats = {r.paper_id: r for r in scan_papers_features(spark, str(tmp_path), multi_line=True).collect()}
+    floats = {r.paper_id: r for r in scan_papers_features(spark, str(tmp_path), **doubled).collect()}
     assert floats[1].pages == 12.5 and floats[1].year == 2001.0 and floats[2].pages is None
 
 
+def test_scan_papers_with_escaped_quotes(spark, tmp_path):
+    line = r'1,"a \"type\", x",J,,,P,12,3,4,2001,jan,,,"\"Quoted\" and \\ more","ends with \\"'
+    (tmp_path / "papers.csv").write_text(line + "\n2,t,,,,,,,,,,,,Next,\n")
+    for rows in (scan_papers(spark, str(tmp_path)), scan_papers(spark, str(tmp_path), multi_line=True)):
+        first, second = sorted(rows.collect())
+        assert first.type == 'a "type", x' and first.title == '"Quoted" and \\ more'
+        assert first.abstract == "ends with \\" and second.title == "Next"
+
+
 def test_scan_stopwords(spark, tmp_path):
     (tmp_path / "stop.txt").write_text("the\nof\nof\n")
     assert sorted(scan_stopwords(spark, str(tmp_path / "stop.txt"))) == ["of", "of", "the"]
