@@ -48,12 +48,15 @@ class Scratch:
         self.paths.setdefault(name, []).append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, *names: str) -> None:
+    def drop(self, *names: str, clean: bool = True) -> None:
+        """Delete steps; without ``clean`` their shuffle files wait for a later call."""
         jvm = self.spark.sparkContext._jvm
         for name in names:
             for path in self.paths.pop(name, []):
                 found = jvm.org.apache.hadoop.fs.Path(path)
                 found.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)
+        if not clean:
+            return
         # The first round lets go of Python's handles, the second of what they held.
         for _ in range(2):
             gc.collect()

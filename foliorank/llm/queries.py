@@ -19,6 +19,7 @@ from . import (
     suffixes,
     token_counts,
     url_filters,
+    vector_forest,
     warc,
 )
 
@@ -28,6 +29,7 @@ SQL: dict[str, str] = {
     "op2_warc_round_trip": warc.WARC_SQL,
     "op6_quality_rules": quality.quality_sql(),
     "op8_url_filters": url_filters.URL_SQL,
+    "op11_vector_forest": vector_forest.FOREST_SQL,
     "op12_ranked_search": ranked_search.SEARCH_SQL,
 }
 
@@ -113,3 +115,8 @@ def op13_repair_conversations(spark, folder):
 def op12_ranked_search(spark, folder):
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     return ranked_search.search(documents(spark, folder), items)
+
+
+@query
+def op11_vector_forest(spark, folder):
+    return vector_forest.near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
