@@ -154,10 +154,9 @@ def _grow(scratch: Scratch, points: DataFrame, tree: int, splits: _Splits) -> tu
     def fit(table: pa.Table) -> pa.Table:
         cell, count = table["cell"][0].as_py(), table["count"][0].as_py()
         cuts, choices, centre = splits.fit(cell, count, unit_rows(table["vector"]), table["radius"].to_numpy())
-        centre = None if centre is None else centre.tolist()
-        values = {"fitted": [cell], "cuts": [cuts.tolist()], "choices": [choices.tolist()], "centre": [centre]}
-        vector = table.schema.field("vector").type
-        types = {"fitted": pa.int64(), "cuts": pa.list_(pa.float64()), "choices": pa.list_(pa.int32()), "centre": vector}
+        packed = np.concatenate([cuts, choices, [] if centre is None else centre]).tobytes()
+        values = {"fitted": [cell], "fit": [packed], "centre": [None if centre is None else centre.tolist()]}
+        types = {"fitted": pa.int64(), "fit": pa.binary(), "centre": table.schema.field("vector").type}
         return pa.table({n: pa.array(v, types[n]) for n, v in values.items()})
 
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,11 +174,13 @@ def _grow(scratch: Scratch, points: DataFrame, tree: int, splits: _Splits) -> tu
             for own in np.split(order, np.flatnonzero(np.diff(cells[order])) + 1) if len(order) else []:
                 first, cell = int(own[0]), int(cells[own[0]])
                 rows = unit_rows(batch.column("vector").take(pa.array(own)))
-                cuts = np.array(batch.column("cuts")[first].as_py(), np.float64)
-                choices = np.array(batch.column("choices")[first].as_py())
+                fit = np.frombuffer(batch.column("fit")[first].as_py(), np.float64)
+                cuts, choices, centre = np.split(fit, [2**LEVELS, 2 ** (LEVELS + 1)])
                 off = np.full(len(own), np.nan)
-                if batch.column("centre")[first].is_valid:
-                    near = rows @ unit_rows(batch.column("centre").slice(first, 1))[0]
+                if len(centre):
+                    # The centre as it is stored with the ball, so that angles are to that one.
+                    centre = unit_rows(pa.array([centre.tolist()], batch.schema.field("vector").type))[0]
+                    near = rows @ centre
                     off = np.where(near >= splits.half, np.arccos(np.minimum(near, 1)), np.nan)
                 free = np.flatnonzero(np.isnan(off))
                 held = np.flatnonzero(~np.isnan(off))
@@ -206,14 +207,14 @@ def _grow(scratch: Scratch, points: DataFrame, tree: int, splits: _Splits) -> tu
         sample = open_rows.join(hint(over), "cell").where(drawn < SAMPLE / F.col("count"))
         fits = scratch.write(
             sample.groupBy("cell").applyInArrow(
-                fit, f"fitted bigint, cuts array<double>, choices array<int>, centre {kind}"
+                fit, f"fitted bigint, fit binary, centre {kind}"
             ),
             "fits",
         )
         if splits.balls:
             balls.append(fits.where("centre IS NOT NULL").select(F.col("fitted").alias("cell"), "centre"))
         # A cell without a fit (no row drawn) waits for the next round's draw.
-        joined = rows.join(hint(fits), (F.col("cell") == F.col("fitted")) & ~F.col("final"), "left")
+        joined = rows.join(hint(fits.drop("centre")), (F.col("cell") == F.col("fitted")) & ~F.col("final"), "left")
         before = scratch.paths.pop("cells", [])
         moved = scratch.write(joined.mapInArrow(move, schema), "cells")
         scratch.paths["old"] = before
