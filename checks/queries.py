@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from foliorank.functions import text
 from foliorank.functions import vectors as vec
+from foliorank.functions.stem_rules import stem_rows
 from foliorank.functions.stopwords import ENGLISH_STOPWORDS
 from foliorank.operators import (
+    blocks,
     embeddings,
     features,
     interactions,
@@ -301,12 +303,20 @@ def stem_distinct(spark, folder):
     words = text.stem_words(
         text.strip_marks(text.remove_stopwords(text.tokenize(text.concat_text()), ENGLISH_STOPWORDS))
     )
-    return tables.papers(spark, folder).select("paper_id", F.array_distinct(words).alias("words"))
+    stems = tables.papers(spark, folder).select("paper_id", F.array_distinct(words).alias("words"))
+    return stems.select("paper_id", joined())
 
 
 @query
 def stem_bag(spark, folder):
-    return preprocess.preprocess_terms(tables.papers(spark, folder))
+    return preprocess.preprocess_terms(tables.papers(spark, folder)).select("paper_id", joined())
+
+
+@query
+def stem_word_rows(spark, folder):
+    """Stems by the rule cascade of built-in functions, over rows of words."""
+    rows = terms.explode_terms(plain_words(spark, folder)).groupBy("paper_id", "term").agg(F.count("*").alias("places"))
+    return stem_rows(rows, "term")
 
 
 @query
@@ -864,6 +874,15 @@ def recommend_tfidf(spark, folder):
     )
 
 
+@query
+def recommend_from_balls(spark, folder):
+    """The lists of ``recommend_from_vectors`` by bounds on balls of papers."""
+    split = vector_split(spark, folder)
+    profile = write_once(vector_profiles(spark, folder, split), "profiles")
+    train = libraries.train_part(split)
+    return blocks.search_balls(blocks.build_balls(tables.vectors(spark, folder)), profile, train, 35).lists
+
+
 @query
 def recommend_tfidf_stemmed(spark, folder):
     return recommend.recommend_tfidf(
@@ -976,7 +995,8 @@ def preprocess_intensive(spark, folder):
 
 @query
 def preprocess_intensive_stemmed(spark, folder):
-    return preprocess.preprocess_intensive(tables.papers(spark, folder), distinct=True)
+    words = preprocess.preprocess_intensive(tables.papers(spark, folder), distinct=True)
+    return words.select("paper_id", joined())
 
 
 # ------------------------------------------------- facts of trained results --

@@ -4,9 +4,12 @@ Steps shared by several statements are named once and put in front of a
 statement as common table expressions, in the order they need each other.
 """
 
-from foliorank.schemas import PAPERS_SCHEMA
+import re
+
+from foliorank.functions.stem_rules import stem_sql
 from foliorank.functions.stopwords import ENGLISH_STOPWORDS
 from foliorank.operators.interactions import STRIDES
+from foliorank.schemas import PAPERS_SCHEMA
 
 _STOP = ", ".join(f"'{w}'" for w in ENGLISH_STOPWORDS)
 _SPLIT = "regexp_split_to_array(lower({}), '[^A-Za-z_-]')"
@@ -167,6 +170,31 @@ _STEPS: dict[str, tuple[tuple[str, ...], str]] = {
                          GROUP BY t.paper_id, place) USING (paper_id, place)
               GROUP BY paper_id)"""),
 }
+# The same steps over stems.
+_STEPS["stem_of"] = (("conservative",), stem_sql("(SELECT unnest(words) AS term FROM conservative)", "term"))
+
+
+def _stem_lists(source: str) -> str:
+    """Token lists with every token replaced by its stem, in order."""
+    return f"""
+        SELECT w.paper_id, coalesce(stems, []) AS words
+        FROM {source} w
+        LEFT JOIN (SELECT paper_id, list(stem ORDER BY place) AS stems
+                   FROM (SELECT paper_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM {source})
+                   JOIN stem_of USING (word) GROUP BY paper_id) USING (paper_id)"""
+
+
+_STEPS["stem_bags"] = (("words", "stem_of"), _stem_lists("words"))
+_STEPS["unstopped"] = (("conservative",), f"SELECT paper_id, {_without_stop('words')} AS words FROM conservative")
+_STEPS["intensive_stems"] = (("unstopped", "stem_of"), _stem_lists("unstopped"))
+_OVER_TERMS = "term_rows term_sets frequencies band vocabulary tf idf weights term_profiles term_scores".split()
+for _name in _OVER_TERMS:
+    _needs, _statement = _STEPS[_name]
+    _named = {n: f"stem_{n}" for n in _OVER_TERMS} | {"words": "stem_bags"}
+    _STEPS[f"stem_{_name}"] = (
+        tuple(_named.get(n, n) for n in _needs),
+        re.sub(rf"\b({'|'.join(_OVER_TERMS)})\b", r"stem_\1", _statement).replace("FROM words", "FROM stem_bags"),
+    )
 _STEPS["embedded"] = (("words", "term_rows", "vocabulary", "vectors"), _STEPS["embedded"][1])
 _STEPS["table_vectors"] = (
     ("vectors",),
@@ -266,6 +294,18 @@ def _joined(source: str, column: str = "words") -> str:
     return f"SELECT paper_id, array_to_string({column}, ' ') AS {column} FROM {source}"
 
 
+def _first_places(source: str) -> str:
+    """Lists without repeats, in the order of first places, as text."""
+    return f"""
+        SELECT w.paper_id, coalesce(words, '') AS words
+        FROM (SELECT paper_id FROM {source}) w
+        LEFT JOIN (SELECT paper_id, string_agg(word, ' ' ORDER BY place) AS words
+                   FROM (SELECT paper_id, word, min(place) AS place
+                         FROM (SELECT paper_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM {source})
+                         GROUP BY paper_id, word)
+                   GROUP BY paper_id) USING (paper_id)"""
+
+
 def _type_index(source: str) -> str:
     return f"""
         (SELECT type, row_number() OVER (ORDER BY count(*) DESC, type) - 1 AS type_index,
@@ -535,6 +575,7 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     # recommenders
     "recommend_tfidf": (("term_scores",), _dense("term_scores", 40)),
     "recommend_from_vectors": (("scores_v50",), _dense("scores_v50", 35)),
+    "recommend_from_balls": (("scores_v50",), _dense("scores_v50", 35)),
     "recommend_user_from_vectors": (("scores_one",), _dense("scores_one", 10)),
     "recommend_active_from_vectors": (("scores_active",), _dense("scores_active", 35)),
     "recommend_from_word_table": (("scores_words",), _dense("scores_words", 35)),
@@ -552,6 +593,15 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "random_forest_facts": (("mixed_rows",), _TESTED),
     "scan_papers_multi_line": (("papers",), f"SELECT {_PAPER_COLUMNS} FROM papers"),
     "scan_papers_all_columns": (("papers",), f"SELECT {_MARKED_COLUMNS} FROM papers"),
+    # stems
+    "stem_bag": (("stem_bags",), _joined("stem_bags")),
+    "stem_distinct": (("stem_bags",), _first_places("stem_bags")),
+    "stem_word_rows": (("term_rows", "stem_of"), """
+        SELECT paper_id, term, stem, count(*) AS places FROM term_rows JOIN stem_of ON word = term
+        GROUP BY paper_id, term, stem"""),
+    "build_vocabulary_stemmed": (("stem_vocabulary",), "SELECT * FROM stem_vocabulary"),
+    "preprocess_intensive_stemmed": (("intensive_stems",), _first_places("intensive_stems")),
+    "recommend_tfidf_stemmed": (("stem_term_scores",), _dense("stem_term_scores", 40)),
     "scan_papers_with_floats": (("papers",), """
         SELECT paper_id, 'a "type", ' || paper_id % 3 AS type,
                CASE WHEN paper_id % 10 <> 0 THEN CAST(paper_id % 500 AS DOUBLE) END AS pages,

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import write_once
+
 # Tasks that share the first cut of one user's candidates.
 CUT_SALTS = 64
 
@@ -22,24 +24,22 @@ def top_k_levels(scored: DataFrame, k: int) -> DataFrame:
 
     Ranks are dense: equal scores share one, and all of them stay, even when
     copies of one paper fill a third of the catalogue. So no task may take all
-    rows of a user. The candidates are cut inside salted parts of a user, the
-    distinct scores of what is left (at most k per part) are ranked, and the ranks
-    are joined back to the rows.
+    rows of a user or of a score. The candidates are cut inside salted parts of a user and
+    written; the distinct scores of what is left (at most k per part) make one sorted
+    list of k levels per user, and a row's rank is the place of its score in that list.
+    The written size of the levels tells the planner whether to broadcast them; if not,
+    the join is by user, and Spark can split a user's rows in it.
     """
     salted = scored.withColumn(
         "_salt", F.pmod(F.xxhash64("paper_id"), F.lit(CUT_SALTS)).cast("int")
     )
     in_part = Window.partitionBy("user_id", "_salt").orderBy(F.desc("similarity"))
-    left = salted.withColumn("_rank", F.dense_rank().over(in_part)).filter(F.col("_rank") <= k)
-    # Both uses of ``left`` need the same columns, so Spark shuffles and cuts it once.
-    levels = left.groupBy("user_id", "similarity").agg(F.min("paper_id").alias("_first"))
-    best_first = Window.partitionBy("user_id").orderBy(F.desc("similarity"), "_first")
-    ranked = (
-        levels.withColumn("rank", F.row_number().over(best_first).cast("bigint"))
-        .filter(F.col("rank") <= k)
-        .select("user_id", "similarity", "rank")
-    )
-    return left.drop("_salt", "_rank").join(ranked, ["user_id", "similarity"])
+    cut = salted.withColumn("_rank", F.dense_rank().over(in_part)).filter(F.col("_rank") <= k)
+    left = write_once(cut.drop("_salt", "_rank"), "candidates")
+    best = F.slice(F.sort_array(F.collect_set("similarity"), asc=False), 1, k)
+    levels = write_once(left.groupBy("user_id").agg(best.alias("_levels")), "levels")
+    ranked = left.join(levels, "user_id").withColumn("rank", F.array_position("_levels", F.col("similarity")))
+    return ranked.filter(F.col("rank") > 0).drop("_levels")
 
 
 # The two ways to cut a list, by name.

@@ -3,11 +3,16 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import write_once
+
 # The document-frequency band and the size of the vocabulary.
 MIN_PAPERS = 20
 MAX_PAPER_SHARE = 0.1
 VOCABULARY_SIZE = 1000
 
+# Ranges of paper ids in which the places of a merged list are counted.
+PAPER_CELLS = 64
+
 # A vocabulary up to this many rows is broadcast; a larger one is shuffled.
 BROADCAST_TERMS = 100_000
 
@@ -74,21 +79,37 @@ def nest_terms(words: DataFrame) -> DataFrame:
 
 
 def merge_token_lists(
-    pairs: DataFrame, words: DataFrame, part_tokens: int = 1_000_000
+    pairs: DataFrame, words: DataFrame, part_tokens: int = 1_000_000, cells: int = PAPER_CELLS
 ) -> DataFrame:
     """Token lists of a user's papers, merged in paper order: (user_id, part, words).
 
     The merged list is cut, between papers, each time it passes ``part_tokens``
     tokens: the parts in order are the merged list for a library of any size, and
-    no row holds more than a part and a paper. Places are summed over narrow rows.
+    no row holds more than a part and a paper.
+
+    A paper's place is a weighted prefix sum in two levels: papers are dealt once into
+    ``cells`` ranges of their ids, tokens are summed per user and cell before the
+    shuffle, and only the sums of the cells and the papers inside one cell
+    are ever ordered. So a library that holds a third of all pairs is spread over all cells.
     """
-    sizes = words.select("paper_id", F.size("words").alias("_tokens"))
-    earlier = Window.partitionBy("user_id").orderBy("paper_id").rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum("_tokens").over(earlier), F.lit(0))
-    placed = pairs.join(sizes, "paper_id").select(
+    words = write_once(words.select("paper_id", "words"), "token-lists")
+    sizes = words.select("paper_id", F.size("words").cast("bigint").alias("_tokens"))
+    ranged = sizes.repartitionByRange(cells, "paper_id").withColumn("_cell", F.spark_partition_id())
+    sized = pairs.join(write_once(ranged, "token-cells"), "paper_id")
+    in_user = Window.partitionBy("user_id").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        sized.groupBy("user_id", "_cell")
+        .agg(F.sum("_tokens").alias("_sum"))
+        .select("user_id", "_cell", F.coalesce(F.sum("_sum").over(in_user), F.lit(0)).alias("_before"))
+    )
+    in_cell = (
+        Window.partitionBy("user_id", "_cell").orderBy("paper_id").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offset = F.col("_before") + F.coalesce(F.sum("_tokens").over(in_cell), F.lit(0))
+    placed = sized.join(before, ["user_id", "_cell"]).select(
         "user_id", F.floor(offset / part_tokens).alias("part"), "paper_id"
     )
-    joined = placed.join(words.select("paper_id", "words"), "paper_id")
+    joined = placed.join(words, "paper_id")
     by_paper = F.array_sort(F.collect_list(F.struct("paper_id", "words")))
     return joined.groupBy("user_id", "part").agg(
         F.flatten(F.transform(by_paper, lambda p: p["words"])).alias("words")

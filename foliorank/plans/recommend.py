@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from ..functions.stopwords import ENGLISH_STOPWORDS
+from ..operators.blocks import top_k_dense, top_k_sparse
 from ..operators.embeddings import embed_with_model, word2vec_fit
 from ..operators.libraries import (
     filter_user,
@@ -25,7 +26,7 @@ from ..operators.libraries import (
 from ..operators.metrics import STANDARD, evaluate_metrics
 from ..operators.profiles import mean_by_tokens, sum_dense, sum_sparse
 from ..operators.ranking import top_k
-from ..operators.scoring import score_dense, score_sparse
+from ..operators.scoring import score_sparse
 from ..operators.terms import (
     MAX_PAPER_SHARE,
     MIN_PAPERS,
@@ -113,16 +114,16 @@ def rank_by_terms(
     """Lists from term weights and summed term profiles."""
     train = train_part(split)
     profiles = write_once(sum_sparse(train, weights), "profiles")
-    scored = score_sparse(profiles, weights, train, include_zero=options.include_zero)
-    return top_k(scored, options.k, options.method)
+    if options.include_zero:
+        return top_k(score_sparse(profiles, weights, train, include_zero=True), options.k, options.method)
+    return top_k_sparse(profiles, weights, train, options.k, options.method)
 
 
 def rank_by_vectors(
     profiles: DataFrame, vectors: DataFrame, split: DataFrame, options: ListOptions
 ) -> DataFrame:
     """Lists from dense profiles and paper vectors."""
-    scored = score_dense(profiles, vectors, train_part(split), options.k)
-    return top_k(scored, options.k, options.method)
+    return top_k_dense(write_once(profiles, "profiles"), vectors, train_part(split), options.k, options.method)
 
 
 def recommend_tfidf(
