@@ -290,23 +290,23 @@ def _search(blocks, users, user_type: str, train, k, method, digits, seed_blocks
     bounds = write_once(_bounds(blocks, users), "bounds")
     best_first = Window.partitionBy("slot").orderBy(F.desc("bound"), "block")
     seeds = bounds.withColumn("_place", F.row_number().over(best_first)).where(F.col("_place") <= seed_blocks)
-    first = write_once(scores(seeds.select("block", "slot", F.lit(least).alias("floor"))), "seeds")
+    first = scores(seeds.select("block", "slot", F.lit(least).alias("floor")))
     slots = bounds.sparkSession.createDataFrame(list(enumerate(users.ids.to_pylist())), f"slot int, user_id {user_type}")
-    # Only a list that is full already keeps papers out.
+    # The k-th best score of a user's seeds, a list of at most seed_blocks blocks of papers; only a
+    # list that is full already keeps papers out.
+    gathered = F.collect_set("similarity") if method == "dense_rank" else F.collect_list("similarity")
     floors = (
-        top_k(first, k, method)
-        .groupBy("user_id")
-        .agg(F.max("rank").alias("reached"), F.min("similarity").alias("floor"))
-        .where(F.col("reached") >= k)
+        first.groupBy("user_id")
+        .agg(F.get(F.sort_array(gathered, asc=False), F.lit(k - 1)).alias("floor"))
         .join(F.broadcast(slots), "user_id")
         .select("slot", "floor")
     )
-    scored = write_once(
+    floors = write_once(floors, "floors")
+    scored = (
         bounds.join(F.broadcast(floors), "slot", "left")
         .withColumn("floor", F.coalesce("floor", F.lit(least)))
         .where(F.col("bound") >= F.col("floor") - F.lit(margin))
-        .select("block", "slot", "floor"),
-        "scored-blocks",
+        .select("block", "slot", "floor")
     )
     return BlockSearch(top_k(scores(scored), k, method), bounds, scored)
 

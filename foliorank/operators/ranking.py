@@ -27,8 +27,8 @@ def top_k_levels(scored: DataFrame, k: int) -> DataFrame:
     rows of a user or of a score. The candidates are cut inside salted parts of a user and
     written; the distinct scores of what is left (at most k per part) make one sorted
     list of k levels per user, and a row's rank is the place of its score in that list.
-    The written size of the levels tells the planner whether to broadcast them; if not,
-    the join is by user, and Spark can split a user's rows in it.
+    Levels that turn out small at runtime are broadcast; if not, the join is by user, and
+    Spark can split a user's rows in it.
     """
     salted = scored.withColumn(
         "_salt", F.pmod(F.xxhash64("paper_id"), F.lit(CUT_SALTS)).cast("int")
@@ -37,7 +37,7 @@ def top_k_levels(scored: DataFrame, k: int) -> DataFrame:
     cut = salted.withColumn("_rank", F.dense_rank().over(in_part)).filter(F.col("_rank") <= k)
     left = write_once(cut.drop("_salt", "_rank"), "candidates")
     best = F.slice(F.sort_array(F.collect_set("similarity"), asc=False), 1, k)
-    levels = write_once(left.groupBy("user_id").agg(best.alias("_levels")), "levels")
+    levels = left.groupBy("user_id").agg(best.alias("_levels"))
     ranked = left.join(levels, "user_id").withColumn("rank", F.array_position("_levels", F.col("similarity")))
     return ranked.filter(F.col("rank") > 0).drop("_levels")
 
