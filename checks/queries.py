@@ -370,7 +370,8 @@ def join_library_vectors(spark, folder):
 @query
 def join_library_topics(spark, folder):
     topics = recommend.topic_vectors(tables.papers(spark, folder), NO_STEM, seed=SEED)
-    return profiles.join_vectors(libraries.train_part(term_split(spark, folder)), topics)
+    rows = profiles.join_vectors(libraries.train_part(term_split(spark, folder)), topics)
+    return topic_places(rows, "user_id", "paper_id")
 
 
 @query
@@ -661,9 +662,16 @@ def count_vectors(spark, folder):
     )
 
 
+def topic_places(rows, *keys):
+    return rows.select(*keys, F.posexplode("vector").alias("place", "value")).select(
+        *keys, F.col("place").cast("bigint").alias("place"), r6("value").alias("value")
+    )
+
+
 @query
 def lda_topics(spark, folder):
-    return recommend.topic_vectors(tables.papers(spark, folder), NO_STEM, seed=SEED)
+    """Topic shares after ten steps, in long form."""
+    return topic_places(recommend.topic_vectors(tables.papers(spark, folder), NO_STEM, seed=SEED), "paper_id")
 
 
 def conservative_words(spark, folder):
@@ -1005,7 +1013,9 @@ def preprocess_intensive_stemmed(spark, folder):
 @query
 def lda_topic_facts(spark, folder):
     """Which papers have topic shares, how many, and their sum."""
-    rows = recommend.topic_vectors(tables.papers(spark, folder), NO_STEM, seed=SEED)
+    rows = recommend.topic_vectors(
+        tables.papers(spark, folder), NO_STEM, seed=SEED, trainer=recommend.BY_MLLIB
+    )
     total = F.aggregate("vector", F.lit(0.0), lambda t, x: t + x)
     return rows.select("paper_id", F.size("vector").alias("places"), r6(total).alias("total"))
 

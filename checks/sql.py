@@ -237,6 +237,45 @@ _vector_recommender("one", "one_user", ("one_user",), "table_vectors", 1)
 _vector_recommender("words", "pairs", ("pairs",), "embedded", 50)
 
 
+def _topic_steps(tf: str, k: int = 40, steps: int = 10, inner: int = 5) -> str:
+    """Steps of the topic model over a table of term counts; the name of the (paper_id, vector) step."""
+    prior, name = 1.0 / k, f"{tf}_topics"
+
+    def each(what: str) -> str:
+        return "[" + ", ".join(what.replace("#", str(i + 1)) for i in range(k)) + "]"
+
+    _STEPS[f"{name}_counts0"] = ((tf,), f"""
+        SELECT term_id, list(CAST('0x' || substr({_draw(7, 'term_id', 'topic')}, 1, 8) AS BIGINT) / 4294967296.0 ORDER BY topic) AS n
+        FROM (SELECT term_id, unnest(range({k})) AS topic FROM (SELECT DISTINCT term_id FROM {tf})) GROUP BY term_id""")
+    for step in range(steps + 1):
+        _STEPS[f"{name}_shares{step}"] = ((f"{name}_counts{step}",), f"""
+            SELECT term_id, {each(f'(n[#] + {prior}) / (total[#] + {prior} * size)')} AS share
+            FROM {name}_counts{step}, (SELECT {each('sum(n[#])')} AS total, count(*) AS size FROM {name}_counts{step})""")
+        _STEPS[f"{name}_papers{step}_0"] = ((tf,), f"""
+            SELECT paper_id, {each(repr(prior))} AS share, CAST(sum({tf}) AS DOUBLE) AS length FROM {tf} GROUP BY paper_id""")
+        for turn in range(inner + 1):
+            met = f"""
+                (SELECT paper_id, term_id, p.share AS share, length, t.share AS term, c.{tf} / list_dot_product(t.share, p.share) AS w
+                 FROM {tf} c JOIN {name}_shares{step} t USING (term_id) JOIN {name}_papers{step}_{turn} p USING (paper_id))"""
+            needs = (tf, f"{name}_shares{step}", f"{name}_papers{step}_{turn}")
+            if turn < inner:
+                _STEPS[f"{name}_papers{step}_{turn + 1}"] = (needs, f"""
+                    SELECT paper_id, {each(f'(any_value(share)[#] * sum(w * term[#]) + {prior}) / (any_value(length) + 1)')} AS share,
+                           any_value(length) AS length
+                    FROM {met} GROUP BY paper_id""")
+            elif step < steps:
+                _STEPS[f"{name}_counts{step + 1}"] = (needs, f"""
+                    SELECT term_id, {each('sum(w * term[#] * share[#])')} AS n FROM {met} GROUP BY term_id""")
+    _STEPS[name] = ((f"{name}_papers{steps}_{inner}",), f"""
+        SELECT paper_id, 1 AS n_tokens, share AS vector FROM {name}_papers{steps}_{inner}""")
+    return name
+
+
+_topic_steps("tf")
+_topic_steps("stem_tf")
+_vector_recommender("topics", "pairs", ("pairs",), "stem_tf_topics", 20)
+
+
 def _dense(scores: str, k: int) -> str:
     return f"""
         SELECT user_id, rank, paper_id, similarity
@@ -593,6 +632,13 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "random_forest_facts": (("mixed_rows",), _TESTED),
     "scan_papers_multi_line": (("papers",), f"SELECT {_PAPER_COLUMNS} FROM papers"),
     "scan_papers_all_columns": (("papers",), f"SELECT {_MARKED_COLUMNS} FROM papers"),
+    # topics by steps
+    "lda_topics": (("tf_topics",), _place_rows("tf_topics", "paper_id", "vector")),
+    "join_library_topics": (("train20", "tf_topics"), """
+        SELECT user_id, paper_id, place - 1 AS place, round(value, 6) + 0 AS value
+        FROM (SELECT user_id, paper_id, unnest(vector) AS value, unnest(range(1, len(vector) + 1)) AS place
+              FROM train20 JOIN tf_topics USING (paper_id))"""),
+    "recommend_lda": (("scores_topics",), _dense("scores_topics", 40)),
     # stems
     "stem_bag": (("stem_bags",), _joined("stem_bags")),
     "stem_distinct": (("stem_bags",), _first_places("stem_bags")),

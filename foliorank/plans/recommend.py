@@ -33,6 +33,7 @@ from ..operators.terms import (
     VOCABULARY_SIZE,
     merge_token_lists,
 )
+from ..operators.topics import topic_vectors_by_steps
 from ..operators.weights import (
     TOPIC_ITERATIONS,
     TOPICS,
@@ -80,6 +81,9 @@ def sampled_split(pairs: DataFrame, n_users: int, seed: int) -> DataFrame:
 
 # --------------------------------------------------- term and topic profiles --
 
+BY_STEPS = "steps"
+BY_MLLIB = "mllib"
+
 
 def term_weights(papers: DataFrame, options: TermOptions) -> DataFrame:
     """TF-IDF of all papers; token lists, counts and term weights are written once."""
@@ -98,12 +102,21 @@ def topic_vectors(
     topics: int = TOPICS,
     max_iter: int = TOPIC_ITERATIONS,
     seed: int = 1,
+    trainer: str = BY_STEPS,
 ) -> DataFrame:
-    """Topic shares of all papers, written once."""
+    """Topic shares of all papers, written once.
+
+    ``steps`` fits the topics by this library's repeatable steps, ``mllib`` by Spark's online trainer.
+    """
     words = write_once(preprocess_terms(papers, options.stopwords, options.stem), "words")
     vocabulary = build_vocabulary(
         papers, words, options.min_papers, options.max_share, options.size
     )
+    if trainer == BY_STEPS:
+        tf = term_frequency(words, vocabulary, options.size)
+        return write_once(topic_vectors_by_steps(tf, topics, max_iter, seed), "topics")
+    if trainer != BY_MLLIB:
+        raise ValueError(f"unknown trainer {trainer!r}")
     vectors = write_once(count_vectors(words, vocabulary), "counts")
     return write_once(lda_topics(vectors, topics, max_iter, seed), "topics")
 
@@ -143,9 +156,10 @@ def recommend_lda(
     terms: TermOptions = TermOptions(),
     topics: int = TOPICS,
     max_iter: int = TOPIC_ITERATIONS,
+    trainer: str = BY_STEPS,
 ) -> DataFrame:
     split = sampled_split(pairs, options.n_users, options.seed)
-    vectors = topic_vectors(papers, terms, topics, max_iter, options.seed)
+    vectors = topic_vectors(papers, terms, topics, max_iter, options.seed, trainer)
     profiles = sum_dense(train_part(split), vectors)
     return rank_by_vectors(profiles, vectors, split, options)
 
