@@ -3,7 +3,8 @@
 Test items come in blocks of bounded size; each block meets every document in a
 scan of its own, so documents are not shuffled. The scan looks for the word n-grams of
 the items, all of them however many documents hold one, lays a window of the document
-around each seed's diagonal, and aligns item and window by words. A window with too few
+around each seed as far as any alignment through it can reach, and aligns item and window
+by words. A window with too few
 of the item's words to reach the score is passed by: that bound is exact and keeps
 common n-grams cheap. Alignment runs over many windows at once.
 """
@@ -81,22 +82,44 @@ def align(items: np.ndarray, windows: np.ndarray) -> np.ndarray:
     return best
 
 
-def _windows(items: Items, words, at, seed):
-    """Distinct (text, item, first word, last word) windows around seed hits."""
+def _needed(sizes: np.ndarray, min_score: float) -> np.ndarray:
+    """The least score of a reported alignment."""
+    return np.maximum(min_score * MATCH * sizes, MATCH * np.minimum(sizes, LEAST_WORDS))
+
+
+def _windows(items: Items, words, at, seed, min_score: float):
+    """(text, item, first word, end) of the stretches in which an alignment through a seed can lie.
+
+    Foreign words cost one each and an item is worth two a word, so an alignment that reaches
+    its score holds at most (item's worth - least score) of them: that is how far it can
+    stray from the seed's diagonal on either side. Overlapping stretches of one
+    item become one, so an item cut into pieces is aligned as a whole.
+    """
     hits = items.start[seed + 1] - items.start[seed]
     total = np.cumsum(hits)
     flat = np.arange(total[-1]) - np.repeat(total - hits - items.start[seed], hits)
     item, inside = items.owner[flat], items.place[flat]
     word = np.repeat(at, hits)
     text = np.searchsorted(words.first, word, "right") - 1
-    pad = items.sizes[item] // 4 + 4
-    step = (word - inside - words.first[text]) // pad
-    rows = np.unique(np.stack([text, item, step]), axis=1)
-    text, item, step = rows
-    pad = items.sizes[item] // 4 + 4
-    low = words.first[text] + (step - 1) * pad
-    high = np.minimum(low + items.sizes[item] + 3 * pad, words.first[text + 1])
-    return text, item, np.maximum(low, words.first[text]), high
+    sizes = items.sizes[item]
+    stray = (MATCH * sizes - _needed(sizes, min_score)).astype(np.int64)
+    low = np.maximum(word - inside - stray, words.first[text])
+    high = np.minimum(word - inside + sizes + stray, words.first[text + 1])
+    return _merged(text, item, low, high)
+
+
+def _merged(text, item, low, high):
+    """Unions of overlapping stretches of the same text and item."""
+    order = np.lexsort((low, item, text))
+    text, item, low, high = text[order], item[order], low[order], high[order]
+    pair = np.cumsum(np.concatenate([[0], (np.diff(text) != 0) | (np.diff(item) != 0)]))
+    # The largest end so far inside the pair: ends of later pairs are lifted above earlier ones.
+    lift = pair * (int(high.max(initial=0)) + 1)
+    reach = np.maximum.accumulate(high + lift)
+    fresh = np.ones(len(text), bool)
+    fresh[1:] = (pair[1:] != pair[:-1]) | (low[1:] + lift[1:] > reach[:-1])
+    start = np.flatnonzero(fresh)
+    return text[start], item[start], low[start], np.maximum.reduceat(high, start)
 
 
 def _words_held(left: np.ndarray, right: np.ndarray, own: np.ndarray, used: np.ndarray) -> np.ndarray:
@@ -115,8 +138,8 @@ def _words_held(left: np.ndarray, right: np.ndarray, own: np.ndarray, used: np.n
 def _scores(items: Items, words, item, low, high, need) -> np.ndarray:
     """Alignment scores of windows, in batches of similar length; 0 where ``need`` is out of reach."""
     found = np.zeros(len(item), np.int64)
-    order = np.argsort(items.sizes[item], kind="stable")
     widths = high - low
+    order = np.argsort(widths, kind="stable")
     longest = np.maximum.accumulate(widths[order])
     start = 0
     while start < len(order):
@@ -154,7 +177,6 @@ def find_copies(
     items: DataFrame,
     n: int = 3,
     min_score: float = 0.5,
-    rare: int = 64,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Pairs of a document and a test item it holds a copy of: doc_id, item_id, score, row.
@@ -165,8 +187,11 @@ def find_copies(
     lower-cased. Null or empty texts, and items of fewer than ``n`` words, match nothing.
     Ids may be null or repeat: each document row and each item row is searched, and
     equal pairs of one text are given once. Empty tables give no rows; other columns are
-    not looked at. ``row`` is a key of the document row. ``rare`` was the number of
-    documents up to which a seed counted; all seeds count now and it changes nothing.
+    not looked at. ``row`` is a key of the document row.
+
+    All alignments that pass through an n-gram of the item count, with any foreign words
+    between its pieces; stretches of a text that no such n-gram is near are not aligned.
+    Texts may be of any length: each is aligned in its stretches around seeds only.
     """
     texts = documents.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"])
     texts = texts.withColumn("row", row_key("doc_id", "text"))
@@ -198,19 +223,19 @@ def _search(texts: DataFrame, items: Items, n: int, min_score: float, schema: st
             return
         word = at - (np.cumsum(per_text) - per_text)[owner[at]] + words.first[owner[at]]
         laid = np.cumsum(own.start[seed + 1] - own.start[seed])
-        parts = []
+        stretches = []
         start = 0
         while start < len(at):
             done = laid[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(laid, done + hits_at_once, "right")))
-            text, item, low, high = _windows(own, words, word[start:stop], seed[start:stop])
-            whole = MATCH * own.sizes[item]
-            need = np.maximum(min_score * whole, MATCH * np.minimum(own.sizes[item], LEAST_WORDS))
-            best = _scores(own, words, item, low, high, need)
-            good = best >= need
-            parts.append((text[good], item[good], best[good] / whole[good]))
+            stretches.append(_windows(own, words, word[start:stop], seed[start:stop], min_score))
             start = stop
-        text, item, share = (np.concatenate(x) for x in zip(*parts, strict=True))
+        # A cut between hits may part one stretch: its pieces are joined before they are aligned.
+        text, item, low, high = _merged(*(np.concatenate(x) for x in zip(*stretches, strict=True)))
+        whole, need = MATCH * own.sizes[item], _needed(own.sizes[item], min_score)
+        best = _scores(own, words, item, low, high, need)
+        good = best >= need
+        text, item, share = text[good], item[good], best[good] / whole[good]
         order = np.lexsort((-share, item, text))
         text, item, share = text[order], item[order], share[order]
         top = np.ones(len(text), bool)

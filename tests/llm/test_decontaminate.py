@@ -75,7 +75,7 @@ def test_an_item_that_leaked_everywhere_is_still_found(spark):
     documents = [(i, f"{t} {items[0][1]}") for i, t in documents]
     a = spark.createDataFrame(documents, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
-    found = {(r.doc_id, r.item_id) for r in decontaminate.find_copies(a, b, rare=5).collect()}
+    found = {(r.doc_id, r.item_id) for r in decontaminate.find_copies(a, b).collect()}
     assert {(i, 0) for i, _ in documents} <= found
 
 
@@ -106,9 +106,8 @@ def test_edited_copies_of_an_item_in_many_documents(spark):
     a = spark.createDataFrame(documents, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
     expected = brute(documents, items)
-    for rare in (64, 5):
-        found = {(r.doc_id, r.item_id): r.score for r in decontaminate.find_copies(a, b, rare=rare).collect()}
-        assert found == expected
+    found = {(r.doc_id, r.item_id): r.score for r in decontaminate.find_copies(a, b).collect()}
+    assert found == expected
     assert len(expected) > 200
 
 
@@ -121,3 +120,37 @@ def test_a_common_trigram_of_all_items_in_slices(spark, monkeypatch):
     b = spark.createDataFrame(items, "item_id long, text string")
     found = {(r.doc_id, r.item_id): r.score for r in decontaminate.find_copies(a, b).collect()}
     assert found == brute(documents, items) and found
+
+
+def test_copies_cut_into_pieces(spark):
+    """Foreign words between the pieces of an item cost their alignment, nothing more."""
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=k))) for i, k in enumerate((100, 100, 60, 24))]
+    documents = []
+    for foreign in (5, 20, 30, 40, 45, 48, 60, 90):
+        for item, text in items:
+            for pieces in (2, 3, 4):
+                own = text.split()
+                cuts = [round(len(own) * j / pieces) for j in range(pieces + 1)]
+                body = rng.choices(vocabulary, k=30)
+                for a, b in zip(cuts, cuts[1:]):
+                    body += own[a:b] + [f"x{rng.random()}" for _ in range(foreign)]
+                documents.append((len(documents), " ".join(body)))
+    a = spark.createDataFrame(documents, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    expected = brute(documents, items)
+    found = {(r.doc_id, r.item_id): r.score for r in decontaminate.find_copies(a, b).collect()}
+    assert found == expected and 20 < len(expected) < len(documents)
+
+
+def test_null_ids_repeats_and_long_texts(spark):
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(500)]
+    item = " ".join(f"i{i}" for i in range(40))
+    long = " ".join(rng.choices(vocabulary, k=200_000))
+    documents = [(None, item), (None, f"{long} {item} {long}"), (3, item), (3, item), (4, long)]
+    a = spark.createDataFrame(documents, "doc_id long, text string")
+    b = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = sorted(((r.doc_id, r.item_id, r.score) for r in decontaminate.find_copies(a, b).collect()), key=str)
+    assert found == [(3, 1, 1.0), (3, 1, 1.0), (None, 1, 1.0), (None, 1, 1.0)]
