@@ -347,6 +347,12 @@ def nest_terms(spark, folder):
     return terms.nest_terms(plain_words(spark, folder)).select("paper_id", joined("terms"))
 
 
+@query
+def nest_term_rows(spark, folder):
+    rows = terms.explode_terms(plain_words(spark, folder))
+    return terms.nest_term_rows(rows).select("paper_id", joined("terms"))
+
+
 @query
 def assign_user_ids(spark, folder):
     return libraries.assign_user_ids(tables.pairs(spark, folder))
@@ -506,6 +512,27 @@ def collect_recommendations(spark, folder):
     return collected.select("user_id", F.array_join(ids, ",").alias("recommendations"))
 
 
+@query
+def collect_ranked(spark, folder):
+    """Dense lists of all sampled users in parts of 20, with every tied paper."""
+    split = vector_split(spark, folder)
+    coarse = tables.vectors(spark, folder).withColumn("vector", F.transform("vector", lambda x: F.round(x, 1)))
+    scored = scoring.score_dense(
+        vector_profiles(spark, folder, split), coarse, libraries.train_part(split), k=35, digits=1
+    )
+    collected = ranking.collect_ranked(ranking.top_k(scored, 35), part_papers=20)
+    ids = F.col("recommendations").cast("array<string>")
+    return collected.select("user_id", "part", F.array_join(ids, ",").alias("recommendations"))
+
+
+@query
+def merged_lists_in_parts(spark, folder):
+    """Merged token lists cut each time they pass 1,000 tokens."""
+    words = preprocess.preprocess_conservative(tables.papers(spark, folder))
+    merged = terms.merge_token_lists(written_pairs(spark, folder), words, part_tokens=1000, cells=8)
+    return merged.select("user_id", "part", joined())
+
+
 @query
 def average_metric(spark, folder):
     lists, test = exact_vector_lists(spark, folder)

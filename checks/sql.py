@@ -480,6 +480,30 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "explode_terms": (("term_sets",), "SELECT * FROM term_sets"),
     "nest_terms": (("words",), """
         SELECT paper_id, array_to_string(list_sort(words), ' ') AS terms FROM words"""),
+    "nest_term_rows": (("term_rows",), """
+        SELECT paper_id, string_agg(term, ' ' ORDER BY term) AS terms FROM term_rows GROUP BY paper_id"""),
+    "collect_ranked": (("profiles_v50", "train_v50", "vectors"), f"""
+        , coarse AS (SELECT paper_id, list_transform(vector, lambda x: round(x, 1)) AS vector FROM vectors)
+        , scored AS (
+          SELECT u.user_id, v.paper_id,
+                 CASE WHEN {_VECTOR_SIZE_SUM.format('u.vector')} * {_VECTOR_SIZE_SUM.format('v.vector')} > 0
+                      THEN round(list_cosine_similarity(u.vector, v.vector), 1) + 0 END AS similarity
+          FROM profiles_v50 u CROSS JOIN coarse v
+          WHERE NOT EXISTS (SELECT 1 FROM train_v50 t WHERE t.user_id = u.user_id AND t.paper_id = v.paper_id))
+        , ranked AS (
+          SELECT *, dense_rank() OVER (PARTITION BY user_id ORDER BY similarity DESC) AS rank
+          FROM scored WHERE similarity IS NOT NULL)
+        , placed AS (
+          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rank, paper_id) AS place FROM ranked WHERE rank <= 35)
+        SELECT user_id, (place - 1) // 20 AS part, string_agg(CAST(paper_id AS VARCHAR), ',' ORDER BY place) AS recommendations
+        FROM placed GROUP BY user_id, part"""),
+    "merged_lists_in_parts": (("pairs", "conservative"), """
+        SELECT user_id, part, array_to_string(flatten(list(words ORDER BY paper_id)), ' ') AS words
+        FROM (SELECT user_id, paper_id, words,
+                     CAST(coalesce(sum(len(words)) OVER (PARTITION BY user_id ORDER BY paper_id
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 1000 AS BIGINT) AS part
+              FROM pairs JOIN conservative USING (paper_id))
+        GROUP BY user_id, part"""),
     "assign_user_ids": (("pairs",), """
         SELECT user_id, row_number() OVER (ORDER BY md5(CAST(user_id AS VARCHAR)), user_id) - 1 AS user_idx
         FROM (SELECT DISTINCT user_id FROM pairs)"""),

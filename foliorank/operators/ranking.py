@@ -4,7 +4,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import write_once
+from .grouping import position_in_group
+from .terms import PAPER_CELLS, paper_cells
 
+# Papers in one row of a collected list.
+LIST_PART = 1000
 # Tasks that share the first cut of one user's candidates.
 CUT_SALTS = 64
 
@@ -69,3 +73,25 @@ def collect_recommendations(recommendations: DataFrame, k: int) -> DataFrame:
     return placed.groupBy("user_id").agg(
         F.transform(in_order, lambda p: p["paper_id"]).alias("recommendations")
     )
+
+
+def collect_ranked(
+    recommendations: DataFrame, part_papers: int = LIST_PART, cells: int = PAPER_CELLS
+) -> DataFrame:
+    """(user_id, part, recommendations): all papers of the lists in order, ties by paper_id.
+
+    With dense ranks a list has no fixed length: copies of one paper may tie for a third of
+    the catalogue. It comes in parts of ``part_papers`` papers, numbered from 0, and
+    places are counted in cells of a rank and a range of ids, so no task orders a
+    whole list.
+    """
+    ranges = paper_cells(recommendations.select("paper_id").distinct(), cells)
+    listed = recommendations.select("user_id", "rank", "paper_id").join(
+        ranges.withColumnRenamed("_cell", "_range"), "paper_id"
+    )
+    cell = F.struct("rank", "_range")
+    placed = position_in_group(listed, ["user_id"], cell, ["rank", "paper_id"])
+    part = F.floor((F.col("position") - 1) / part_papers).alias("part")
+    in_order = F.array_sort(F.collect_list(F.struct("position", "paper_id")))
+    parts = placed.groupBy("user_id", part).agg(in_order.alias("_placed"))
+    return parts.select("user_id", "part", F.transform("_placed", lambda p: p["paper_id"]).alias("recommendations"))

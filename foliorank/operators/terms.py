@@ -13,9 +13,6 @@ VOCABULARY_SIZE = 1000
 # Ranges of paper ids in which the places of a merged list are counted.
 PAPER_CELLS = 64
 
-# A vocabulary up to this many rows is broadcast; a larger one is shuffled.
-BROADCAST_TERMS = 100_000
-
 
 def count_distinct_papers(papers: DataFrame) -> DataFrame:
     """Number of distinct (paper_id, title, abstract) rows.
@@ -61,16 +58,12 @@ def top_terms(frequencies: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
     return top.withColumn("term_id", (F.row_number().over(by_frequency) - 1).cast("bigint"))
 
 
-def small_terms(vocabulary: DataFrame, size: int) -> DataFrame:
-    """Mark a table of at most ``size`` terms for broadcast if that is small."""
-    return F.broadcast(vocabulary) if size <= BROADCAST_TERMS else vocabulary
-
+def keep_vocabulary_terms(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(paper_id, term) rows whose term is in the vocabulary.
 
-def keep_vocabulary_terms(
-    terms: DataFrame, vocabulary: DataFrame, size: int = VOCABULARY_SIZE
-) -> DataFrame:
-    """(paper_id, term) rows whose term is in the vocabulary."""
-    return terms.join(small_terms(vocabulary.select("term"), size), "term", "left_semi")
+    The vocabulary is written first: its measured size decides whether it is broadcast.
+    """
+    return terms.join(write_once(vocabulary.select("term"), "vocabulary"), "term", "left_semi")
 
 
 def nest_terms(words: DataFrame) -> DataFrame:
@@ -78,6 +71,17 @@ def nest_terms(words: DataFrame) -> DataFrame:
     return words.select("paper_id", F.array_sort("words").alias("terms"))
 
 
+def nest_term_rows(rows: DataFrame) -> DataFrame:
+    """(paper_id, term) rows as one sorted list a paper, repeats kept (bounded by the paper's text)."""
+    return rows.groupBy("paper_id").agg(F.array_sort(F.collect_list("term")).alias("terms"))
+
+
+def paper_cells(papers: DataFrame, cells: int = PAPER_CELLS) -> DataFrame:
+    """Add ``_cell`` to rows of distinct papers: ranges of paper_id, in order; a written table."""
+    ranged = papers.repartitionByRange(cells, "paper_id").withColumn("_cell", F.spark_partition_id())
+    return write_once(ranged, "paper-cells")
+
+
 def merge_token_lists(
     pairs: DataFrame, words: DataFrame, part_tokens: int = 1_000_000, cells: int = PAPER_CELLS
 ) -> DataFrame:
@@ -94,8 +98,7 @@ def merge_token_lists(
     """
     words = write_once(words.select("paper_id", "words"), "token-lists")
     sizes = words.select("paper_id", F.size("words").cast("bigint").alias("_tokens"))
-    ranged = sizes.repartitionByRange(cells, "paper_id").withColumn("_cell", F.spark_partition_id())
-    sized = pairs.join(write_once(ranged, "token-cells"), "paper_id")
+    sized = pairs.join(paper_cells(sizes, cells), "paper_id")
     in_user = Window.partitionBy("user_id").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         sized.groupBy("user_id", "_cell")

@@ -6,7 +6,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .terms import BROADCAST_TERMS, VOCABULARY_SIZE, explode_terms, small_terms
+from ..storage import write_once
+from .terms import explode_terms
 
 # The topic model's shape.
 TOPICS = 40
@@ -15,11 +16,12 @@ TOPIC_ITERATIONS = 10
 MAX_MODEL_TERMS = 1 << 18
 
 
-def term_frequency(
-    words: DataFrame, vocabulary: DataFrame, size: int = VOCABULARY_SIZE
-) -> DataFrame:
-    """(paper_id, term_id, tf) over vocabulary terms; a sparse matrix in long form."""
-    known = small_terms(vocabulary.select("term", "term_id"), size)
+def term_frequency(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(paper_id, term_id, tf) over vocabulary terms; a sparse matrix in long form.
+
+    The vocabulary is written first: its measured size decides whether it is broadcast.
+    """
+    known = write_once(vocabulary.select("term", "term_id"), "vocabulary")
     return (
         explode_terms(words)
         .join(known, "term")
@@ -35,13 +37,14 @@ def inverse_document_frequency(tf: DataFrame) -> DataFrame:
     return frequencies.withColumn("idf", F.log((m + 1) / (F.col("df") + 1)))
 
 
-def tf_idf(
-    tf: DataFrame, size: int = VOCABULARY_SIZE, idf: DataFrame | None = None
-) -> DataFrame:
-    """(paper_id, term_id, weight); zero weights are kept out, as in a sparse vector."""
+def tf_idf(tf: DataFrame, idf: DataFrame | None = None) -> DataFrame:
+    """(paper_id, term_id, weight); zero weights are kept out, as in a sparse vector.
+
+    ``idf`` should be a written table; without it, it is made from ``tf`` and written.
+    """
     if idf is None:
-        idf = inverse_document_frequency(tf)
-    joined = tf.join(small_terms(idf.select("term_id", "idf"), size), "term_id")
+        idf = write_once(inverse_document_frequency(tf), "idf")
+    joined = tf.join(idf.select("term_id", "idf"), "term_id")
     weight = (F.col("tf") * F.col("idf")).alias("weight")
     return drop_zeros(joined.select("paper_id", "term_id", weight))
 

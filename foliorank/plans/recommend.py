@@ -91,9 +91,9 @@ def term_weights(papers: DataFrame, options: TermOptions) -> DataFrame:
     vocabulary = build_vocabulary(
         papers, words, options.min_papers, options.max_share, options.size
     )
-    tf = write_once(term_frequency(words, vocabulary, options.size), "tf")
+    tf = write_once(term_frequency(words, vocabulary), "tf")
     idf = write_once(inverse_document_frequency(tf), "idf")
-    return tf_idf(tf, options.size, idf)
+    return tf_idf(tf, idf)
 
 
 def topic_vectors(
@@ -113,7 +113,7 @@ def topic_vectors(
         papers, words, options.min_papers, options.max_share, options.size
     )
     if trainer == BY_STEPS:
-        tf = term_frequency(words, vocabulary, options.size)
+        tf = term_frequency(words, vocabulary)
         return write_once(topic_vectors_by_steps(tf, topics, max_iter, seed), "topics")
     if trainer != BY_MLLIB:
         raise ValueError(f"unknown trainer {trainer!r}")

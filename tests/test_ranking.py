@@ -151,3 +151,25 @@ def test_profiles(spark):
     assert summed == {"u": [4.0, 2.0], "v": [3.0, 2.0]}
     mean = {r.user_id: r.vector for r in profiles.mean_by_tokens(train, vectors).collect()}
     assert mean["u"] == pytest.approx([1.5, 0.5]) and mean["v"] == pytest.approx([3.0, 2.0])
+
+
+def test_collected_dense_lists_keep_all_ties(spark):
+    rows = [("u", 1, p) for p in range(50)] + [("u", 2, p) for p in range(100, 700)] + [("v", 1, 3)]
+    lists = spark.createDataFrame(rows, "user_id string, rank bigint, paper_id bigint").repartition(4)
+    found = {(r.user_id, r.part): r.recommendations for r in ranking.collect_ranked(lists, part_papers=64).collect()}
+    whole = [p for part in range(11) for p in found["u", part]]
+    assert whole == [*range(50), *range(100, 700)] and found["v", 0] == [3] and len(found) == 12
+    assert all(len(found["u", part]) == 64 for part in range(10))
+    assert ranking.collect_ranked(lists.limit(0)).collect() == []
+
+
+def test_ties_of_a_third_of_the_catalogue(spark):
+    rows = [("u", p, 0.59955 if p % 3 == 0 else p / 10_000) for p in range(6000)]
+    scored = spark.createDataFrame(rows, "user_id string, paper_id bigint, similarity double")
+    ranked = ranking.top_k(scored, 6)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    # Rows are never dealt by their score.
+    assert not any("similarity" in line for line in plan.splitlines() if "hashpartitioning" in line)
+    best = sorted({s for _, _, s in rows}, reverse=True)[:6]
+    expected = sorted(("u", best.index(s) + 1, p, s) for _, p, s in rows if s in best)
+    assert sorted(tuple(r) for r in ranked.collect()) == expected and len(expected) > 2000
