@@ -313,3 +313,82 @@ def repair(turns: DataFrame, copies: str | None = None) -> DataFrame:
 
 def _arrow(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+# The same contract row by row: costs and audits of the rest of a conversation, from its last row back,
+# for the four states in which it may be entered.
+REPAIR_SQL = r"""
+WITH RECURSIVE
+codes AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step),
+coded AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(
+               coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+             lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS code
+  FROM conversations, codes),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN code = 1 THEN '' WHEN code = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM coded WHERE code <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM damaged),
+marked AS (
+  SELECT *, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS final,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+         lag(role[1]) OVER (PARTITION BY conv_id ORDER BY n) AS before
+  FROM placed),
+faults AS (
+  SELECT *, final = '' AS blank, final <> '' AND again AS duplicate,
+         final <> '' AND NOT again AND final NOT IN ('.', '!', '?') AS truncated
+  FROM marked),
+counts AS (
+  SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (before || role[1] NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS rows
+  FROM faults GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, rows + 1 AS n, {'c': 0, 'a': ''} AS b, {'c': 10, 'a': 'II'} AS s, {'c': 5, 'a': 'I'} AS u, {'c': 0, 'a': ''} AS a
+  FROM counts
+  UNION ALL
+  SELECT conv_id, n,
+         list_min([gb, {'c': gu.c + 5, 'a': 'I' || gu.a}, {'c': ga.c + 10, 'a': 'II' || ga.a}]) AS b,
+         list_min([gs, {'c': gu.c + 5, 'a': 'I' || gu.a}, {'c': ga.c + 10, 'a': 'II' || ga.a}]) AS s,
+         list_min([gu, {'c': ga.c + 5, 'a': 'I' || ga.a}, {'c': gu.c + 10, 'a': 'II' || gu.a}]) AS u,
+         list_min([ga, {'c': gu.c + 5, 'a': 'I' || gu.a}, {'c': ga.c + 10, 'a': 'II' || ga.a}]) AS a
+  FROM (
+    SELECT w.conv_id, r.n,
+           list_min([{'c': b.c + 2, 'a': 'D' || b.a}, CASE WHEN stays THEN {'c': u.c + more + off_u, 'a': kr_u || u.a} ELSE {'c': 1000000, 'a': ''} END,
+                     CASE WHEN stays AND initial = 's' THEN {'c': s.c + more, 'a': 'K' || s.a} ELSE {'c': 1000000, 'a': ''} END]) AS gb,
+           list_min([{'c': s.c + 2, 'a': 'D' || s.a}, CASE WHEN stays THEN {'c': u.c + more + off_u, 'a': kr_u || u.a} ELSE {'c': 1000000, 'a': ''} END]) AS gs,
+           list_min([{'c': u.c + 2, 'a': 'D' || u.a}, CASE WHEN stays THEN {'c': a.c + more + off_a, 'a': kr_a || a.a} ELSE {'c': 1000000, 'a': ''} END]) AS gu,
+           list_min([{'c': a.c + 2, 'a': 'D' || a.a}, CASE WHEN stays THEN {'c': u.c + more + off_u, 'a': kr_u || u.a} ELSE {'c': 1000000, 'a': ''} END]) AS ga
+    FROM walk w JOIN (
+      SELECT conv_id, n, NOT blank AND NOT duplicate AS stays, CASE WHEN truncated THEN 5 ELSE 0 END AS more, role[1] AS initial,
+             CASE WHEN role[1] = 'u' THEN 0 ELSE 1 END AS off_u, CASE WHEN role[1] = 'u' THEN 'K' ELSE 'R' END AS kr_u,
+             CASE WHEN role[1] = 'a' THEN 0 ELSE 1 END AS off_a, CASE WHEN role[1] = 'a' THEN 'K' ELSE 'R' END AS kr_a
+      FROM faults) r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.n = w.n - 1)),
+audits AS (SELECT conv_id, b.c AS cost, b.a AS audit FROM walk WHERE n = 1),
+edits AS (
+  SELECT conv_id, place, audit[place] AS edit, len(regexp_replace(left(audit, place), 'I', '', 'g')) AS n,
+         len(regexp_replace(left(audit, place), 'D', '', 'g')) AS kept
+  FROM (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS place FROM audits)),
+repaired AS (
+  SELECT e.conv_id, kept, edit, CASE WHEN edit = 'I' THEN '' ELSE text END AS text, role,
+         max(CASE WHEN kept = 1 AND edit = 'K' AND role[1] = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS led
+  FROM edits e LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.n = e.n AND edit <> 'I'
+  WHERE edit <> 'D'),
+texts AS (
+  SELECT conv_id, string_agg((CASE WHEN edit = 'K' THEN role WHEN (kept - led) % 2 = 1 THEN 'user' ELSE 'assistant' END) || ':' || text,
+                             chr(10) ORDER BY kept) AS text
+  FROM repaired GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(t.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counts k ON k.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN audits d ON d.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+"""

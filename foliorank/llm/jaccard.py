@@ -472,3 +472,27 @@ def jaccard_components(
     return narrow.join(named.withColumnRenamed("g", "_g"), (F.col("g") == F.col("_g")) & (F.col("n") > 0), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "row"
     )
+
+
+# Brute force over all pairs that share a shingle.
+JACCARD_SQL = r"""
+WITH RECURSIVE
+words AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+grams AS (
+  SELECT DISTINCT row, array_to_string(w[pos:pos + 3], ' ') AS gram
+  FROM (SELECT row, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS pos FROM words WHERE len(w) > 0)),
+sizes AS (SELECT row, count(*) AS n FROM grams GROUP BY row),
+met AS (
+  SELECT a.row AS a, b.row AS b, count(*) AS common
+  FROM grams a JOIN grams b ON a.gram = b.gram AND a.row < b.row GROUP BY a.row, b.row),
+links AS (
+  SELECT a, b FROM met JOIN sizes x ON x.row = a JOIN sizes y ON y.row = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a AS origin, b AS row FROM edges UNION SELECT origin, b FROM reach JOIN edges ON a = reach.row),
+least AS (SELECT origin, min(doc_id) AS other FROM reach JOIN words USING (row) GROUP BY origin)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, other) AS component_id
+FROM words LEFT JOIN sizes USING (row) LEFT JOIN least ON origin = row
+"""

@@ -27,10 +27,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
     "op1_mix_sources": mixing.MIX_SQL,
     "op2_warc_round_trip": warc.WARC_SQL,
+    "op5_suffix_dedup": suffixes.SUFFIX_SQL,
     "op6_quality_rules": quality.quality_sql(),
     "op8_url_filters": url_filters.URL_SQL,
+    "op10_jaccard_join": jaccard.JACCARD_SQL,
     "op11_vector_forest": vector_forest.FOREST_SQL,
     "op12_ranked_search": ranked_search.SEARCH_SQL,
+    "op13_repair_conversations": conversations.REPAIR_SQL,
 }
 
 

@@ -472,3 +472,36 @@ def remove_repeats(
     if keep:
         schema, chosen = schema.add("kept", texts.schema["kept"].dataType), [*chosen, "kept"]
     return joined.select(*chosen).mapInArrow(finish, schema)
+
+
+# Brute force over all windows.
+SUFFIX_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS number, doc_id, hex(encode(coalesce(text, ''))) AS bytes,
+         CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n_bytes
+  FROM documents),
+blocks AS (
+  SELECT number, doc_id, n_bytes, block, substr(bytes, 1024 * block + 1, 1024 + 98) AS part
+  FROM (SELECT *, unnest(range(0, (n_bytes + 511) // 512)) AS block FROM d)),
+starts AS (
+  SELECT number, doc_id, 512 * block + j AS pos, substr(part, 2 * j + 1, 100) AS piece
+  FROM (SELECT *, unnest(range(0, least(512, n_bytes - 49 - 512 * block))) AS j FROM blocks)),
+firsts AS (SELECT piece, min(doc_id) AS first, max(doc_id) AS last FROM starts GROUP BY piece HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT number, pos FROM starts JOIN firsts USING (piece) WHERE first < doc_id),
+places AS (
+  SELECT number, 512 * block + j AS pos, substr(part, 2 * j + 1, 2) AS byte
+  FROM (SELECT *, unnest(range(0, least(512, n_bytes - 512 * block))) AS j FROM blocks
+        WHERE number IN (SELECT number FROM hits))),
+marked AS (
+  SELECT number, pos, byte,
+         coalesce(max(CASE WHEN hits.number IS NOT NULL THEN 1 END) OVER (PARTITION BY number ORDER BY pos ROWS 49 PRECEDING), 0) AS gone
+  FROM places LEFT JOIN hits USING (number, pos)),
+runs AS (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY number ORDER BY pos) AS before FROM marked),
+found AS (
+  SELECT number, sum(gone) AS n_removed, sum(CASE WHEN gone = 1 AND before = 0 THEN 1 ELSE 0 END) AS n_spans,
+         coalesce(string_agg(byte, '' ORDER BY pos) FILTER (gone = 0), '') AS kept
+  FROM runs GROUP BY number)
+SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, bytes))) AS kept_sha256
+FROM d LEFT JOIN found USING (number)
+"""

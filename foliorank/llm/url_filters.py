@@ -55,11 +55,17 @@ def matched_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
 
 
 def address(url: Column) -> Column:
-    """A url as a node: host and what follows it, without scheme and fragment."""
+    """A url as a node: host and what follows it, without scheme, default port and fragment.
+
+    An empty path is the path ``/``.
+    """
     rest = after_scheme(url)
+    scheme = F.lower(F.substring_index(url, "://", 1))
+    port = F.when(scheme == "http", ":80$").when(scheme == "https", ":443$").otherwise("$")
+    tail = F.regexp_extract(rest, "^[^/?#]*([^#]*)", 1)
     return F.when(
         rest != "",
-        F.concat(host(url), F.regexp_extract(rest, "^[^/?#]*([^#]*)", 1)),
+        F.concat(F.regexp_replace(host(url), port, F.lit("")), F.when(F.startswith(tail, F.lit("/")), "").otherwise("/"), tail),
     )
 
 
@@ -72,6 +78,7 @@ _TAG = {
 }
 
 
+_COMMENT = "(?s)<!--.*?-->"
 _SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:"
 
 
@@ -115,7 +122,8 @@ def page_edges(pages: DataFrame) -> DataFrame:
     """Edges (url, target) that the pages state themselves: all their canonical links and redirects."""
 
     def targets(tag: str, target: str) -> Column:
-        return F.transform(F.regexp_extract_all("html", F.lit(tag), F.lit(0)), lambda t: F.regexp_extract(t, target, 1))
+        tags = F.regexp_extract_all(F.regexp_replace("html", _COMMENT, ""), F.lit(tag), F.lit(0))
+        return F.transform(tags, lambda t: F.replace(F.regexp_extract(t, target, 1), F.lit("&amp;"), F.lit("&")))
 
     declared = [targets(tag, target) for tag, target in _TAG.values()]
     # Most pages declare nothing: a plain search passes them by before any pattern runs.
@@ -141,7 +149,8 @@ def judge_urls(
     ``redirects`` (url, target) adds edges from a crawl's redirect log. Null urls and
     urls without ``://`` have an empty host and path, fit no rule and have no alias.
     Null html declares nothing. Targets relative to the page (a path, dots, a query) are
-    resolved against its url, whatever a ``base`` element says. Rows that repeat, null ids and urls that several
+    resolved against its url, whatever a ``base`` element says; tags inside comments declare
+    nothing, and html of any length is read whole. Rows that repeat, null ids and urls that several
     pages share are judged row by row; an empty table gives no rows.
     """
     own = pages.select(pages["page_id"], pages["url"], pages["html"])
@@ -183,44 +192,70 @@ def judge_urls(
 
 URL_SQL = r"""
 WITH RECURSIVE p AS (
-  SELECT page_id, url, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  SELECT row_number() OVER () AS number, page_id, url, html,
+    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
   FROM pages
 ), h AS (
-  SELECT page_id, url, html, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS tail
+  SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
   FROM p
 ), m AS (
-  SELECT *, CASE WHEN host <> '' THEN host || tail END AS node,
-    CASE
-      WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
-      WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
-      WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
-      WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
-      WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/'
-    END AS rule
-  FROM h
-), declared AS (
-  SELECT node, url, host, unnest([
-    regexp_extract(regexp_extract(html, '(?is)<link[^>]*rel\s*=\s*["'']?canonical[^>]*>'), '(?is)href\s*=\s*["'']?([^"''\s>]+)', 1),
-    regexp_extract(regexp_extract(html, '(?is)<meta[^>]*http-equiv\s*=\s*["'']?refresh[^>]*>'), '(?is)url\s*=\s*["'']?([^"''\s>;]+)', 1)
-  ]) AS link
-  FROM m WHERE node IS NOT NULL
-), target AS (
-  SELECT node, substr(absolute, strpos(absolute, '://') + 3) AS rest FROM (
-    SELECT node, CASE WHEN contains(link, '://') THEN link
-      WHEN starts_with(link, '//') THEN split_part(url, '://', 1) || ':' || link
-      WHEN starts_with(link, '/') THEN split_part(url, '://', 1) || '://' || host || link END AS absolute
-    FROM declared WHERE link <> '') WHERE absolute IS NOT NULL
+  SELECT *, {node} AS node, {rule} AS rule FROM (SELECT *, url AS link FROM h)
+), tags AS (
+  SELECT number, url, host, path, replace(unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(page, '(?is)<link\b[^>]*>'),
+        lambda t: regexp_matches(t, '(?is)\brel\s*=\s*["'']?canonical\b')),
+      lambda t: regexp_extract(t, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+    list_transform(list_filter(regexp_extract_all(page, '(?is)<meta\b[^>]*>'),
+        lambda t: regexp_matches(t, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b')),
+      lambda t: regexp_extract(t, '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1)))), '&amp;', '&') AS href
+  FROM (SELECT *, regexp_replace(html, '(?s)<!--.*?-->', '', 'g') AS page FROM m WHERE node IS NOT NULL)
+), parts AS (
+  SELECT *, split_part(url, '://', 1) || ':' AS scheme, CASE WHEN path = '' THEN '/' ELSE path END AS own,
+    regexp_extract(href, '[?#].*$') AS tail, regexp_extract(href, '^[^?#]*') AS named
+  FROM tags WHERE href <> ''
+), named AS (
+  SELECT *, CASE WHEN starts_with(named, '/') THEN named ELSE regexp_extract(own, '^.*/') || named END AS dotted FROM parts
+), plain AS (
+  SELECT *, CASE WHEN contains(dotted, '/.') THEN '/' || array_to_string(list_concat(
+      list_reduce(list_transform(string_split(substr(dotted, 2), '/'), lambda x: [x]),
+        lambda done, x: CASE WHEN x[1] = '.' THEN done WHEN x[1] = '..' THEN done[1:greatest(len(done) - 1, 0)]
+                             ELSE list_concat(done, x) END, CAST([] AS VARCHAR[])),
+      CASE WHEN regexp_matches(dotted, '/[.][.]?$') THEN [''] ELSE CAST([] AS VARCHAR[]) END), '/') ELSE dotted END AS clean
+  FROM named
+), targets AS (
+  SELECT number, CASE
+      WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN href
+      WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+      WHEN starts_with(href, '//') THEN scheme || href
+      WHEN starts_with(href, '?') THEN scheme || '//' || host || own || href
+      WHEN starts_with(href, '#') THEN split_part(url, '#', 1) || href
+      ELSE scheme || '//' || host || clean || tail END AS link
+  FROM plain
 ), e AS (
-  SELECT node AS a, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
-    || regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS b FROM target
+  SELECT DISTINCT m.node AS a, t.node AS b FROM (
+    SELECT number, {node} AS node FROM (
+      SELECT number, link, substr(link, strpos(link, '://') + 3) AS rest FROM targets WHERE strpos(link, '://') > 0)) t
+  JOIN m USING (number) WHERE t.node <> m.node
+), nodes AS (
+  SELECT node, {rule} AS rule FROM (
+    SELECT node, regexp_extract(node, '^[^/?]*') AS host, regexp_extract(node, '^[^/?]*([^?]*)', 1) AS path
+    FROM (SELECT a AS node FROM e UNION SELECT b FROM e))
 ), reach AS (
-  SELECT node AS start, node AS seen FROM m WHERE rule IS NOT NULL AND rule IN ('example.com/en/', 'net/es/', 'net/fr/') AND node IS NOT NULL
+  SELECT node AS seen FROM nodes WHERE rule IN ('example.com/en/', 'net/es/', 'net/fr/')
   UNION
-  SELECT start, CASE WHEN seen = a THEN b ELSE a END FROM reach JOIN e ON seen = a OR seen = b
-), hit AS (SELECT DISTINCT seen FROM reach)
+  SELECT CASE WHEN seen = a THEN b ELSE a END FROM reach JOIN e ON seen = a OR seen = b)
 SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
        WHEN seen IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
-FROM m LEFT JOIN hit ON m.node = hit.seen
-"""
+FROM m LEFT JOIN reach ON m.node = reach.seen
+""".replace("{node}", """CASE WHEN rest <> '' THEN
+      regexp_replace(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        CASE lower(split_part(link, '://', 1)) WHEN 'http' THEN ':80$' WHEN 'https' THEN ':443$' ELSE '$' END, '')
+      || CASE WHEN starts_with(regexp_extract(rest, '^[^/?#]*([^#]*)', 1), '/') THEN '' ELSE '/' END
+      || regexp_extract(rest, '^[^/?#]*([^#]*)', 1) END""").replace("{rule}", """CASE
+      WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+      WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+      WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+      WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+      WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END""")

@@ -29,6 +29,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 RECORD_ID = "<urn:page:{}>"
 
 ARCHIVE_BYTES = 64 << 20
+MAX_READERS = 1 << 16
 SAMPLES = 256  # records of a task from which its dictionary is trained
 SAMPLE_BYTES = 4 << 20
 DICTIONARY_BYTES = 16 << 10
@@ -273,7 +274,8 @@ def read_warc(archives: DataFrame, payload: bool = True) -> DataFrame:
 
     page_id, url, record_type, refers_to, payload_bytes, payload_digest and, if asked
     for, payload (null in revisits). A broken header, length, digest or frame fails
-    the job with the archive's name. An archive without records gives no rows.
+    the job with the archive's name. An archive without records gives no rows. Archives
+    are dealt one to a task, up to ``MAX_READERS`` tasks; records of any length are held one at a time.
     """
     names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
@@ -312,7 +314,9 @@ def read_warc(archives: DataFrame, payload: bool = True) -> DataFrame:
                 if rows:
                     yield flush(rows)
 
-    return archives.select("path").repartition("path").mapInArrow(run, schema)
+    # An explicit number: rows are few and small, so Spark would put all archives into one task.
+    readers = min(MAX_READERS, max(1, archives.count()))
+    return archives.select("path").repartitionByRange(readers, "path").mapInArrow(run, schema)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:

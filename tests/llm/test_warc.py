@@ -85,3 +85,12 @@ def test_a_broken_archive_fails_the_job(spark, tmp_path):
     names = spark.createDataFrame([(str(tmp_path / "x.warc.zst"),)], "path string")
     with pytest.raises(PythonException, match="no WARC header"):
         warc.read_warc(names).collect()
+
+
+def test_each_archive_has_a_task(spark, tmp_path):
+    rows = [(i, "u", "x" * 3000 + str(i)) for i in range(64)]
+    manifest = warc.write_warc(spark.createDataFrame(rows, SCHEMA).repartition(8), f"file://{tmp_path}/w")
+    assert manifest.count() == 8
+    found = warc.read_warc(manifest)
+    tasks = found.selectExpr("spark_partition_id() AS task").groupBy("task").count().collect()
+    assert sum(t["count"] for t in tasks) == 64 and len(tasks) >= 6
