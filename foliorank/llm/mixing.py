@@ -23,7 +23,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliorank.functions.hashing import draw_key
 from foliorank.operators.grouping import hash_cell
 from foliorank.storage import write_once
 
@@ -65,6 +64,17 @@ def source_targets(
     return levels.select("source", "source_size", target.alias("target"))
 
 
+def _draw(documents: DataFrame, seed: int) -> Column:
+    """A row's place in its source: a hash of its id, or of its text where it has none.
+
+    Rows without an id would otherwise all stand at one place, in one task.
+    """
+    own = F.coalesce(documents["text"], F.lit("")) if "text" in documents.columns else F.lit("")
+    unnamed = F.concat_ws("|", F.lit(str(seed)), F.lit("text"), F.md5(own))
+    named = F.concat_ws("|", F.lit(str(seed)), documents["doc_id"].cast("string"))
+    return F.md5(F.when(documents["doc_id"].isNull(), unnamed).otherwise(named))
+
+
 def mix(
     documents: DataFrame,
     weights: Sequence[float] = (3, 1, 2),
@@ -78,7 +88,7 @@ def mix(
 
     Needs ``doc_id`` and ``source``, and ``text`` unless ``size`` is given. Null and
     empty texts have size 0 and are taken 0 times; a null source is a source of its
-    own; a null doc_id is drawn like any other id; rows that repeat are rows of
+    own; a row without a doc_id is drawn by its text; rows that repeat are rows of
     their own. An empty table gives no rows. Working columns begin with an
     underscore and cannot meet those of ``keep``.
     """
@@ -87,7 +97,7 @@ def mix(
             F.struct(*[documents[c] for c in keep]).alias("_kept"),
             documents["source"].alias("source"),
             (word_count(documents["text"]) if size is None else size.cast("bigint")).alias("size"),
-            F.md5(F.concat_ws("|", F.lit(str(seed)), documents["doc_id"].cast("string"))).alias("_draw"),
+            _draw(documents, seed).alias("_draw"),
         ),
         "mix",
     ).withColumn("_cell", hash_cell(F.col("_draw"), CELLS))
