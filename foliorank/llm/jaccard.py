@@ -450,7 +450,8 @@ def jaccard_components(
     reachable, null where no document reachable has an id; rows with equal ids stay rows
     of their own and link nothing by their id, and a null id takes part, as pivot or
     bridge too, without being anyone's component. An empty table gives no rows. Sets are
-    compared by 64-bit hashes of their shingles.
+    compared by 64-bit hashes of their shingles. Texts of any length are hashed whole, a slice
+    of about 1 MB at a time or one longer text, and other columns are not looked at.
     """
     texts = documents.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"])
     texts = texts.withColumn("row", row_key("doc_id", "text"))

@@ -163,7 +163,8 @@ def identify(documents: DataFrame, modulus: int = 3, sharpness: float = 8.0, lea
     not held out and not learned from. Null texts and texts without a letter are
     ``und`` with score 0, as is everything when nothing was learned; with one learned
     language every other text has it, with score 1. ``score`` is the codeword's share of
-    exp(-loss); ``ambiguous`` tells that the second best is within ``lead`` of it. Rows that
+    exp(-loss). Texts of any length are read whole, in slices of about 1 MB or one longer
+    text. ``ambiguous`` tells that the second best is within ``lead`` of it. Rows that
     repeat are judged alike, ties go to the first language by code point, an empty
     table gives no rows, other columns are not looked at.
     """

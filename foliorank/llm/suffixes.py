@@ -412,7 +412,8 @@ def remove_repeats(
     removes nor loses anything. Texts shorter than ``length`` stay whole, rows that
     repeat have equal results, an empty table gives no rows, and other columns are not
     looked at. ``kept_text`` adds the remaining bytes as text, without characters that a
-    cut has split; ``keep`` adds columns of the documents, as struct ``kept``.
+    cut has split. Texts of any length are judged whole, a slice of about 256 kB at a time or
+    one longer text. ``keep`` adds columns of the documents, as struct ``kept``.
     """
     texts = documents.select(
         documents["doc_id"].cast("long").alias("doc_id"),

@@ -83,8 +83,8 @@ def context_totals(histogram: DataFrame) -> DataFrame:
 def count_tokens(documents: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """``context_totals`` of the documents' histogram.
 
-    Null and empty texts have length 0; rows that repeat count each; other columns are not
-    looked at; an empty table gives no rows.
+    Null and empty texts have length 0; rows that repeat count each; texts of any length are
+    encoded whole, one at a time; other columns are not looked at; an empty table gives no rows.
     """
     return context_totals(write_once(length_histogram(documents, path), "lengths"))
 
@@ -92,3 +92,32 @@ def count_tokens(documents: DataFrame, path: str = VOCABULARY) -> DataFrame:
 def length_quantile(totals: DataFrame, share: float) -> DataFrame:
     """The least length that at least ``share`` of all documents do not exceed."""
     return totals.where(F.col("quantile") >= share).agg(F.min("n_tokens").alias("n_tokens"))
+
+
+def at_limit(totals: DataFrame, limits: DataFrame) -> DataFrame:
+    """``context_totals`` for any limits: limit, docs_at_most, docs_longer, tokens_at_most, truncated_tokens, quantile.
+
+    ``limits`` has a column ``limit`` of limits to ask for, a stated set that is broadcast.
+    Between two lengths nothing changes but the cut itself: a limit has the sums of the next
+    smaller length that occurs, and cuts every longer document to itself. Below the
+    smallest length every document is cut; without documents there are no rows. Null limits
+    are left out, repeated ones stand once.
+    """
+    asked = limits.select(F.col("limit").cast("bigint").alias("limit")).where("limit IS NOT NULL").distinct()
+    sums = totals.select("n_tokens", "docs_at_most", "docs_longer", "tokens_at_most")
+    # The largest length within each limit, found in one pre-aggregated pass over the lengths.
+    met = sums.join(F.broadcast(asked), F.col("n_tokens") <= F.col("limit"))
+    last = met.groupBy("limit").agg(F.max(F.struct("n_tokens", "docs_at_most", "docs_longer", "tokens_at_most")).alias("s"))
+    whole = totals.agg(F.max(F.col("docs_at_most") + F.col("docs_longer")).alias("_docs")).where("_docs IS NOT NULL")
+    found = F.broadcast(asked).join(last, "limit", "left").crossJoin(whole)
+    longer = F.coalesce("s.docs_longer", "_docs")
+    fit = F.coalesce("s.tokens_at_most", F.lit(0))
+    at_most = F.coalesce("s.docs_at_most", F.lit(0))
+    return found.select(
+        "limit",
+        at_most.alias("docs_at_most"),
+        longer.alias("docs_longer"),
+        fit.alias("tokens_at_most"),
+        (fit + F.greatest("limit", F.lit(0)) * longer).alias("truncated_tokens"),
+        (at_most / F.col("_docs")).alias("quantile"),
+    )

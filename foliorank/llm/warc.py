@@ -320,7 +320,12 @@ def read_warc(archives: DataFrame, payload: bool = True) -> DataFrame:
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Write the pages to archives in the shared folder and read those back."""
+    """Write the pages to archives in the shared folder and read those back: a row per page row.
+
+    Null html is an empty payload and a null url has no target; rows that repeat are records
+    of their own, and the largest page_id of equal payloads is the response. Payloads
+    of any length are one frame each. An empty table writes no archive and gives no rows.
+    """
     manifest = write_warc(pages, new_table_path(spark, "warc"), min_bytes)
     return read_warc(manifest, payload=False)
 

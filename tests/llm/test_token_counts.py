@@ -23,3 +23,19 @@ def test_totals_equal_plain_sums(spark):
 
 def test_nothing(spark):
     assert token_counts.count_tokens(spark.createDataFrame([], "text string")).collect() == []
+
+
+def test_any_limit(spark):
+    texts = ["", None, "Hello world", "a b c " * 50, "the " * 300] + ["one two three"] * 7
+    encode = encoder(VOCABULARY).encode_ordinary
+    lengths = [len(encode(t or "")) for t in texts]
+    totals = token_counts.count_tokens(spark.createDataFrame([(t,) for t in texts], "text string"))
+    asked = [0, 1, 2, 3, 7, 100, 150, 151, 299, 10**6, 3, -1]
+    limits = spark.createDataFrame([(x,) for x in [*asked, None]], "limit long")
+    found = {r.limit: r for r in token_counts.at_limit(totals, limits).collect()}
+    assert set(found) == set(asked)
+    for limit, r in found.items():
+        assert r.docs_at_most == sum(n <= limit for n in lengths) and r.docs_longer == sum(n > limit for n in lengths)
+        assert r.tokens_at_most == sum(n for n in lengths if n <= limit)
+        assert r.truncated_tokens == sum(max(0, min(n, limit)) for n in lengths)
+    assert token_counts.at_limit(totals.limit(0), limits).collect() == []
