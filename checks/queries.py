@@ -15,6 +15,7 @@ from foliorank.operators import (
     blocks,
     embeddings,
     features,
+    frequent,
     interactions,
     libraries,
     metrics,
@@ -22,6 +23,7 @@ from foliorank.operators import (
     profiles,
     ranking,
     scoring,
+    skipgram,
     terms,
     weights,
 )
@@ -572,6 +574,12 @@ def topk_terms(spark, folder):
     return terms.top_terms(terms.document_frequency(plain_words(spark, folder)), 1000)
 
 
+@query
+def topk_terms_by_summary(spark, folder):
+    """The same 1000 terms from per-task summaries and a second, exact count."""
+    return frequent.frequent_terms(plain_words(spark, folder), 1000, counters=2000)
+
+
 @query
 def sample_users(spark, folder):
     return libraries.sample_users(tables.pairs(spark, folder), 20, SEED)
@@ -724,6 +732,20 @@ def word2vec_user_words(spark, folder):
     return embeddings.word_vectors(model)
 
 
+@query
+def skipgram_pair_counts(spark, folder):
+    """Counted pairs of the sharded trainer, summed per word."""
+    pairs = skipgram.pair_counts(conservative_words(spark, folder))
+    return pairs.groupBy("a").agg(F.count("*").alias("pairs"), F.sum("n").alias("n"))
+
+
+@query
+def skipgram_vocabulary(spark, folder):
+    """The words that the sharded trainer knows, and the length of their vectors."""
+    found = skipgram.skipgram_vectors(conservative_words(spark, folder), vector_size=20, steps=2, seed=SEED)
+    return found.select("word", F.size("vector").alias("places"))
+
+
 @query
 def find_synonyms(spark, folder):
     return embeddings.find_synonyms(tables.word_table(spark, folder), SYNONYM_WORD, 10)
@@ -909,6 +931,13 @@ def recommend_tfidf(spark, folder):
     )
 
 
+@query
+def recommend_tfidf_with_zeros(spark, folder):
+    """Lists long enough to reach the papers that share no term, which tie at 0."""
+    options = recommend.ListOptions(n_users=20, k=900, seed=SEED, include_zero=True)
+    return recommend.recommend_tfidf(tables.papers(spark, folder), written_pairs(spark, folder), options, NO_STEM)
+
+
 @query
 def recommend_from_balls(spark, folder):
     """The lists of ``recommend_from_vectors`` by bounds on balls of papers."""
@@ -1070,6 +1099,43 @@ def random_forest_facts(spark, folder):
     return predicted_facts(models.random_forest(*split_dataset(spark, folder)))
 
 
+def list_facts(spark, folder, pairs, options):
+    """Per user of trained embedding lists: levels, last rank, seen papers in it, and scores that
+    the saved vectors do not give."""
+    embedded = recommend.paper_embeddings(tables.papers(spark, folder), SEED)
+    lists = write_once(recommend.recommend_from_embeddings(embedded, pairs, options), "lists")
+    train = libraries.train_part(recommend.sampled_split(pairs, options.n_users, options.seed))
+    profile = profiles.mean_by_tokens(train, embedded).withColumnRenamed("vector", "own")
+    seen = train.withColumn("seen", F.lit(1))
+    rows = lists.join(embedded, "paper_id").join(profile, "user_id").join(seen, ["user_id", "paper_id"], "left")
+    score = F.round(vec.cosine_similarity("own", "vector"), 6)
+    wrong = F.when(F.abs(score - F.col("similarity")) <= 1e-6, 0).otherwise(1)
+    return rows.groupBy("user_id").agg(
+        F.count_distinct("rank").alias("levels"),
+        F.max("rank").alias("last"),
+        F.coalesce(F.sum("seen"), F.lit(0)).cast("bigint").alias("seen"),
+        F.sum(wrong).cast("bigint").alias("wrong"),
+    )
+
+
+@query
+def recommend_embedding_facts(spark, folder):
+    return list_facts(spark, folder, written_pairs(spark, folder), VECTOR_LISTS)
+
+
+@query
+def recommend_embedding_active_facts(spark, folder):
+    rated = written_pairs(spark, folder)
+    active = write_once(libraries.restrict_to_users(rated, libraries.users_above(rated, 20)), "active")
+    return list_facts(spark, folder, active, VECTOR_LISTS)
+
+
+@query
+def recommend_embedding_user_facts(spark, folder):
+    own = write_once(libraries.filter_user(written_pairs(spark, folder), NAMED_USER), "own")
+    return list_facts(spark, folder, own, ONE_USER_LIST)
+
+
 def written_papers(spark, folder):
     """Papers as CSV files with all 15 columns filled and line breaks kept; returns the folder."""
     path = new_table_path(spark, "papers-csv")

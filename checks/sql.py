@@ -113,6 +113,13 @@ _STEPS: dict[str, tuple[tuple[str, ...], str]] = {
         JOIN (SELECT paper_id, sqrt(sum(weight * weight)) AS norm FROM weights GROUP BY paper_id) p
           ON p.paper_id = d.paper_id
         WHERE NOT EXISTS (SELECT 1 FROM train20 t WHERE t.user_id = d.user_id AND t.paper_id = d.paper_id)"""),
+    "all_term_scores": (("term_profiles", "weights", "train20", "term_scores"), """
+        SELECT u.user_id, p.paper_id, coalesce(s.similarity, 0) AS similarity
+        FROM (SELECT DISTINCT user_id FROM term_profiles) u
+        CROSS JOIN (SELECT DISTINCT paper_id FROM weights) p
+        LEFT JOIN term_scores s ON s.user_id = u.user_id AND s.paper_id = p.paper_id
+        WHERE NOT EXISTS (SELECT 1 FROM train20 t
+                          WHERE t.user_id = u.user_id AND t.paper_id = p.paper_id)"""),
     # metadata features
     "library_pages": (("pairs", "metadata"), """
         SELECT user_id, pages, 1 AS count FROM pairs JOIN metadata USING (paper_id)"""),
@@ -345,6 +352,13 @@ def _first_places(source: str) -> str:
                    GROUP BY paper_id) USING (paper_id)"""
 
 
+def _list_facts(train: str, k: int) -> str:
+    """Full lists without gaps or seen papers, all of their scores right."""
+    return f"""
+        SELECT DISTINCT user_id, {k}::BIGINT AS levels, {k}::BIGINT AS last, 0::BIGINT AS seen, 0::BIGINT AS wrong
+        FROM {train} JOIN conservative USING (paper_id) WHERE len(words) > 0"""
+
+
 def _type_index(source: str) -> str:
     return f"""
         (SELECT type, row_number() OVER (ORDER BY count(*) DESC, type) - 1 AS type_index,
@@ -535,13 +549,7 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
               GROUP BY user_id, place)
         GROUP BY user_id"""),
     "score_pairs_by_terms": (("term_scores",), "SELECT * FROM term_scores"),
-    "score_all_pairs_by_terms": (("term_profiles", "weights", "train20", "term_scores"), """
-        SELECT u.user_id, p.paper_id, coalesce(s.similarity, 0) AS similarity
-        FROM (SELECT DISTINCT user_id FROM term_profiles) u
-        CROSS JOIN (SELECT DISTINCT paper_id FROM weights) p
-        LEFT JOIN term_scores s ON s.user_id = u.user_id AND s.paper_id = p.paper_id
-        WHERE NOT EXISTS (SELECT 1 FROM train20 t
-                          WHERE t.user_id = u.user_id AND t.paper_id = p.paper_id)"""),
+    "score_all_pairs_by_terms": (("all_term_scores",), "SELECT * FROM all_term_scores"),
     "score_pairs_by_vectors": (("scores_v50",), "SELECT * FROM scores_v50"),
     # aggregations
     "count_distinct_papers": (("n_papers",), "SELECT n AS n_papers FROM n_papers"),
@@ -570,6 +578,9 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "topk_terms": (("frequencies",), """
         SELECT term, df, row_number() OVER (ORDER BY df DESC, term) - 1 AS term_id
         FROM frequencies ORDER BY df DESC, term LIMIT 1000"""),
+    "topk_terms_by_summary": (("frequencies",), """
+        SELECT term, df, row_number() OVER (ORDER BY df DESC, term) - 1 AS term_id
+        FROM frequencies ORDER BY df DESC, term LIMIT 1000"""),
     "sample_users": (("pairs",), f"SELECT DISTINCT user_id FROM ({_sampled('pairs', 20)})"),
     "split_train_test": (("pairs",), f"""
         SELECT user_id, paper_id, CAST(is_test AS INTEGER) AS is_test FROM ({_split_of('pairs')})"""),
@@ -636,6 +647,7 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "evaluate_metrics_as_written": (("metrics_v50w",), _averages("metrics_v50w")),
     "evaluate_tfidf": (("metrics_t20",), _averages("metrics_t20")),
     # recommenders
+    "recommend_tfidf_with_zeros": (("all_term_scores",), _dense("all_term_scores", 900)),
     "recommend_tfidf": (("term_scores",), _dense("term_scores", 40)),
     "recommend_from_vectors": (("scores_v50",), _dense("scores_v50", 35)),
     "recommend_from_balls": (("scores_v50",), _dense("scores_v50", 35)),
@@ -652,6 +664,19 @@ _STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "word2vec_vocabulary": (("conservative",), """
         SELECT word, 100 AS places FROM (SELECT unnest(words) AS word FROM conservative)
         GROUP BY word HAVING count(*) >= 5"""),
+    "recommend_embedding_facts": (("train_v50", "conservative"), _list_facts("train_v50", 35)),
+    "recommend_embedding_active_facts": (("train_active", "conservative"), _list_facts("train_active", 35)),
+    "recommend_embedding_user_facts": (("train_one", "conservative"), _list_facts("train_one", 10)),
+    "skipgram_vocabulary": (("conservative",), """
+        SELECT word, 20 AS places FROM (SELECT unnest(words) AS word FROM conservative)
+        GROUP BY word HAVING count(*) >= 5"""),
+    "skipgram_pair_counts": (("conservative",), """
+        , placed AS (SELECT paper_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM conservative)
+        , met AS (
+          SELECT least(x.word, y.word) AS a, greatest(x.word, y.word) AS b, CAST(sum(6 - (y.place - x.place)) AS BIGINT) AS n
+          FROM placed x JOIN placed y ON x.paper_id = y.paper_id AND y.place BETWEEN x.place + 1 AND x.place + 5
+          GROUP BY 1, 2)
+        SELECT a, count(*) AS pairs, CAST(sum(n) AS BIGINT) AS n FROM met GROUP BY a"""),
     "linear_svm_facts": (("mixed_rows",), _TESTED),
     "random_forest_facts": (("mixed_rows",), _TESTED),
     "scan_papers_multi_line": (("papers",), f"SELECT {_PAPER_COLUMNS} FROM papers"),

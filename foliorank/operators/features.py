@@ -5,6 +5,8 @@ from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAsse
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import heavy_keys, join_heavy
+
 # The columns in the order of the feature vector.
 FEATURE_COLUMNS = ["pages", "year", "type_encoded", "user_pages", "user_papers"]
 IMPUTED_COLUMNS = ["pages", "year", "type_index"]
@@ -27,7 +29,8 @@ def join_paper_features(interactions: DataFrame, papers: DataFrame) -> DataFrame
 
 def join_library_metadata(pairs: DataFrame, papers: DataFrame) -> DataFrame:
     """(user_id, pages, count 1) of the papers in the libraries."""
-    known = pairs.select("user_id", "paper_id").join(papers, "paper_id")
+    own = pairs.select("user_id", "paper_id")
+    known = join_heavy(own, papers, "paper_id", heavy_keys(own, "paper_id"))
     return known.select("user_id", "pages", F.lit(1).alias("count"))
 
 

@@ -5,19 +5,23 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import heavy_keys, join_heavy
+
 
 def sum_sparse(train: DataFrame, weights: DataFrame) -> DataFrame:
     """(user_id, term_id, weight): summed term weights of a user's papers.
 
     The join is inner: papers without a vector do not count.
     """
-    joined = train.select("user_id", "paper_id").join(weights, "paper_id")
+    pairs = train.select("user_id", "paper_id")
+    joined = join_heavy(pairs, weights, "paper_id", heavy_keys(pairs, "paper_id"))
     return joined.groupBy("user_id", "term_id").agg(F.sum("weight").alias("weight"))
 
 
 def join_vectors(train: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(user_id, paper_id, vector, ...) of the papers that have a vector."""
-    return train.select("user_id", "paper_id").join(vectors, "paper_id")
+    """(user_id, paper_id, vector, ...) of the papers that have a vector; a popular paper is split over tasks."""
+    pairs = train.select("user_id", "paper_id")
+    return join_heavy(pairs, vectors, "paper_id", heavy_keys(pairs, "paper_id"))
 
 
 def sum_dense(train: DataFrame, vectors: DataFrame) -> DataFrame:

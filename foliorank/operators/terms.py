@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import write_once
+from .joins import heavy_keys, join_heavy
 
 # The document-frequency band and the size of the vocabulary.
 MIN_PAPERS = 20
@@ -112,7 +113,8 @@ def merge_token_lists(
     placed = sized.join(before, ["user_id", "_cell"]).select(
         "user_id", F.floor(offset / part_tokens).alias("part"), "paper_id"
     )
-    joined = placed.join(words, "paper_id")
+    # A popular paper's list is copied to each of its readers: its readers are split over tasks.
+    joined = join_heavy(placed, words, "paper_id", heavy_keys(pairs, "paper_id"))
     by_paper = F.array_sort(F.collect_list(F.struct("paper_id", "words")))
     return joined.groupBy("user_id", "part").agg(
         F.flatten(F.transform(by_paper, lambda p: p["words"])).alias("words")
