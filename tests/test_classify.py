@@ -2,10 +2,14 @@ import math
 
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql.types import IntegerType, StructType
 
 from foliorank.operators import features, models
 from foliorank.plans import classify
 
+SCHEMA = StructType().add("paper_id", IntegerType()).add("label", IntegerType()).add("features", VectorUDT())
+
 
 def rows(spark):
     data = [(1, "x", 1.0), (2, "x", None), (3, "y", 3.0), (4, None, 4.0)]
@@ -60,3 +64,18 @@ def test_dataset_and_models(spark):
     scored = {r.model: r.rmse for r in classify.classify_and_score(dataset).collect()}
     assert set(scored) == {"linear_svm", "random_forest"}
     assert all(0 <= x <= 1 for x in scored.values())
+
+
+def test_models_take_the_mean_for_missing_numbers(spark):
+    nan, inf = float("nan"), float("inf")
+    made = [(i, i % 2, Vectors.dense(float(i % 2), 3.0, nan if i % 5 == 0 else float(i), nan)) for i in range(40)]
+    train = spark.createDataFrame(made, SCHEMA)
+    test = spark.createDataFrame([(1, 1, Vectors.dense(1.0, nan, inf, 0.0)), (2, 0, Vectors.sparse(4, {3: 1.0}))], SCHEMA)
+    known = [float(i) for i in range(40) if i % 5]
+    own, other = (sorted(x.collect()) for x in models.fill_missing(train, test))
+    assert own[0].filled.toArray().tolist() == [0.0, 3.0, pytest.approx(sum(known) / len(known)), 0.0]
+    assert other[0].filled.toArray().tolist() == [1.0, 3.0, pytest.approx(sum(known) / len(known)), 0.0]
+    assert other[1].filled == other[1].features
+    for fit in (models.linear_svm, models.random_forest):
+        predicted = {r.paper_id: r.prediction for r in fit(train, test).collect()}
+        assert predicted == {1: 1.0, 2: 0.0}
