@@ -1,5 +1,10 @@
 """Token lists as rows, and the vocabulary built from them."""
 
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +18,10 @@ VOCABULARY_SIZE = 1000
 
 # Ranges of paper ids in which the places of a merged list are counted.
 PAPER_CELLS = 64
+# Bytes of token lists that a task unpacks at once.
+UNPACKED_BYTES = 4 << 20
+_NULL = -1
+_NO_TOKENS = zlib.compress(bytes(4))
 
 
 def count_distinct_papers(papers: DataFrame) -> DataFrame:
@@ -83,6 +92,72 @@ def paper_cells(papers: DataFrame, cells: int = PAPER_CELLS) -> DataFrame:
     return write_once(ranged, "paper-cells")
 
 
+def pack_lists(words: DataFrame) -> DataFrame:
+    """(paper_id, tokens, bytes, packed): token lists as compressed bytes, with their number of tokens and size.
+
+    Packed are the number of tokens, their lengths (-1: null) and their characters; a null list is null.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, sizes, packed = [], [], []
+            for words in batch.column("words"):
+                tokens = [w and w.encode() for w in words.as_py() or []]
+                lengths = np.array([_NULL if w is None else len(w) for w in tokens], np.int32)
+                held = np.int32(len(tokens)).tobytes() + lengths.tobytes() + b"".join(w for w in tokens if w)
+                counts.append(len(tokens) if words.is_valid else None)
+                sizes.append(len(held))
+                packed.append(zlib.compress(held) if words.is_valid else None)
+            made = [pa.array(counts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("paper_id"), *made], names=["paper_id", "tokens", "bytes", "packed"])
+
+    kind = words.schema["paper_id"].dataType.simpleString()
+    return words.select("paper_id", "words").mapInArrow(run, f"paper_id {kind}, tokens bigint, bytes bigint, packed binary")
+
+
+def _token_array(packed: list[bytes | None]) -> tuple[pa.Array, np.ndarray]:
+    """All tokens of packed lists, and how many each list has."""
+    held = [zlib.decompress(x or _NO_TOKENS) for x in packed]
+    counts = [int.from_bytes(x[:4], "little") for x in held]
+    lengths = np.concatenate([np.frombuffer(x, np.int32, n, 4) for x, n in zip(held, counts)])
+    data = b"".join(x[4 + 4 * n :] for x, n in zip(held, counts))
+    offsets = np.concatenate([[0], np.cumsum(np.maximum(lengths, 0))]).astype(np.int32)
+    known = np.packbits(lengths != _NULL, bitorder="little")
+    buffers = [pa.py_buffer(x) for x in (known, offsets, data)]
+    return pa.Array.from_buffers(pa.string(), len(lengths), buffers), np.array(counts, np.int64)
+
+
+def _token_order(packed: bytes | None) -> tuple:
+    """Key by which lists of one paper are ordered: null first, then by their tokens, null tokens first."""
+    return packed is not None, [(w is not None, w or "") for w in _token_array([packed])[0].to_pylist()]
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(user_id, part, by_paper) as (user_id, part, words): a row's lists one after another, null if one of them is."""
+    for batch in batches:
+        papers, sizes, packed = batch.column("by_paper").flatten().flatten()
+        counts = batch.column("by_paper").value_lengths().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(counts)
+        bytes_to = np.cumsum(sizes.to_numpy(zero_copy_only=False))[ends - 1]
+        start = 0
+        while start < len(ends):
+            first, done = (ends[start - 1], bytes_to[start - 1]) if start else (0, 0)
+            stop = max(start + 1, int(np.searchsorted(bytes_to, done + UNPACKED_BYTES, "right")))
+            owner = np.repeat(np.arange(stop - start), counts[start:stop])
+            ids = papers.slice(first, len(owner)).to_pylist()
+            lists = packed.slice(first, len(owner)).to_pylist()
+            if any(a == b and x != y for a, b, x, y in zip(ids, ids[1:], lists, lists[1:])):
+                # A paper with several lists: they go by their tokens.
+                lists = [x for _, _, _, x in sorted(zip(owner, ids, map(_token_order, lists), lists), key=lambda r: r[:3])]
+            tokens, lengths = _token_array(lists)
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, lengths, stop - start))]).astype(np.int32)
+            gap = np.bincount(owner, [x is None for x in lists], stop - start) > 0
+            words = pa.ListArray.from_arrays(pa.array(offsets), tokens, mask=pa.array(gap))
+            rows = batch.slice(start, stop - start)
+            yield pa.RecordBatch.from_arrays([rows.column("user_id"), rows.column("part"), words], names=["user_id", "part", "words"])
+            start = stop
+
+
 def merge_token_lists(
     pairs: DataFrame, words: DataFrame, part_tokens: int = 1_000_000, cells: int = PAPER_CELLS
 ) -> DataFrame:
@@ -96,9 +171,10 @@ def merge_token_lists(
     ``cells`` ranges of their ids, tokens are summed per user and cell before the
     shuffle, and only the sums of the cells and the papers inside one cell
     are ever ordered. So a library that holds a third of all pairs is spread over all cells.
+    What travels to the readers are packed lists, once; they are unpacked where they are merged.
     """
-    words = write_once(words.select("paper_id", "words"), "token-lists")
-    sizes = words.select("paper_id", F.size("words").cast("bigint").alias("_tokens"))
+    words = write_once(pack_lists(words), "token-lists")
+    sizes = words.select("paper_id", F.col("tokens").alias("_tokens"))
     sized = pairs.join(paper_cells(sizes, cells), "paper_id")
     in_user = Window.partitionBy("user_id").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     before = (
@@ -114,8 +190,9 @@ def merge_token_lists(
         "user_id", F.floor(offset / part_tokens).alias("part"), "paper_id"
     )
     # A popular paper's list is copied to each of its readers: its readers are split over tasks.
-    joined = join_heavy(placed, words, "paper_id", heavy_keys(pairs, "paper_id"))
-    by_paper = F.array_sort(F.collect_list(F.struct("paper_id", "words")))
-    return joined.groupBy("user_id", "part").agg(
-        F.flatten(F.transform(by_paper, lambda p: p["words"])).alias("words")
-    )
+    joined = join_heavy(placed, words.drop("tokens"), "paper_id", heavy_keys(pairs, "paper_id"))
+    # Dealt first, so that no task collects lists before the shuffle.
+    by_paper = F.array_sort(F.collect_list(F.struct("paper_id", "bytes", "packed"))).alias("by_paper")
+    merged = joined.repartition("user_id", "part").groupBy("user_id", "part").agg(by_paper)
+    kind = merged.schema["user_id"].dataType.simpleString()
+    return merged.mapInArrow(_unpacked, f"user_id {kind}, part {merged.schema['part'].dataType.simpleString()}, words array<string>")

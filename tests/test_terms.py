@@ -110,3 +110,18 @@ def test_parts_in_order_are_the_merged_list_of_a_large_library(spark):
         assert [w for r in rows if r.user_id == 1 for w in r.words] == plain
         assert [w for r in rows if r.user_id == 2 for w in r.words] == plain[:6]
         assert (len(rows) == 2) == (part_tokens > 1000)
+
+
+def test_merged_lists_travel_packed(spark):
+    """Nulls, empty tokens, marks and papers of several rows survive packing; no list is shuffled as an array."""
+    lists = [(1, ["b", None, "", "é"]), (1, ["a"]), (1, ["a", "c"]), (2, []), (3, ["x" * 300]), (4, None), (5, ["z", "z"])]
+    words = spark.createDataFrame(lists, "paper_id int, words array<string>")
+    pairs = [("u", 1), ("u", 2), ("u", 3), ("u", 5), ("v", 4), ("v", 5), ("w", 2)]
+    pairs = spark.createDataFrame(pairs, "user_id string, paper_id int")
+    merged = terms.merge_token_lists(pairs, words)
+    found = {r.user_id: r.words for r in merged.collect()}
+    # Three rows of lists for paper 1 meet its three rows of places.
+    first = ["a"] * 3 + ["a", "c"] * 3 + ["b", None, "", "é"] * 3
+    assert found == {"u": [*first, "x" * 300, "z", "z"], "v": None, "w": []}
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "packed" in plan and "words" not in plan.split("MapInArrow", 1)[1].split("\n", 1)[1]
