@@ -1,8 +1,11 @@
 """Word vectors: training, nearest words, analogies and paper embeddings."""
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -18,6 +21,8 @@ ANALOGY_CANDIDATES = 5
 
 # Word vectors that may be broadcast: 80 MB at 100 doubles each.
 BROADCAST_WORDS = 100_000
+# Tokens whose vectors a task looks up at once.
+SUMMED_TOKENS = 1 << 17
 
 
 def word2vec_fit(
@@ -117,11 +122,53 @@ def embed_with_model(words: DataFrame, model: Word2VecModel) -> DataFrame:
     )
 
 
-def _summed_by_map(tokens: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(paper_id, _sum) with the words broadcast: vectors are summed before the shuffle."""
-    known = vectors.select("word", array_to_vector(as_doubles("vector")).alias("_v"))
-    total = vector_to_array(Summarizer.sum(F.col("_v")))
-    return tokens.join(F.broadcast(known), "word").groupBy("paper_id").agg(total.alias("_sum"))
+def _summed_by_map(words: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(paper_id, _sum) with the words sent to all tasks: a paper's tokens are summed in its own row.
+
+    A word that the table lists twice counts with both vectors. Only papers with a known word have a row.
+    """
+    held = vectors.select("word", as_doubles("vector").alias("_v")).where("word IS NOT NULL AND _v IS NOT NULL").toArrow()
+    names, place = np.unique(np.array(held["word"].to_pylist(), object), return_inverse=True)
+    flat = held["_v"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    rows = flat.reshape(len(held), len(flat) // max(1, len(held)))
+    table = np.zeros((len(names), rows.shape[1]))
+    np.add.at(table, place, rows)
+    kind = held.schema.field("word").type
+    shipped = words.sparkSession.sparkContext.broadcast((pa.array(names.tolist(), kind), table))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, table = shipped.value
+        for batch in batches:
+            lists = batch.column("words")
+            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            flat, start = lists.flatten(), 0
+            while start < len(ends):
+                first = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, first + SUMMED_TOKENS, "right")))
+                sums = np.zeros((stop - start, table.shape[1]))
+                seen = np.zeros(stop - start, bool)
+                for at in range(first, ends[stop - 1], SUMMED_TOKENS):
+                    own = flat.slice(at, min(SUMMED_TOKENS, ends[stop - 1] - at))
+                    found = pc.index_in(own.cast(names.type), value_set=names).fill_null(-1).to_numpy(zero_copy_only=False)
+                    known = np.flatnonzero(found >= 0)
+                    owner = np.searchsorted(ends, at + known, "right") - start
+                    # Each (paper, word) once, with its count.
+                    pairs, n = np.unique(owner * len(names) + found[known], return_counts=True)
+                    papers, places = np.divmod(pairs, max(1, len(names)))
+                    cuts = np.flatnonzero(np.diff(papers, prepend=-1))
+                    if len(cuts):
+                        sums[papers[cuts]] += np.add.reduceat(table[places] * n[:, None], cuts, axis=0)
+                        seen[papers] = True
+                held = sums[seen]
+                values = pa.ListArray.from_arrays(pa.array(np.arange(len(held) + 1) * table.shape[1], pa.int32()), held.ravel())
+                ids = batch.column("paper_id").slice(start, stop - start).filter(pa.array(seen))
+                yield pa.RecordBatch.from_arrays([ids, values], names=["paper_id", "_sum"])
+                start = stop
+
+    kind = words.schema["paper_id"].dataType.simpleString()
+    summed = words.select("paper_id", "words").mapInArrow(run, f"paper_id {kind}, _sum array<double>")
+    total = vector_to_array(Summarizer.sum(array_to_vector("_sum")))
+    return summed.groupBy("paper_id").agg(total.alias("_sum"))
 
 
 def _summed_by_count(tokens: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -144,9 +191,9 @@ def document_embedding(
     paper without a known word has zeros. Up to ``broadcast_words`` words are
     broadcast, more are joined by shuffle.
     """
-    tokens = words.select("paper_id", F.explode("words").alias("word"))
     few = vectors.limit(broadcast_words + 1).count() <= broadcast_words
-    sums = _summed_by_map(tokens, vectors) if few else _summed_by_count(tokens, vectors)
+    tokens = words.select("paper_id", F.explode("words").alias("word"))
+    sums = _summed_by_map(words, vectors) if few else _summed_by_count(tokens, vectors)
     sizes = words.groupBy("paper_id").agg(F.sum(F.size("words")).cast("bigint").alias("n_tokens"))
     zeros = vectors.select(F.transform(as_doubles("vector"), lambda x: x * 0)).limit(1).scalar()
     mean = F.transform("_sum", lambda x: x / F.col("n_tokens"))

@@ -38,6 +38,19 @@ def test_document_embedding_counts_unknown_words(spark, table, broadcast_words):
     assert rows[2].vector == [0.0, 0.0] and rows[3].vector == [0.0, 0.0]
 
 
+def test_papers_are_summed_before_the_shuffle(spark, table, monkeypatch):
+    """One sum a row reaches the shuffle, whatever the tokens looked up at once; rows of a paper and words add up."""
+    rows = [(1, ["man", "zz", "man"]), (1, ["queen", None]), (2, None), (3, ["woman"] * 9), (None, ["man"]), (4, [])]
+    words = spark.createDataFrame(rows, "paper_id int, words array<string>").coalesce(1)
+    twice = table.union(table.where("word = 'queen'"))
+    assert "_sum" in embeddings._summed_by_map(words, table)._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow")[1]
+    for tokens in (1 << 17, 2):
+        monkeypatch.setattr(embeddings, "SUMMED_TOKENS", tokens)
+        found = {r.paper_id: r._sum for r in embeddings._summed_by_map(words, twice).collect()}
+        assert found == {1: [2.2, 4.0], 3: [0.0, 9.0], None: [1.0, 0.0]}
+    assert embeddings._summed_by_map(words, table.limit(0)).collect() == []
+
+
 @pytest.fixture(scope="module")
 def corpus(spark):
     words = [(i, ["spark", "join", f"w{i % 3}", "plan"] * 5) for i in range(30)]
