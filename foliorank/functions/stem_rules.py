@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import write_once
 from .stemmer import _IRREGULAR, _STEP_2, _STEP_3, _STEP_4
 
 _VOWEL = "[aeiouy]"
@@ -120,6 +121,7 @@ def stem_rows(words: DataFrame, column: str = "term") -> DataFrame:
     """Add ``stem`` to rows of one word each: built-in functions only, no Python worker.
 
     Null words have a null stem. Extra columns pass through, also under the names used here.
+    The rows are written once; each distinct word is stemmed once, into a table joined back to them.
     """
 
     def like(value: str, pattern: str) -> str:
@@ -129,10 +131,12 @@ def stem_rows(words: DataFrame, column: str = "term") -> DataFrame:
         return f"regexp_replace({value}, '{pattern}', '{put.replace('{1}', '$1')}')"
 
     others = F.struct(*[F.col(c) for c in words.columns]).alias("_row")
-    found = words.select(others, F.col(column).alias("_word"))
+    rows = write_once(words.select(others, F.col(column).alias("_word")), "word-rows")
+    found = rows.select("_word").distinct()
     for step in _cascade("_word", like, replace_all):
-        found = found.select("_row", *[F.expr(e).alias(name) for name, e in step.items()])
-    return found.select("_row.*", "stem")
+        found = found.select("_word", *[F.expr(e).alias(name) for name, e in step.items()])
+    stems = write_once(found, "word-stems")
+    return rows.join(stems, "_word", "left").select("_row.*", "stem")
 
 
 def stem_sql(source: str, word: str) -> str:

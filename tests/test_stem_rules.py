@@ -20,6 +20,14 @@ def words():
     return sorted(found)
 
 
+def test_each_word_is_stemmed_once(spark):
+    rows = [("walking", i) for i in range(50)] + [("runs", 7), (None, 1)]
+    found = stem_rows(spark.createDataFrame(rows, "term string, i int"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" in plan and "regexp" not in plan  # no rule runs over the rows themselves
+    assert sorted(r.i for r in found.where("stem = 'walk'").collect()) == list(range(50)) and found.count() == 52
+
+
 def test_spark_cascade(spark):
     rows = [(w, i, "x") for i, w in enumerate(words())] + [(None, -1, "x")]
     found = stem_rows(spark.createDataFrame(rows, "term string, w int, stem_of string"))
