@@ -13,6 +13,8 @@ from .stemmer import stem_word
 # Characters that belong to a token, and the shortest token kept.
 TOKEN_CHARACTERS = "[a-z_-]"
 MIN_TOKEN_LENGTH = 3
+# Tokens that a task stems at once.
+STEMMED_TOKENS = 1 << 17
 
 
 def concat_text(title: str | Column = "title", abstract: str | Column = "abstract") -> Column:
@@ -41,19 +43,22 @@ def strip_marks(words: str | Column) -> Column:
     return F.transform(words, lambda w: F.translate(w, "-_", ""))
 
 
-def _stem_lists(words: pa.Array) -> pa.Array:
+def _stem_lists(words: pa.Array, tokens: int = STEMMED_TOKENS) -> pa.Array:
     lengths = pc.fill_null(pc.list_value_length(words), 0)
     offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(lengths).cast(pa.int32())])
-    encoded = pc.dictionary_encode(words.flatten())
-    stems = pa.array([stem_word(w) for w in encoded.dictionary.to_pylist()], pa.string())
-    return pa.ListArray.from_arrays(offsets, stems.take(encoded.indices), mask=words.is_null())
+    flat, stems = words.flatten(), [pa.array([], pa.string())]
+    for start in range(0, len(flat), tokens):
+        encoded = pc.dictionary_encode(flat.slice(start, tokens))
+        found = pa.array([stem_word(w) for w in encoded.dictionary.to_pylist()], pa.string())
+        stems.append(found.take(encoded.indices))
+    return pa.ListArray.from_arrays(offsets, pa.concat_arrays(stems), mask=words.is_null())
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def stem_words(words: pa.Array) -> pa.Array:
     """English stems of token lists, in place and with repeats.
 
-    Works on whole Arrow batches: each batch is dictionary-encoded, only its
+    Works on runs of tokens of an Arrow batch: each run is dictionary-encoded, only its
     distinct tokens are stemmed, and the stems are put back by index. No token is
     shuffled, so a token that makes up a third of all text costs nothing extra.
     """

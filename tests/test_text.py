@@ -1,7 +1,10 @@
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliorank.functions import text
 from foliorank.functions.stemmer import stem_word
 from foliorank.functions.stopwords import ENGLISH_STOPWORDS
 from foliorank.functions.text import concat_text, remove_stopwords, stem_words, strip_marks, tokenize
@@ -106,3 +109,15 @@ def test_text_steps_do_not_shuffle(spark, capsys):
     papers = spark.createDataFrame([(1, "a b", None)], "paper_id int, title string, abstract string")
     preprocess.preprocess_terms(papers).explain()
     assert "Exchange" not in capsys.readouterr().out
+
+
+def test_stems_of_long_batches_come_in_runs(monkeypatch):
+    """No run of tokens is encoded beyond the bound; lists that cross it and null tokens are whole."""
+    lists = pa.array([["walking", None, "runs"], None, [], ["hopping"] * 5, ["walking"]], pa.list_(pa.string()))
+    seen, plain = [], pc.dictionary_encode
+    monkeypatch.setattr(text.pc, "dictionary_encode", lambda x: seen.append(len(x)) or plain(x))
+    expected = [["walk", None, "run"], None, [], ["hop"] * 5, ["walk"]]
+    for tokens in (2, 1000):
+        assert text._stem_lists(lists, tokens).to_pylist() == expected
+        assert text._stem_lists(lists.slice(2), tokens).to_pylist() == expected[2:]
+        assert max(seen) <= tokens
