@@ -22,7 +22,7 @@ def interaction_table(pairs: DataFrame, papers: DataFrame, seed: int) -> DataFra
     """Rated pairs that have metadata and as many unrated ones, with metadata.
 
     Negatives are drawn for the pairs that are left after the metadata join, so the
-    labels stay balanced.
+    labels stay balanced. The two numbers of a user are joined before the wider columns of a paper.
     """
     known = write_once(
         pairs.join(papers.select("paper_id"), "paper_id", "left_semi").select("user_id", "paper_id"),
@@ -30,7 +30,8 @@ def interaction_table(pairs: DataFrame, papers: DataFrame, seed: int) -> DataFra
     )
     mixed = union_interactions(positives(known), sample_negatives(known, papers, seed))
     stats = user_profile_stats(join_library_metadata(known, papers))
-    return join_user_features(join_paper_features(mixed, papers), stats)
+    rows = join_paper_features(join_user_features(mixed, stats), papers)
+    return rows.select(*mixed.columns, *[c for c in papers.columns if c != "paper_id"], "user_pages", "user_papers")
 
 
 def classification_dataset(pairs: DataFrame, papers: DataFrame, seed: int = 42) -> DataFrame:
