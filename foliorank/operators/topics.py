@@ -27,6 +27,7 @@ INNER_ROUNDS = 5
 # Numbers of a topic table in every task and on the driver: 80 MB.
 MAX_TOPIC_NUMBERS = 10_000_000
 _CHUNK = 1 << 15  # entries of papers that a task works on at once
+_PRODUCT = 1 << 11  # entries in one product: their topic terms stay near the processor
 
 
 def count_lists(tf: DataFrame) -> DataFrame:
@@ -63,12 +64,27 @@ class _Topics:
     def settle(self, places: np.ndarray, counts: np.ndarray, sizes: np.ndarray):
         terms = self.shares[places]
         owner, first = np.repeat(np.arange(len(sizes)), sizes), np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        length = np.add.reduceat(counts, first)[:, None]
+        length = np.add.reduceat(counts, first)
         papers = np.full((len(sizes), self.k), self.prior)
-        for _ in range(self.inner):
-            weight = counts / np.einsum("ij,ij->i", terms, papers[owner])
-            papers = papers * np.add.reduceat(terms * weight[:, None], first, axis=0)
-            papers = (papers + self.prior) / (length + 1.0)
+        # Papers of about equal size share products; missing entries count nothing.
+        order = np.argsort(sizes, kind="stable")
+        start = 0
+        while start < len(order):
+            few = sizes[order[start]]
+            stop = int(np.searchsorted(sizes[order], max(few + 8, few + few // 8), "right"))
+            stop = min(stop, start + max(1, _PRODUCT // sizes[order[stop - 1]]))
+            own = order[start:stop]
+            place = np.arange(sizes[own[-1]])
+            held = place < sizes[own][:, None]
+            at = np.where(held, first[own][:, None] + place, first[own][:, None])
+            words, seen = terms[at], np.where(held, counts[at], 0.0)[:, None, :]
+            found = papers[own][:, :, None]
+            for _ in range(self.inner):
+                weight = seen / (words @ found).transpose(0, 2, 1)
+                found = found * (weight @ words).transpose(0, 2, 1)
+                found = (found + self.prior) / (length[own][:, None, None] + 1.0)
+            papers[own] = found[:, :, 0]
+            start = stop
         return papers, owner, places, counts, terms
 
 
@@ -80,10 +96,9 @@ def _expected(topics: _Topics):
                 joint = terms * papers[owner]
                 total = joint.sum(axis=1)
                 likelihood += float(seen @ np.log(total))
-                joint *= (seen / total)[:, None]
-                order = np.argsort(places, kind="stable")
-                start = np.flatnonzero(np.concatenate([[True], np.diff(places[order]) > 0]))
-                counts[places[order][start]] += np.add.reduceat(joint[order], start, axis=0)
+                joint = np.ascontiguousarray((joint * (seen / total)[:, None]).T)
+                used, at = np.unique(places, return_inverse=True)
+                counts[used] += np.stack([np.bincount(at, weights=x, minlength=len(used)) for x in joint], axis=1)
         held = np.flatnonzero(counts.any(axis=1))
         # Place -1 carries the log-likelihood of the task's papers.
         place = pa.array(np.concatenate([[-1], held]), pa.int64())

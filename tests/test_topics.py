@@ -1,6 +1,8 @@
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from foliorank.operators import topics
@@ -52,3 +54,30 @@ def test_limits_and_nothing(spark, monkeypatch):
     monkeypatch.setattr(topics, "MAX_TOPIC_NUMBERS", 100)
     with pytest.raises(ValueError, match="fewer terms"):
         topics.topic_vectors_by_steps(spark.createDataFrame(corpus(), COUNTS), k=40)
+
+
+def test_papers_of_any_size_settle_as_one_by_one(monkeypatch):
+    """Papers share products by size; shares and expected counts are those of a plain loop over papers."""
+    rng = np.random.default_rng(4)
+    sizes = np.array([1, 300, 2, 40, 41, 3, 90, 1, 39])
+    lists = [(rng.integers(0, 50, n), rng.integers(1, 6, n).astype(float)) for n in sizes]
+    model = topics._Topics(np.arange(50), rng.random((50, 4)), 5)
+    papers, counts = [], np.zeros((50, 4))
+    for terms, seen in lists:
+        share = np.full(4, 0.25)
+        for _ in range(5):
+            share = share * ((seen / (model.shares[terms] @ share)) @ model.shares[terms])
+            share = (share + 0.25) / (seen.sum() + 1)
+        joint = model.shares[terms] * share
+        np.add.at(counts, terms, joint * (seen / joint.sum(1))[:, None])
+        papers.append(share)
+    batch = pa.RecordBatch.from_pydict(
+        {"terms": pa.array([t for t, _ in lists], pa.list_(pa.int64())), "counts": pa.array([n for _, n in lists], pa.list_(pa.float64()))}
+    )
+    for product, chunk in ((1 << 11, 1 << 15), (50, 100), (1, 1)):
+        monkeypatch.setattr(topics, "_PRODUCT", product)
+        monkeypatch.setattr(topics, "_CHUNK", chunk)
+        assert np.allclose(np.concatenate([c[2] for c in model.chunks(batch)]), papers, rtol=1e-12)
+        rows = next(topics._expected(model)([batch]))
+        place, found = rows["place"].to_numpy()[1:], np.array(rows["counts"].to_pylist())[1:]
+        assert np.allclose(found, counts[place], rtol=1e-12) and set(place) == set(np.flatnonzero(counts.any(1)))
