@@ -1,3 +1,5 @@
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from foliorank.operators import embeddings
@@ -51,6 +53,23 @@ def test_papers_are_summed_before_the_shuffle(spark, table, monkeypatch):
     assert embeddings._summed_by_map(words, table.limit(0)).collect() == []
 
 
+def test_words_are_hashed_once_for_many_lists(monkeypatch):
+    """One look-up for 300,000 tokens; a long list is summed in pieces, and a batch of many lists in parts."""
+    calls, index_in = [], embeddings.pc.index_in
+    monkeypatch.setattr(embeddings.pc, "index_in", lambda *a, **k: calls.append(1) or index_in(*a, **k))
+    lists = pa.array([["a", "x", "b"] * 3000, None, [], ["x"], *[["b", "a", "a"] * 10] * 20_000], pa.list_(pa.string()))
+    names, table = pa.array(["a", "b"]), np.array([[1.0, 0.0], [0.0, 0.5]], np.float32)
+    first = lists.slice(0, 10_000)
+    (found,) = embeddings._list_sums(first, names, table)
+    assert found[:2] == (0, 10_000) and len(calls) == 1
+    parts = list(embeddings._list_sums(lists, names, table))
+    assert [p[0] for p in parts[1:]] == [p[1] for p in parts[:-1]] and parts[-1][1] == len(lists)
+    assert max(p[1] - p[0] for p in parts) <= embeddings.SUMMED_LISTS
+    sums, seen = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
+    assert sums[:5].tolist() == [[3000, 1500], [0, 0], [0, 0], [0, 0], [20, 5]] and (sums[4:] == [20, 5]).all()
+    assert seen[:5].tolist() == [True, False, False, False, True] and seen[4:].all()
+
+
 @pytest.fixture(scope="module")
 def corpus(spark):
     words = [(i, ["spark", "join", f"w{i % 3}", "plan"] * 5) for i in range(30)]
