@@ -1,3 +1,5 @@
+import re
+
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
@@ -47,6 +49,24 @@ def test_tokens_equal_regex_tokenizer(spark):
     assert rows.filter("w != ours").count() == 0
 
 
+def test_tokens_are_cut_from_bytes(monkeypatch):
+    """Runs end with their text, whatever stands beside it and however many texts are cut at once; slices and nulls count."""
+    texts = ["abc", "def-", "", "ab", "c", None, "é--_éabcé ab cd efg", "x" * 40, "--", "-_-", "ab\x00abcd", "Kab ſabc"] * 3
+    texts += [None, "", "zz zzz"]
+    held = pa.array(["cut away", *texts])[1:]
+    expected = [t if t is None else re.findall("[a-z_-]{3,}", t) for t in texts]
+    for size in (1, 7, 64, 1 << 22):
+        monkeypatch.setattr(text, "CUT_BYTES", size)
+        assert text._token_lists(held).to_pylist() == expected
+    assert text._token_lists(held[:0]).to_pylist() == [] and text._token_lists(pa.array([None, ""], pa.string())).to_pylist() == [None, []]
+    assert text._token_lists(held.cast(pa.large_string())).to_pylist() == expected
+
+
+def test_marks_leave_lists_with_nulls(spark):
+    rows = spark.createDataFrame([(["a-b", None, "__", "", "é_", "abc"],), ([],), (None,)], "w array<string>")
+    assert [r.s for r in rows.select(strip_marks("w").alias("s")).collect()] == [["ab", None, "", "", "é", "abc"], [], None]
+
+
 def test_default_stop_list_is_sparks(spark):
     from pyspark.ml.feature import StopWordsRemover
 
