@@ -1,14 +1,19 @@
 """Token lists as rows, and the vocabulary built from them."""
 
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import write_once
+from ..storage import new_byte_folder, write_once
 from .joins import heavy_keys, join_heavy
 
 # The document-frequency band and the size of the vocabulary.
@@ -22,6 +27,10 @@ PAPER_CELLS = 64
 UNPACKED_BYTES = 4 << 20
 _NULL = -1
 _NO_TOKENS = zlib.compress(bytes(4))
+# Where a packed list lies: the task attempt whose file holds it, its first byte and its size.
+_PLACE = "<qqi"
+# Files that a task keeps open.
+_OPEN_FILES = 128
 
 
 def count_distinct_papers(papers: DataFrame) -> DataFrame:
@@ -92,29 +101,75 @@ def paper_cells(papers: DataFrame, cells: int = PAPER_CELLS) -> DataFrame:
     return write_once(ranged, "paper-cells")
 
 
-def pack_lists(words: DataFrame) -> DataFrame:
+def pack_lists(words: DataFrame, folder: str | None = None) -> DataFrame:
     """(paper_id, tokens, bytes, packed): token lists as compressed bytes, with their number of tokens and size.
 
     Packed are the number of tokens, their lengths (-1: null) and their characters; a null list is null.
+    With a ``folder`` of bytes the lists lie there, in a file a task, and ``packed`` are their places.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch], put: Callable[[bytes], bytes]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, sizes, packed = [], [], []
-            for words in batch.column("words"):
-                tokens = [w and w.encode() for w in words.as_py() or []]
-                lengths = np.array([_NULL if w is None else len(w) for w in tokens], np.int32)
-                held = np.int32(len(tokens)).tobytes() + lengths.tobytes() + b"".join(w for w in tokens if w)
-                counts.append(len(tokens) if words.is_valid else None)
+            words = batch.column("words")
+            ends = np.cumsum(words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            tokens = words.flatten().cast(pa.string())
+            lengths = pc.binary_length(tokens).fill_null(_NULL).to_numpy(zero_copy_only=False).astype(np.int32)
+            held_to = np.cumsum(np.maximum(lengths, 0), dtype=np.int64)
+            # A null token has no characters, so those of a list lie side by side.
+            filled = tokens.fill_null("")
+            _, offsets, data = filled.buffers()
+            begin = int(np.frombuffer(offsets, np.int32)[filled.offset]) if len(filled) else 0
+            text = memoryview(data or b"")[begin:]
+            first, at = 0, 0
+            for known, last in zip(words.is_valid().to_pylist(), ends.tolist()):
+                stop = int(held_to[last - 1]) if last else 0
+                held = np.int32(last - first).tobytes() + lengths[first:last].tobytes() + bytes(text[at:stop])
+                counts.append(last - first if known else None)
                 sizes.append(len(held))
-                packed.append(zlib.compress(held) if words.is_valid else None)
+                packed.append(put(zlib.compress(held)) if known else None)
+                first, at = last, stop
             made = [pa.array(counts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column("paper_id"), *made], names=["paper_id", "tokens", "bytes", "packed"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if folder is None:
+            yield from rows(batches, bytes)
+            return
+        attempt = TaskContext.get().taskAttemptId()
+        system, path = fs.FileSystem.from_uri(f"{folder}/{attempt}")
+        with system.open_output_stream(path) as file:
+
+            def put(held: bytes) -> bytes:
+                at = file.tell()
+                file.write(held)
+                return struct.pack(_PLACE, attempt, at, len(held))
+
+            yield from rows(batches, put)
+
     kind = words.schema["paper_id"].dataType.simpleString()
     return words.select("paper_id", "words").mapInArrow(run, f"paper_id {kind}, tokens bigint, bytes bigint, packed binary")
 
 
+def _reader(folder: str | None) -> Callable[[bytes | None], bytes | None]:
+    """From ``packed`` of ``pack_lists`` to the compressed bytes."""
+    if folder is None:
+        return lambda packed: packed
+
+    @lru_cache(_OPEN_FILES)
+    def opened(attempt: int) -> pa.NativeFile:
+        system, path = fs.FileSystem.from_uri(f"{folder}/{attempt}")
+        return system.open_input_file(path)
+
+    def read(place: bytes | None) -> bytes | None:
+        if place is None:
+            return None
+        attempt, at, size = struct.unpack(_PLACE, place)
+        return opened(attempt).read_at(size, at)
+
+    return read
+
+
 def _token_array(packed: list[bytes | None]) -> tuple[pa.Array, np.ndarray]:
     """All tokens of packed lists, and how many each list has."""
     held = [zlib.decompress(x or _NO_TOKENS) for x in packed]
@@ -132,7 +187,9 @@ def _token_order(packed: bytes | None) -> tuple:
     return packed is not None, [(w is not None, w or "") for w in _token_array([packed])[0].to_pylist()]
 
 
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _unpacked(
+    batches: Iterator[pa.RecordBatch], read: Callable[[bytes | None], bytes | None]
+) -> Iterator[pa.RecordBatch]:
     """(user_id, part, by_paper) as (user_id, part, words): a row's lists one after another, null if one of them is."""
     for batch in batches:
         papers, sizes, packed = batch.column("by_paper").flatten().flatten()
@@ -145,7 +202,7 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             stop = max(start + 1, int(np.searchsorted(bytes_to, done + UNPACKED_BYTES, "right")))
             owner = np.repeat(np.arange(stop - start), counts[start:stop])
             ids = papers.slice(first, len(owner)).to_pylist()
-            lists = packed.slice(first, len(owner)).to_pylist()
+            lists = [read(x) for x in packed.slice(first, len(owner)).to_pylist()]
             if any(a == b and x != y for a, b, x, y in zip(ids, ids[1:], lists, lists[1:])):
                 # A paper with several lists: they go by their tokens.
                 lists = [x for _, _, _, x in sorted(zip(owner, ids, map(_token_order, lists), lists), key=lambda r: r[:3])]
@@ -171,9 +228,12 @@ def merge_token_lists(
     ``cells`` ranges of their ids, tokens are summed per user and cell before the
     shuffle, and only the sums of the cells and the papers inside one cell
     are ever ordered. So a library that holds a third of all pairs is spread over all cells.
-    What travels to the readers are packed lists, once; they are unpacked where they are merged.
+    Packed lists are written once to the shared folder, and only their places travel to the readers: a
+    popular paper's list is read where it is merged, not copied by a shuffle. Where tasks cannot open that
+    folder, the packed lists travel themselves.
     """
-    words = write_once(pack_lists(words), "token-lists")
+    folder = new_byte_folder(words.sparkSession, "packed-lists")
+    words = write_once(pack_lists(words, folder), "token-lists")
     sizes = words.select("paper_id", F.col("tokens").alias("_tokens"))
     sized = pairs.join(paper_cells(sizes, cells), "paper_id")
     in_user = Window.partitionBy("user_id").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -189,10 +249,14 @@ def merge_token_lists(
     placed = sized.join(before, ["user_id", "_cell"]).select(
         "user_id", F.floor(offset / part_tokens).alias("part"), "paper_id"
     )
-    # A popular paper's list is copied to each of its readers: its readers are split over tasks.
+    # A popular paper's row is copied to each of its readers: its readers are split over tasks.
     joined = join_heavy(placed, words.drop("tokens"), "paper_id", heavy_keys(pairs, "paper_id"))
     # Dealt first, so that no task collects lists before the shuffle.
     by_paper = F.array_sort(F.collect_list(F.struct("paper_id", "bytes", "packed"))).alias("by_paper")
     merged = joined.repartition("user_id", "part").groupBy("user_id", "part").agg(by_paper)
     kind = merged.schema["user_id"].dataType.simpleString()
-    return merged.mapInArrow(_unpacked, f"user_id {kind}, part {merged.schema['part'].dataType.simpleString()}, words array<string>")
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _unpacked(batches, _reader(folder))
+
+    return merged.mapInArrow(unpack, f"user_id {kind}, part {merged.schema['part'].dataType.simpleString()}, words array<string>")

@@ -1,10 +1,12 @@
 import math
+import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from foliorank.operators import terms, weights
+from foliorank.storage import write_once
 
 
 def test_band_is_inclusive(spark):
@@ -125,3 +127,24 @@ def test_merged_lists_travel_packed(spark):
     assert found == {"u": [*first, "x" * 300, "z", "z"], "v": None, "w": []}
     plan = merged._jdf.queryExecution().optimizedPlan().toString()
     assert "packed" in plan and "words" not in plan.split("MapInArrow", 1)[1].split("\n", 1)[1]
+
+
+def test_places_of_packed_lists_travel_not_their_bytes(spark, monkeypatch):
+    """What is shuffled to a paper's readers does not grow with its text; where tasks cannot open the folder, lists travel."""
+    rng = random.Random(5)
+    lists = [(p, [f"w{rng.randrange(10**9)}" for _ in range(400)]) for p in range(40)] + [(40, None), (41, []), (42, ["é", None, ""])]
+    words = spark.createDataFrame(lists, "paper_id long, words array<string>").repartition(3)
+    pairs = spark.createDataFrame([(u, p) for u in range(9) for p in range(43) if (u + p) % 3], "user_id long, paper_id long")
+    written = {}
+    monkeypatch.setattr(terms, "write_once", lambda df, name: written.setdefault(name, write_once(df, name)))
+
+    def merged():
+        written.clear()
+        rows = {(r.user_id, r.part): r.words for r in terms.merge_token_lists(pairs, words, 3000).collect()}
+        return rows, written["token-lists"].agg(F.max(F.length("packed"))).first()[0]
+
+    by_place, longest = merged()
+    assert longest <= 32
+    monkeypatch.setattr(terms, "new_byte_folder", lambda spark, name: None)
+    by_bytes, longest = merged()
+    assert longest > 1000 and by_place == by_bytes and len(by_place) > 9
