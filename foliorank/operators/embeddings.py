@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -29,6 +30,8 @@ BROADCAST_WORDS = 100_000
 # Tokens that a task looks up at once (each look-up hashes all words first), lists whose sums it holds,
 # and words of a list whose vectors it holds.
 SUMMED_TOKENS, SUMMED_LISTS, SUMMED_WORDS = 1 << 20, 1 << 14, 1 << 12
+# Words whose vectors the driver holds at once on their way to the tasks.
+SENT_WORDS = 1 << 16
 
 
 def word2vec_fit(
@@ -147,7 +150,47 @@ def _word_matrix(vectors: DataFrame, dtype: type) -> tuple[pa.Array, np.ndarray]
     return pa.array(names.tolist(), held.schema.field("word").type), table
 
 
-def _list_sums(lists: pa.Array, names: pa.Array, table: np.ndarray) -> Iterator[tuple]:
+class _Tables:
+    """Rows of several tables, numbered through, as if they were one."""
+
+    def __init__(self, tables: list[np.ndarray]):
+        self.tables, self.starts = tables, np.cumsum([0, *map(len, tables)])
+        self.shape = self.starts[-1], max(t.shape[1] for t in tables)
+
+    def take(self, places: np.ndarray, axis: int = 0) -> np.ndarray:
+        if len(self.tables) == 1:
+            return self.tables[0].take(places, axis=axis)
+        rows = np.empty((len(places), self.shape[1]), self.tables[0].dtype)
+        owner = np.searchsorted(self.starts, places, "right") - 1
+        for number in np.unique(owner):
+            own = np.flatnonzero(owner == number)
+            rows[own] = self.tables[number].take(places[own] - self.starts[number], axis=axis)
+        return rows
+
+
+def _send_words(vectors: DataFrame, dtype: type) -> tuple[Broadcast, list[Broadcast]]:
+    """The words and the tables of their rows, for all tasks; the driver holds SENT_WORDS words' rows at once.
+
+    Words are dealt by a hash, so that rows of one word meet in one table.
+    """
+    context = vectors.sparkSession.sparkContext
+    blocks = max(1, -(-vectors.count() // SENT_WORDS))
+    names, tables = [], []
+    for block in range(blocks):
+        own = vectors.where(F.pmod(F.xxhash64("word"), F.lit(blocks)) == block) if blocks > 1 else vectors
+        found, table = _word_matrix(own, dtype)
+        if len(found) or not names:
+            names.append(found)
+            tables.append(context.broadcast(table))
+        del found, table
+    return context.broadcast(pa.concat_arrays(names)), tables
+
+
+def _sent(words: Broadcast, tables: list[Broadcast]) -> tuple[pa.Array, _Tables]:
+    return words.value, _Tables([t.value for t in tables])
+
+
+def _list_sums(lists: pa.Array, names: pa.Array, table: np.ndarray | _Tables) -> Iterator[tuple]:
     """(first list, last, sums of their words' rows, which lists have a known word), few tokens at a time."""
     ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
     flat, start = lists.flatten(), 0
@@ -179,10 +222,10 @@ def _number_lists(rows: np.ndarray) -> pa.Array:
 
 def _mean_by_map(words: DataFrame, vectors: DataFrame) -> DataFrame:
     """The mean vector of each row's list in place of ``words``; the model's are sent to all tasks as 32-bit numbers."""
-    shipped = words.sparkSession.sparkContext.broadcast(_word_matrix(vectors, np.float32))
+    shipped = _send_words(vectors, np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, table = shipped.value
+        names, table = _sent(*shipped)
         for batch in batches:
             lists = batch.column("words")
             sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)

@@ -4,6 +4,7 @@ import pytest
 
 from foliorank.operators import embeddings
 from foliorank.operators.terms import merge_token_lists
+from foliorank.operators.word_model import WordModel
 from foliorank.plans import recommend
 
 VECTORS = {"king": [1.0, 1.0], "man": [1.0, 0.0], "woman": [0.0, 1.0], "queen": [0.1, 2.0], "void": [0.0, 0.0]}
@@ -93,3 +94,29 @@ def test_user_corpus_profiles_weigh_parts(spark, corpus):
     rows = {r.user_id: r.vector for r in profiles.collect()}
     assert set(rows) == {"u", "v"} and all(len(v) == 6 for v in rows.values())
     assert merge_token_lists(pairs, corpus).count() == 2
+
+
+def test_the_driver_holds_few_word_vectors_at_once(spark, monkeypatch):
+    """Vectors of a model go to the tasks in blocks of words; means are those of one table."""
+    rng = np.random.default_rng(8)
+    rows = [(f"w{i}", rng.normal(size=3).tolist()) for i in range(50)] + [("w7", [1.0, 2.0, 3.0]), (None, [9.0] * 3)]
+    vectors = spark.createDataFrame(rows, "word string, vector array<float>")
+    lists = [(p, [f"w{i}" for i in rng.integers(0, 60, p)]) for p in range(30)] + [(30, None), (31, ["w7", None, "w7"])]
+    words = spark.createDataFrame(lists, "paper_id int, words array<string>")
+    held, whole = [], embeddings._word_matrix
+
+    def matrix(*args):
+        found = whole(*args)
+        held.append(len(found[0]))
+        return found
+
+    monkeypatch.setattr(embeddings, "_word_matrix", matrix)
+    means = []
+    for sent in (1 << 17, 8):
+        monkeypatch.setattr(embeddings, "SENT_WORDS", sent)
+        held.clear()
+        means.append({r.paper_id: r.vector for r in embeddings.embed_with_model(words, WordModel(vectors)).collect()})
+        assert sum(held) == 50 and (len(held) == 1 or max(held) < 25)
+    assert len(held) > 1 and means[0] == means[1] and means[0][31] == pytest.approx([x * 2 / 3 for x in np.add(rows[7][1], [1, 2, 3])])
+    none = embeddings.embed_with_model(words, WordModel(vectors.limit(0))).collect()
+    assert len(none) == 32 and all(r.vector == [] for r in none)
